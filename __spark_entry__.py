@@ -209,9 +209,9 @@ def arrival_ingest(spark: SparkSession, folder: str) -> DataFrame:
     purchases = star.purchases(spark, folder)
     landing, target = f"{base}/landing", f"{base}/loaded"
     for number, part in enumerate((F.col("quantity") < 25, F.col("quantity") >= 25)):
-        write_csv(purchases.filter(part), f"{landing}/arrival={number}")
-        ingest_arrivals(spark, f"{landing}/*", target, f"{base}/checkpoint", USER_PURCHASE)
-    ingest_arrivals(spark, f"{landing}/*", target, f"{base}/checkpoint", USER_PURCHASE)
+        write_csv(purchases.filter(part), f"{landing}/arrival-{number}")
+        ingest_arrivals(spark, landing, target, f"{base}/checkpoint", USER_PURCHASE)
+    ingest_arrivals(spark, landing, target, f"{base}/checkpoint", USER_PURCHASE)
     return spark.read.schema(USER_PURCHASE).parquet(target)
 
 

@@ -23,11 +23,17 @@ _ROOT = "goldpan.root"
 
 
 def create_table(
-    spark: SparkSession, name: str, root: str, columns: str = USER_PURCHASE_DDL
+    spark: SparkSession,
+    name: str,
+    root: str,
+    columns: str = USER_PURCHASE_DDL,
+    fmt: str = "parquet",
 ) -> None:
     """Create the typed table unless it exists (T1). ``root`` must be shared storage."""
+    if not fmt.isidentifier():
+        raise ValueError(f"not a format name: {fmt!r}")
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS IDENTIFIER(:name) ({columns}) USING parquet "
+        f"CREATE TABLE IF NOT EXISTS IDENTIFIER(:name) ({columns}) USING {fmt} "
         f"LOCATION :version TBLPROPERTIES ('{_ROOT}' = :root)",
         {"name": name, "version": _new_version(root), "root": root},
     )

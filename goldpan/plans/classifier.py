@@ -19,21 +19,29 @@ def fit_classifier(
     iterations: int = 50,
 ) -> PipelineModel:
     """Fit on the labelled reviews. Each pass is a distributed sum over sparse
-    vectors; only the coefficients, ``features`` of them, reach the driver."""
+    vectors; only the coefficients, ``features`` of them, reach the driver.
+
+    Repeated labels of a review are counted into a weight before the join, which
+    gives the same fit as joining every copy. Only reviews with a label are
+    split into words.
+    """
+    weighted = labels.groupBy("id_review", F.col("label").cast("double").alias("label")).agg(
+        F.count("*").cast("double").alias("weight")
+    )
     stages = [
         HashingTF(inputCol="words", outputCol="features", numFeatures=features),
-        LogisticRegression(regParam=regularisation, maxIter=iterations),
+        LogisticRegression(regParam=regularisation, maxIter=iterations, weightCol="weight"),
     ]
-    labelled = labels.select("id_review", F.col("label").cast("double").alias("label"))
-    return Pipeline(stages=stages).fit(_with_words(reviews).join(labelled, "id_review"))
+    labelled = reviews.join(weighted, "id_review")
+    return Pipeline(stages=stages).fit(_with_words(labelled, "label", "weight"))
 
 
 def classify(model: PipelineModel, reviews: DataFrame) -> DataFrame:
     """``id_review`` and the predicted 0/1 ``positive_review`` of each review."""
-    scored = model.transform(_with_words(reviews))
+    scored = model.transform(_with_words(reviews, "id_review"))
     return scored.select("id_review", F.col("prediction").cast("int").alias("positive_review"))
 
 
-def _with_words(reviews: DataFrame) -> DataFrame:
+def _with_words(reviews: DataFrame, *kept: str) -> DataFrame:
     text = F.coalesce("review_str", F.lit(""))
-    return reviews.select("id_review", words(text).alias("words"))
+    return reviews.select(*kept, words(text).alias("words"))

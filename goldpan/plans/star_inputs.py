@@ -18,25 +18,41 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def purchases(spark: SparkSession, folder: str) -> DataFrame:
-    """One purchase per order line, in the columns of the purchase table."""
+    """One purchase per order line, in the columns of the purchase table.
+
+    Everything known per order or per part is joined and converted there, so the
+    order lines, by far the largest table, go through two joins and no more.
+    """
     lines, orders, parts, customers, nations = (
         table(spark, folder, name)
         for name in ("lineitem", "orders", "part", "customer", "nation")
     )
+    countries = customers.join(nations, F.col("c_nationkey") == F.col("n_nationkey")).select(
+        "c_custkey", F.col("n_name").alias("country")
+    )
+    placed = orders.join(countries, F.col("o_custkey") == F.col("c_custkey")).select(
+        "o_orderkey",
+        F.col("o_orderdate").alias("invoice_date"),
+        F.col("o_custkey").cast("int").alias("customer_id"),
+        "country",
+    )
+    priced = parts.select(
+        "p_partkey",
+        F.col("p_name").alias("detail"),
+        F.col("p_retailprice").cast("decimal(8,3)").alias("unit_price"),
+    )
     return (
-        lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(parts, F.col("l_partkey") == F.col("p_partkey"))
-        .join(customers, F.col("o_custkey") == F.col("c_custkey"))
-        .join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
+        lines.join(placed, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(priced, F.col("l_partkey") == F.col("p_partkey"))
         .select(
             F.col("l_orderkey").cast("string").alias("invoice_number"),
             F.col("l_partkey").cast("string").alias("stock_code"),
-            F.col("p_name").alias("detail"),
+            "detail",
             F.col("l_quantity").cast("int").alias("quantity"),
-            F.col("o_orderdate").alias("invoice_date"),
-            F.col("p_retailprice").cast("decimal(8,3)").alias("unit_price"),
-            F.col("o_custkey").cast("int").alias("customer_id"),
-            F.col("n_name").alias("country"),
+            "invoice_date",
+            "unit_price",
+            "customer_id",
+            "country",
         )
     )
 

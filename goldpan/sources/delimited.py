@@ -17,6 +17,10 @@ from goldpan.sources.storage import publish_folder
 # Text formats otherwise cut timestamps to milliseconds.
 TIMESTAMP_NTZ_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
+# Fixed value: timestamps like 12/1/2010 8:26, which a database set to month-first
+# dates takes as well.
+MONTH_FIRST_TIMESTAMPS = "M/d/yyyy H:mm[:ss]"
+
 # Doubled quotes, and an unquoted empty field (null) told apart
 # from a quoted one (empty string). The null marker cannot occur in text files.
 READ_OPTIONS = {
@@ -43,9 +47,13 @@ def read_csv(
     schema: T.StructType,
     header: bool = True,
     layout: str | None = None,
+    timestamp_format: str | None = None,
 ) -> DataFrame:
     """Typed, all-or-nothing CSV scan.
 
+    Timestamps are ISO unless ``timestamp_format`` says otherwise, for instance
+    :data:`MONTH_FIRST_TIMESTAMPS`.
+
     ``layout`` says how records lie in the files:
 
     * ``"lines"`` - no field holds a line break; files are split freely;
@@ -56,15 +64,18 @@ def read_csv(
     By default the cheapest exact layout is chosen from the files themselves.
     """
     layout = layout or choose_layout(spark, path)
+    options = dict(READ_OPTIONS)
+    if timestamp_format:
+        options["timestampNTZFormat"] = timestamp_format
     if layout == "records":
         records = read_quoted_records(spark, path, header)
-        parsed = F.from_csv("record", _ddl(schema), READ_OPTIONS)
+        parsed = F.from_csv("record", _ddl(schema), options)
         return records.select(parsed.alias("row")).select("row.*")
     if layout not in ("lines", "files"):
         raise ValueError(f"layout must be lines, files or records, not {layout!r}")
     return (
         spark.read.schema(schema)
-        .options(**READ_OPTIONS)
+        .options(**options)
         .option("header", header)
         .option("multiLine", layout == "files")
         .csv(path)
@@ -72,16 +83,28 @@ def read_csv(
 
 
 def choose_layout(spark: SparkSession, path: str) -> str:
-    """``files`` when no file exceeds one split; else look for line breaks in fields.
+    """The cheapest layout of :func:`read_csv` that is exact for these files.
 
-    Sizes come from the file listing, contents are not read for them. The probe
-    for line breaks stops at the first hit.
+    While every file fits one split nothing is gained by splitting. Otherwise
+    look for line breaks in fields: a scan of plain lines that stops at the
+    first hit. Sizes come from the file listing, contents are not read for them.
     """
-    split_bytes = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
-    sizes = spark.read.format("binaryFile").load(path).select("length")
-    if sizes.filter(F.col("length") > split_bytes).isEmpty():
+    conf = spark._jsparkSession.sessionState().conf()
+    largest_split, file_cost = conf.filesMaxPartitionBytes(), conf.filesOpenCostInBytes()
+    largest, total = (
+        spark.read.format("binaryFile")
+        .load(path)
+        .agg(F.max("length"), F.sum(F.col("length") + file_cost))
+        .first()
+    )
+    if largest is None:
+        return "files"
+    per_core = total / spark.sparkContext.defaultParallelism
+    if largest <= min(largest_split, max(file_cost, per_core)):
         return "files"
-    return "lines" if lines_with_odd_quotes(spark, path).isEmpty() else "records"
+    if lines_with_odd_quotes(spark, path).isEmpty():
+        return "lines"
+    return "records" if largest > largest_split else "files"
 
 
 def write_csv(

@@ -32,7 +32,9 @@ def list_children(spark: SparkSession, path: str) -> list[str]:
 
 def _rename(spark: SparkSession, source: str, target: str) -> None:
     fs, source_path = _resolve(spark, source)
-    if not fs.rename(source_path, _resolve(spark, target)[1]):
+    target_path = _resolve(spark, target)[1]
+    fs.mkdirs(target_path.getParent())
+    if not fs.rename(source_path, target_path):
         raise OSError(f"could not rename {source} to {target}")
 
 
@@ -41,11 +43,15 @@ def publish_folder(spark: SparkSession, target: str, write: Callable[[str], None
 
     The earlier content of ``target`` stays readable until the new folder is
     complete, and stays for good when ``write`` fails. It also lets a job
-    replace the folder it is reading from.
+    replace the folder it is reading from. The helper folders have hidden names,
+    which scans of the parent folder skip.
+
+    A rename is one step on a file system but a copy on most object stores;
+    there, keep large datasets in catalog tables, which move by a catalog change.
     """
-    target = target.rstrip("/")
+    parent, _, name = target.rstrip("/").rpartition("/")
     token = uuid.uuid4().hex
-    staging, retired = f"{target}__staging_{token}", f"{target}__retired_{token}"
+    staging, retired = (f"{parent}/.{role}-{token}-{name}" for role in ("staging", "retired"))
     try:
         write(staging)
     except BaseException:

@@ -16,19 +16,24 @@ def ingest_arrivals(
     schema: T.StructType,
     fmt: str = "parquet",
     header: bool = True,
+    line_breaks: bool = True,
     files_per_batch: int | None = None,
 ) -> None:
-    """Load every CSV file that arrived in ``landing`` since the last call, each exactly once.
+    """Load every CSV file that arrived anywhere below ``landing`` since the last
+    call, each exactly once.
 
     The checkpoint remembers which files are done and the sink's own log which
     output is complete, so a run that dies is continued and not repeated. Rows
     are only converted and written: no state is kept, whatever the volume.
+    ``line_breaks=False`` promises that no field spans lines, so that large files
+    are split.
     """
     reader = (
         spark.readStream.schema(schema)
         .options(**READ_OPTIONS)
         .option("header", header)
-        .option("multiLine", True)
+        .option("multiLine", line_breaks)
+        .option("recursiveFileLookup", True)
     )
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
