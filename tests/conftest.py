@@ -41,12 +41,15 @@ def setting(spark):
     changed = {}
 
     def change(key, value):
-        changed.setdefault(key, spark.conf.get(key))
+        changed.setdefault(key, spark.conf.get(key, None))
         spark.conf.set(key, value)
 
     yield change
     for key, value in changed.items():
-        spark.conf.set(key, value)
+        if value is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, value)
 
 
 @pytest.fixture
@@ -59,3 +62,8 @@ def table_name(spark):
 def values(df):
     """Rows as an order-free, comparable list."""
     return sorted((tuple(row) for row in df.collect()), key=repr)
+
+
+def shape(schema):
+    """Names and types; tables and expressions differ in metadata and nullability."""
+    return [(field.name, field.dataType.simpleString()) for field in schema]
