@@ -30,7 +30,13 @@ def fit_classifier(
     )
     stages = [
         HashingTF(inputCol="words", outputCol="features", numFeatures=features),
-        LogisticRegression(regParam=regularisation, maxIter=iterations, weightCol="weight"),
+        LogisticRegression(
+            regParam=regularisation,
+            maxIter=iterations,
+            weightCol="weight",
+            # scaling by deviation would treat a weight and as many copies differently
+            standardization=False,
+        ),
     ]
     labelled = reviews.join(weighted, "id_review")
     return Pipeline(stages=stages).fit(_with_words(labelled, "label", "weight"))
