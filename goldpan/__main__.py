@@ -1,17 +1,37 @@
-"""``python -m goldpan <job> [arguments...]``, also as a spark-submit main: one job by name."""
+"""``python -m goldpan <name> [arguments...]``, also as a spark-submit main.
+
+The names are those of the single jobs and of the workflows below.
+"""
 
 from __future__ import annotations
 
 import sys
 
-from goldpan.plans.jobs import JOBS, run_job
+from pyspark.sql import DataFrame
+
+from goldpan.operators.tables import drop_table
+from goldpan.plans import workflows
+from goldpan.plans.jobs import JOBS
 from goldpan.session import build_session
 
+COMMANDS = {
+    **JOBS,
+    "load": workflows.load_purchases,
+    "export": workflows.export_purchases,
+    "drop": drop_table,
+    "jobs": workflows.run_jobs,
+    "all": workflows.bronze_to_gold,
+}
+
 
 def main(arguments: list[str]) -> None:
-    if not arguments:
-        raise SystemExit(f"usage: python -m goldpan <job> [arguments...]; jobs: {', '.join(JOBS)}")
-    run_job(build_session(), *arguments).show(truncate=False)
+    if not arguments or arguments[0] not in COMMANDS:
+        raise SystemExit(f"usage: python -m goldpan <{'|'.join(COMMANDS)}> [arguments...]")
+    result = COMMANDS[arguments[0]](build_session(), *arguments[1:])
+    if isinstance(result, DataFrame):
+        result.show(truncate=False)
+    elif result is not None:
+        print(result)
 
 
 if __name__ == "__main__":

@@ -1,16 +1,12 @@
-"""Jobs by name (J5-J7) and the whole bronze-to-gold run."""
+"""Single jobs and their names."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Callable
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from goldpan.operators.tables import create_table, export_if_nonempty, is_nonempty, reload_csv
 from goldpan.plans import gold, silver
 from goldpan.schemas import (
     CLASSIFIED_REVIEW,
@@ -89,42 +85,3 @@ def run_job(spark: SparkSession, name: str, *args: object, **kwargs: object) ->
     if name not in JOBS:
         raise ValueError(f"no job {name!r}; the jobs are {', '.join(JOBS)}")
     return JOBS[name](spark, *args, **kwargs)
-
-
-def bronze_to_gold(
-    spark: SparkSession,
-    purchases_csv: str,
-    reviews_csv: str,
-    logs_csv: str,
-    base: str,
-    table: str,
-    fmt: str = DEFAULT_FORMAT,
-    lexicon: Iterable[str] = silver.DEFAULT_LEXICON,
-    log_payload: T.StructType = silver.LOG_PAYLOAD,
-) -> DataFrame:
-    """Load, export, the silver jobs, then gold (J8). The first failure is raised
-    and nothing after it runs.
-
-    Purchases go from the table to silver without the detour over the exported
-    file. The export and the silver jobs do not depend on each other, so they
-    run side by side and one job's last tasks do not leave executors idle.
-    """
-    create_table(spark, table, f"{base}/tables/{table}")
-    reload_csv(spark, purchases_csv, table)
-    purchases = spark.table(table)
-    if not is_nonempty(purchases):
-        raise ValueError(f"{table} is empty after loading {purchases_csv}; nothing to transform")
-    steps = [
-        lambda: export_if_nonempty(purchases, f"{base}/export/{table}_csv"),
-        lambda: write_dataset(silver.user_purchase(purchases), f"{base}/{SILVER_PURCHASE}", fmt),
-        lambda: transform_review_logs(
-            spark, logs_csv, f"{base}/{SILVER_REVIEW_LOGS}", fmt, payload=log_payload
-        ),
-        lambda: transform_classified_movie_review(
-            spark, reviews_csv, f"{base}/{SILVER_CLASSIFIED}", fmt, lexicon=lexicon
-        ),
-    ]
-    with ThreadPoolExecutor(len(steps)) as pool:
-        for step in [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]:
-            step.result()
-    return transform_movie_analytics(spark, base, fmt)

@@ -12,17 +12,29 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from goldpan.sources.delimited import READ_OPTIONS, TIMESTAMP_NTZ_FORMAT, WRITE_OPTIONS
+from goldpan.sources.delimited import (
+    DEFAULT_ROWS_PER_FILE,
+    READ_OPTIONS,
+    TIMESTAMP_NTZ_FORMAT,
+    WRITE_OPTIONS,
+    read_csv,
+)
 from goldpan.sources.storage import publish_folder
 
 DEFAULT_FORMAT = "parquet"
 BUILT_IN_FORMATS = ("parquet", "orc", "json", "csv", "xml")
 
-# What each text format needs to keep every value.
+# What each text format needs to keep every value. Files of csv and
+# xml may have to be read by one task each, so they are kept small.
 _WRITE = {
-    "csv": {**WRITE_OPTIONS, "header": "true"},
+    "csv": {**WRITE_OPTIONS, "header": "true", "maxRecordsPerFile": DEFAULT_ROWS_PER_FILE},
     "json": {"timestampNTZFormat": TIMESTAMP_NTZ_FORMAT, "ignoreNullFields": "false"},
-    "xml": {"timestampNTZFormat": TIMESTAMP_NTZ_FORMAT, "rowTag": "row", "rootTag": "rows"},
+    "xml": {
+        "timestampNTZFormat": TIMESTAMP_NTZ_FORMAT,
+        "rowTag": "row",
+        "rootTag": "rows",
+        "maxRecordsPerFile": DEFAULT_ROWS_PER_FILE,
+    },
 }
 _READ = {
     "csv": {**READ_OPTIONS, "header": "true", "multiLine": "true"},
@@ -55,6 +67,8 @@ def read_dataset(
     schema: T.StructType | None = None,
 ) -> DataFrame:
     """Scan a dataset; text formats carry no types, so pass their schema."""
+    if fmt.lower() == "csv" and schema is not None:
+        return read_csv(spark, path, schema)
     reader = spark.read.format(fmt).options(**_READ.get(fmt.lower(), {}))
     if schema is not None:
         reader = reader.schema(schema)

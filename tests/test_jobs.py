@@ -8,7 +8,7 @@ import pytest
 
 from goldpan.__main__ import main
 from goldpan.operators.tables import drop_table
-from goldpan.plans import jobs
+from goldpan.plans import jobs, workflows
 from goldpan.schemas import USER_PURCHASE
 from goldpan.sources.delimited import read_csv, write_csv
 from goldpan.sources.formats import BUILT_IN_FORMATS, read_dataset
@@ -73,7 +73,7 @@ def test_jobs_one_by_one(spark, bronze, tmp_path, fmt):
 def test_bronze_to_gold(spark, bronze, tmp_path, table_name):
     base = f"{tmp_path}/run"
     for _ in range(2):
-        assert values(jobs.bronze_to_gold(spark, *bronze, base, table_name)) == GOLD
+        assert values(workflows.bronze_to_gold(spark, *bronze, base, table_name)) == GOLD
     assert values(spark.table(table_name)) == PURCHASES
     exported = read_csv(spark, f"{base}/export/{table_name}_csv", USER_PURCHASE)
     assert values(exported) == PURCHASES
@@ -81,26 +81,50 @@ def test_bronze_to_gold(spark, bronze, tmp_path, table_name):
     drop_table(spark, table_name)
 
 
+def test_jobs_alone(spark, bronze, tmp_path):
+    assert values(workflows.run_jobs(spark, *bronze, f"{tmp_path}/run", "json")) == GOLD
+
+
+def test_load_and_export(spark, bronze, tmp_path, table_name):
+    target = f"{tmp_path}/export"
+    for _ in range(2):
+        loaded = workflows.load_purchases(spark, bronze[0], table_name, f"{tmp_path}/table")
+        assert loaded.first().total_rows == 2
+    assert workflows.export_purchases(spark, table_name, target)
+    assert values(read_csv(spark, target, USER_PURCHASE)) == PURCHASES
+
+
 def test_a_failing_step_is_raised_and_gold_is_not_written(spark, bronze, tmp_path, table_name):
     purchases, reviews, _ = bronze
     bad = tmp_path / "logs.csv"
     bad.write_text("id_review,log\nnot a number,x\n")
     with pytest.raises(JOB_ERRORS):
-        jobs.bronze_to_gold(spark, purchases, reviews, str(bad), f"{tmp_path}/run", table_name)
+        workflows.bronze_to_gold(spark, purchases, reviews, str(bad), f"{tmp_path}/run", table_name)
     assert not Path(f"{tmp_path}/run/gold").exists()
 
 
 def test_an_empty_load_stops_the_run(spark, bronze, tmp_path, table_name):
     empty = samples.write(tmp_path / "empty.csv")
     with pytest.raises(ValueError, match="empty"):
-        jobs.bronze_to_gold(spark, empty, *bronze[1:], f"{tmp_path}/run", table_name)
+        workflows.bronze_to_gold(spark, empty, *bronze[1:], f"{tmp_path}/run", table_name)
     assert not Path(f"{tmp_path}/run/silver").exists()
 
 
-def test_command_line(spark, bronze, tmp_path, capsys):
-    main(["up", bronze[0], f"{tmp_path}/silver/user_purchase", "orc"])
-    assert "France" in capsys.readouterr().out
-    main(["show", f"{tmp_path}/silver/user_purchase", "orc", "1"])
-    assert "invoice_number" in capsys.readouterr().out
-    with pytest.raises(SystemExit, match="usage"):
-        main([])
+def test_command_line(spark, bronze, tmp_path, table_name, capsys):
+    def run(*arguments):
+        main(list(arguments))
+        return capsys.readouterr().out
+
+    silver = f"{tmp_path}/silver/user_purchase"
+    assert "France" in run("up", bronze[0], silver, "orc")
+    assert "invoice_number" in run("show", silver, "orc", "1")
+    assert "|2" in run("load", bronze[0], table_name, f"{tmp_path}/table")
+    assert run("export", table_name, f"{tmp_path}/export") == "True\n"
+    assert "review_score" in run("jobs", *bronze, f"{tmp_path}/run")
+    assert "review_score" in run("all", *bronze, f"{tmp_path}/all", f"{table_name}_2")
+    for name in (table_name, f"{table_name}_2"):
+        assert run("drop", name) == ""
+        assert not spark.catalog.tableExists(name)
+    for arguments in ([], ["no such job"]):
+        with pytest.raises(SystemExit, match="usage"):
+            main(arguments)
