@@ -214,7 +214,8 @@ def arrival_ingest(spark: SparkSession, folder: str) -> DataFrame:
     base = scratch_dir(spark, "arrivals")
     purchases = star.purchases(spark, folder)
     landing, target = f"{base}/landing", f"{base}/loaded"
-    for number, part in enumerate((F.col("quantity") < 25, F.col("quantity") >= 25)):
+    small = F.coalesce(F.col("quantity") < 25, F.lit(False))
+    for number, part in enumerate((small, ~small)):
         write_csv(purchases.filter(part), f"{landing}/arrival-{number}")
         ingest_arrivals(spark, landing, target, f"{base}/checkpoint", USER_PURCHASE)
     ingest_arrivals(spark, landing, target, f"{base}/checkpoint", USER_PURCHASE)

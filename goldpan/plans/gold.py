@@ -25,15 +25,15 @@ def reviews_by_customer(classified: DataFrame, logs: DataFrame) -> DataFrame:
     partition; on ``id_review`` alone the label side would keep the partitioning
     of its aggregation and the split would be off.
     """
-    spread = F.pmod(F.xxhash64("id_review"), F.lit(1 << 16)).alias("spread")
-    labels = (
-        classified.groupBy("id_review")
-        .agg(F.count("*").alias("n"), F.sum("positive_review").alias("positive"))
-        .select("id_review", spread, "n", "positive")
+    labels = classified.groupBy(F.col("id_review").alias("labelled")).agg(
+        F.count("*").alias("n"), F.sum("positive_review").alias("positive")
+    )
+    lines = logs.select(F.col("user_id").cast("int").alias("customer_id"), "id_review")
+    same_review = (F.col("id_review") == F.col("labelled")) & (
+        F.xxhash64("id_review") == F.xxhash64("labelled")
     )
-    lines = logs.select(F.col("user_id").cast("int").alias("customer_id"), "id_review", spread)
     return (
-        lines.join(labels, ["id_review", "spread"])
+        lines.join(labels, same_review)
         .groupBy("customer_id")
         .agg(F.sum("n").alias("review_count"), F.sum("positive").alias("review_score"))
     )

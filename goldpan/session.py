@@ -40,6 +40,7 @@ def build_session(app: str = "goldpan", input_bytes: int | None = None, **conf:
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A new, empty path under the shared folder named by ``spark.checkpoint.dir``.
 
+    Paths are grouped by application, so that a finished one's can be removed.
     Only a local master, where driver and executors share one disk, may fall
     back to a temporary folder.
     """
@@ -50,7 +51,8 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
                 "set spark.checkpoint.dir to a folder that all executors can reach"
             )
         base = _local_base()
-    return f"{base.rstrip('/')}/goldpan/{purpose}-{uuid.uuid4().hex}"
+    application = spark.sparkContext.applicationId
+    return f"{base.rstrip('/')}/goldpan/{application}/{purpose}-{uuid.uuid4().hex}"
 
 
 def _local_base() -> str:

@@ -33,7 +33,8 @@ _WRITE = {
         "timestampNTZFormat": TIMESTAMP_NTZ_FORMAT,
         "rowTag": "row",
         "rootTag": "rows",
-        "maxRecordsPerFile": DEFAULT_ROWS_PER_FILE,
+        # a row takes about four times the space it takes in csv
+        "maxRecordsPerFile": DEFAULT_ROWS_PER_FILE // 4,
     },
 }
 _READ = {

@@ -75,6 +75,8 @@ def read_quoted_records(spark: SparkSession, path: str, header: bool = True) ->
     )
     if header:
         records = records.filter("number > 1")
-    return records.select(F.regexp_replace("record", "\r$", "").alias("record")).filter(
-        "record != ''"
+    record = F.col("record")
+    without_return = F.when(record.endswith("\r"), record.substr(F.lit(1), F.length(record) - 1))
+    return records.filter(~record.isin("", "\r")).select(
+        F.coalesce(without_return, record).alias("record")
     )

@@ -8,7 +8,8 @@ from goldpan import session
 def test_scratch_is_below_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     first, second = (session.scratch_dir(spark, "x") for _ in range(2))
-    assert first.startswith(f"{shared}/goldpan/x-") and first != second
+    application = spark.sparkContext.applicationId
+    assert first.startswith(f"{shared}/goldpan/{application}/x-") and first != second
 
 
 class FakeConf:
@@ -18,6 +19,8 @@ class FakeConf:
 
 
 class FakeContext:
+    applicationId = "app"
+
     def __init__(self, master):
         self.master = master
 
@@ -35,7 +38,7 @@ def test_a_cluster_must_name_its_shared_folder():
 
 
 def test_a_local_session_may_use_its_own_disk():
-    assert "/goldpan/x-" in session.scratch_dir(FakeSession("local[2]"), "x")
+    assert "/goldpan/app/x-" in session.scratch_dir(FakeSession("local[2]"), "x")
 
 
 def test_session_sizes_its_shuffles(spark):
