@@ -1,7 +1,7 @@
 """Purchase and review inputs derived from a star schema of parquet tables.
 
-Stands in for the raw files, which are not published. No join hints: AQE
-broadcasts a side only when its measured size allows it, and splits skewed keys.
+Stands in for the raw files, which are not published. Nothing is broadcast by
+hint: Spark does so only when a side's size allows it, and AQE splits skewed keys.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ def purchases(spark: SparkSession, folder: str) -> DataFrame:
 
     Everything known per order or per part is joined and converted there, so the
     order lines, by far the largest table, go through two joins and no more.
+    Orders and their lines grow together, so that join always shuffles.
     """
     lines, orders, parts, customers, nations = (
         table(spark, folder, name)
@@ -42,7 +43,7 @@ def purchases(spark: SparkSession, folder: str) -> DataFrame:
         F.col("p_retailprice").cast("decimal(8,3)").alias("unit_price"),
     )
     return (
-        lines.join(placed, F.col("l_orderkey") == F.col("o_orderkey"))
+        lines.join(placed.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(priced, F.col("l_partkey") == F.col("p_partkey"))
         .select(
             F.col("l_orderkey").cast("string").alias("invoice_number"),
