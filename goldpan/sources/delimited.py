@@ -108,21 +108,15 @@ def choose_layout(spark: SparkSession, path: str) -> str:
 
 
 def write_csv(
-    df: DataFrame,
-    path: str,
-    header: bool = True,
-    single_file: bool = False,
-    rows_per_file: int = DEFAULT_ROWS_PER_FILE,
+    df: DataFrame, path: str, header: bool = True, rows_per_file: int = DEFAULT_ROWS_PER_FILE
 ) -> None:
     """Whole-result CSV export: header names from the columns, quotes only where needed.
 
-    Every task writes its own part files, so nothing passes through one process.
-    ``single_file`` gives the one-file form and with it gives up parallelism.
+    ``path`` becomes a folder of part files, each with the header. Every task
+    writes its own, so nothing passes through one process.
     """
-    out = df.coalesce(1) if single_file else df
-    writer = out.write.options(**WRITE_OPTIONS).option("header", header)
-    if not single_file:
-        writer = writer.option("maxRecordsPerFile", rows_per_file)
+    writer = df.write.options(**WRITE_OPTIONS).option("header", header)
+    writer = writer.option("maxRecordsPerFile", rows_per_file)
     publish_folder(df.sparkSession, path, writer.csv)
 
 

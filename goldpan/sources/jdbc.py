@@ -1,8 +1,7 @@
 """Relational tables over JDBC.
 
-Reads and writes go straight between executors and the database. A read without
-a split is a single connection, so one of the two ways to split is required
-unless the caller asks for one connection.
+Reads and writes go straight between executors and the database. Without a split
+one task would read the whole table, so a read has to name one.
 """
 
 from __future__ import annotations
@@ -50,16 +49,14 @@ def read_table(
     stride: Stride | None = None,
     predicates: Sequence[str] | None = None,
     properties: dict[str, str] | None = None,
-    single_connection: bool = False,
 ) -> DataFrame:
     """``select *`` of a table, in parallel.
 
     ``predicates`` must be disjoint and cover all rows; they suit a table where
     one value of every candidate column holds a large share of the rows.
     """
-    chosen = sum([stride is not None, predicates is not None, single_connection])
-    if chosen != 1:
-        raise ValueError("pass exactly one of stride, predicates or single_connection=True")
+    if (stride is None) == (predicates is None):
+        raise ValueError("pass either stride or predicates")
     options = {**read_options(stride), **(properties or {})}
     if predicates is not None:
         return spark.read.jdbc(url, table, predicates=list(predicates), properties=options)

@@ -67,9 +67,9 @@ def read_quoted_records(spark: SparkSession, path: str, header: bool = True) ->
         .withColumn("starts", starts_record)
         .withColumn("number", F.col("starts_before") + F.sum("starts").over(in_order))
     )
-    in_record = F.array_sort(F.collect_list(F.struct("block", "position", "value")))
+    in_record = F.sort_array(F.collect_list(F.struct("block", "position", "value")))
     records = (
-        numbered.groupBy("file", "number")
+        numbered.groupBy("number", "file")
         .agg(in_record.alias("lines"))
         .select("number", F.array_join("lines.value", "\n").alias("record"))
     )

@@ -9,6 +9,7 @@ import pytest
 
 from goldpan.plans import gold
 from goldpan.schemas import CLASSIFIED_REVIEW, REVIEW_LOGS, USER_PURCHASE
+from goldpan.sources.formats import read_dataset, write_dataset
 from tests.conftest import values
 
 
@@ -110,6 +111,24 @@ def test_a_hot_review_is_split_in_the_join(spark, setting):
     assert "skew=true" in result._jdf.queryExecution().executedPlan().toString()
 
 
+def test_scans_of_silver_read_only_what_gold_needs(spark, tmp_path):
+    silver = {
+        "purchases": spark.createDataFrame([purchase(1, 1, "1.000")], USER_PURCHASE),
+        "classified": spark.createDataFrame([(1, 1, 1)], CLASSIFIED_REVIEW),
+        "logs": spark.createDataFrame([(1, 1, "a", 0.5)], REVIEW_LOGS),
+    }
+    for name, rows in silver.items():
+        write_dataset(rows, f"{tmp_path}/{name}")
+    result = gold.movie_analytics(
+        **{name: read_dataset(spark, f"{tmp_path}/{name}") for name in silver}
+    )
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert "struct<quantity:int,unit_price:decimal(8,3),customer_id:int>" in plan
+    assert "struct<id_review:bigint,positive_review:int>" in plan
+    assert "struct<id_review:bigint,user_id:bigint>" in plan
+    assert plan.count("PushedFilters: [IsNotNull(id_review)]") == 2
+
+
 def _analytics_plan(spark):
     result = gold.movie_analytics(
         spark.createDataFrame([purchase(1, 1, "1.000")], USER_PURCHASE),

@@ -16,17 +16,15 @@ def test_stride_places_the_cuts():
 
 
 def test_a_read_says_how_it_is_split(spark):
-    for arguments in (
-        {},
-        {"stride": jdbc.Stride("a", 0, 1, 2), "predicates": ["a = 1"]},
-        {"stride": jdbc.Stride("a", 0, 1, 2), "single_connection": True},
-    ):
-        with pytest.raises(ValueError, match="exactly one"):
+    both = {"stride": jdbc.Stride("a", 0, 1, 2), "predicates": ["a = 1"]}
+    for arguments in ({}, both):
+        with pytest.raises(ValueError, match="either stride or predicates"):
             jdbc.read_table(spark, "jdbc:none:x", "t", **arguments)
 
 
 def test_unknown_driver_is_reported(spark):
-    with pytest.raises(Exception, match="(?i)suitable driver"):
-        jdbc.read_table(spark, "jdbc:none:x", "t", single_connection=True)
+    for split in ({"stride": jdbc.Stride("a", 0, 1, 2)}, {"predicates": ["a = 1", "a <> 1"]}):
+        with pytest.raises(Exception, match="(?i)suitable driver"):
+            jdbc.read_table(spark, "jdbc:none:x", "t", **split)
     with pytest.raises(Exception, match="(?i)suitable driver"):
         jdbc.write_table(spark.range(1), "jdbc:none:x", "t")
