@@ -22,12 +22,13 @@ TIMESTAMP_NTZ_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 MONTH_FIRST_TIMESTAMPS = "M/d/yyyy H:mm[:ss]"
 
 # Doubled quotes, and an unquoted empty field (null) told apart
-# from a quoted one (empty string). The null marker cannot occur in text files.
+# from a quoted one (empty string). The null marker is NUL, the one character that
+# a database text cannot hold.
 READ_OPTIONS = {
     "escape": '"',
     "mode": "FAILFAST",
     "emptyValue": "",
-    "nullValue": "\u0001",
+    "nullValue": "\u0000",
 }
 WRITE_OPTIONS = {
     "escape": '"',

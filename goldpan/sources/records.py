@@ -8,7 +8,7 @@ that a quoted field is still open.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -20,8 +20,11 @@ def _odd_quotes():
 
 
 def lines_with_odd_quotes(spark: SparkSession, path: str) -> DataFrame:
-    """Lines that open or close a field which spans lines; empty if there is none."""
-    return spark.read.option("lineSep", "\n").text(path).filter(_odd_quotes() % 2 == 1)
+    """Lines that open or close a field which spans lines; empty if there is none.
+
+    Lines end here where the CSV reader ends them, at carriage returns too.
+    """
+    return spark.read.text(path).filter(_odd_quotes() % 2 == 1)
 
 
 def read_quoted_records(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
@@ -73,10 +76,21 @@ def read_quoted_records(spark: SparkSession, path: str, header: bool = True) ->
         .agg(in_record.alias("lines"))
         .select("number", F.array_join("lines.value", "\n").alias("record"))
     )
-    if header:
-        records = records.filter("number > 1")
     record = F.col("record")
     without_return = F.when(record.endswith("\r"), record.substr(F.lit(1), F.length(record) - 1))
-    return records.filter(~record.isin("", "\r")).select(
-        F.coalesce(without_return, record).alias("record")
+    records = records.withColumn(
+        "record", _refuse_lone_returns(F.coalesce(without_return, record))
     )
+    if header:
+        # the length makes the header go through the check above, too
+        records = records.filter(F.when(F.col("number") == 1, F.length("record") < 0).otherwise(True))
+    return records.filter("record != ''").select("record")
+
+
+def _refuse_lone_returns(record: Column) -> Column:
+    """Lines that end in carriage returns alone would make one record of the file."""
+    outside_quotes = F.regexp_replace(record, '"[^"]*"', "")
+    return F.when(
+        record.contains("\r") & outside_quotes.contains("\r"),
+        F.raise_error(F.lit("carriage return outside quotes in a CSV record")),
+    ).otherwise(record)

@@ -142,9 +142,10 @@ def test_layout_follows_file_size_and_line_breaks(spark, tmp_path, setting):
 
 
 texts = st.text(
-    st.characters(codec="utf-8", exclude_characters="\u0000\u0001\r", exclude_categories=["Cs"]),
+    # a database text holds any character but NUL
+    st.characters(codec="utf-8", exclude_characters="\u0000", exclude_categories=["Cs"]),
     max_size=12,
-) | st.sampled_from(['"', '""', ",", "\n", "\\", "\\N", " x ", '"\n"', "a\nb", '\n"', "\\\""])
+) | st.sampled_from(["\r", "a\r\nb", "\u0001", '"', '""', ",", "\n", "\\", "\\N", " x ", '"\n"', "a\nb", '\n"', "\\\""])
 purchases = st.tuples(
     st.none() | texts,
     st.none() | texts,
@@ -181,6 +182,28 @@ def test_records_end_with_either_line_ending(spark, tmp_path, setting):
     assert values(loaded) == [(1, "a\r\nb"), (2, "plain"), (3, "last")]
 
 
+def test_lines_that_end_in_carriage_returns_alone(spark, tmp_path, setting):
+    path = tmp_path / "cr.csv"
+    path.write_bytes(b"id,text\r1,a\r2,b\r")
+    for layout in (None, "files", "lines"):
+        assert values(read_csv(spark, str(path), MOVIE_REVIEW, layout=layout)) == [
+            (1, "a"),
+            (2, "b"),
+        ]
+    for header in (True, False):
+        with pytest.raises(JOB_ERRORS, match="carriage return"):
+            read_csv(spark, str(path), MOVIE_REVIEW, header, layout="records").collect()
+
+
+def test_a_carriage_return_in_a_field_is_a_line_break(spark, tmp_path, setting):
+    path = tmp_path / "field.csv"
+    path.write_bytes(b'id,text\n' + b'1,"a\rb"\n' * 20)
+    setting("spark.sql.files.maxPartitionBytes", "50b")
+    assert choose_layout(spark, str(path)) == "records"
+    loaded = read_csv(spark, str(path), MOVIE_REVIEW)
+    assert values(loaded) == [(1, "a\rb")] * 20
+
+
 def test_each_file_of_a_folder_has_its_own_header_and_records(spark, tmp_path, setting):
     folder = tmp_path / "many"
     folder.mkdir()
