@@ -54,6 +54,9 @@ def test_columns_bind_by_position(spark, tmp_path, layout):
         samples.line(unit_price="999999.999"),
         samples.line(quantity="six"),
         samples.line(quantity='""'),
+        samples.line(quantity="3000000000"),
+        samples.line(country="France,extra field"),
+        '536365,"never closed,plain,6,2010-12-01 08:26:00,2.550,17850,France',
         "536365,85123A,short row",
     ],
 )
