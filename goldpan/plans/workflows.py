@@ -17,10 +17,16 @@ from goldpan.plans import jobs, silver
 from goldpan.sources.formats import DEFAULT_FORMAT, write_dataset
 
 
-def load_purchases(spark: SparkSession, source: str, table: str, root: str) -> DataFrame:
+def load_purchases(
+    spark: SparkSession,
+    source: str,
+    table: str,
+    root: str,
+    timestamp_format: str | None = None,
+) -> DataFrame:
     """Create the table if absent and make it equal to the CSV file."""
     tables.create_table(spark, table, root)
-    tables.reload_csv(spark, source, table)
+    tables.reload_csv(spark, source, table, timestamp_format=timestamp_format)
     return tables.total_rows(spark.table(table))
 
 
@@ -59,13 +65,15 @@ def bronze_to_gold(
     fmt: str = DEFAULT_FORMAT,
     lexicon: Iterable[str] = silver.DEFAULT_LEXICON,
     log_payload: T.StructType = silver.LOG_PAYLOAD,
+    timestamp_format: str | None = None,
 ) -> DataFrame:
     """Load, export, the silver jobs, then gold.
 
     Purchases go from the table to silver without the detour over the exported
     file, which an empty load would leave out of date; such a load stops the run.
     """
-    load_purchases(spark, purchases_csv, table, f"{base}/tables/{table}")
+    root = f"{base}/tables/{table}"
+    load_purchases(spark, purchases_csv, table, root, timestamp_format)
     purchases = spark.table(table)
     if not tables.is_nonempty(purchases):
         raise ValueError(f"{table} is empty after loading {purchases_csv}; nothing to transform")

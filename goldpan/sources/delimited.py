@@ -37,6 +37,9 @@ WRITE_OPTIONS = {
     "timestampNTZFormat": TIMESTAMP_NTZ_FORMAT,
 }
 
+# Suffixes of compressed files that Spark reads in one piece.
+UNSPLITTABLE = r"\.(gz|deflate|lz4|snappy|zst)$"
+
 # A file whose records contain line breaks is read by one task, so exports are
 # cut into files of this many rows and stay parallel when they are read back.
 DEFAULT_ROWS_PER_FILE = 1_000_000
@@ -86,19 +89,24 @@ def read_csv(
 def choose_layout(spark: SparkSession, path: str) -> str:
     """The cheapest layout of :func:`read_csv` that is exact for these files.
 
-    While every file fits one split nothing is gained by splitting. Otherwise
-    look for line breaks in fields: a scan of plain lines that stops at the
-    first hit. Sizes come from the file listing, contents are not read for them.
+    While every file fits one split, or is compressed so that it cannot be
+    split, nothing is gained by splitting. Otherwise look for line breaks in
+    fields: a scan of plain lines that stops at the first hit. Sizes come from
+    the file listing, contents are not read for them.
     """
     conf = spark._jsparkSession.sessionState().conf()
     largest_split, file_cost = conf.filesMaxPartitionBytes(), conf.filesOpenCostInBytes()
-    largest, total = (
+    largest, total, whole = (
         spark.read.format("binaryFile")
         .load(path)
-        .agg(F.max("length"), F.sum(F.col("length") + file_cost))
+        .agg(
+            F.max("length"),
+            F.sum(F.col("length") + file_cost),
+            F.bool_or(F.col("path").rlike(UNSPLITTABLE)),
+        )
         .first()
     )
-    if largest is None:
+    if largest is None or whole:
         return "files"
     per_core = total / spark.sparkContext.defaultParallelism
     if largest <= min(largest_split, max(file_cost, per_core)):

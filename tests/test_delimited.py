@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import gzip
 import tempfile
 import uuid
 from datetime import datetime
@@ -144,6 +145,17 @@ def test_layout_follows_file_size_and_line_breaks(spark, tmp_path, setting):
     assert choose_layout(spark, broken) == "files"
 
 
+def test_compressed_files_are_read_in_one_piece(spark, tmp_path, setting):
+    path = tmp_path / "up.csv.gz"
+    with gzip.open(path, "wt") as out:
+        out.write(samples.GOOD_FILE)
+    setting("spark.sql.files.maxPartitionBytes", "20b")
+    setting("spark.sql.files.openCostInBytes", "1")
+    assert choose_layout(spark, str(path)) == "files"
+    loaded = read_csv(spark, str(path), USER_PURCHASE)
+    assert values(loaded) == sorted(samples.GOOD_ROWS, key=repr)
+
+
 texts = st.text(
     # a database text holds any character but NUL
     st.characters(codec="utf-8", exclude_characters="\u0000", exclude_categories=["Cs"]),

@@ -10,7 +10,7 @@ from goldpan.__main__ import main
 from goldpan.operators.tables import drop_table
 from goldpan.plans import jobs, workflows
 from goldpan.schemas import USER_PURCHASE
-from goldpan.sources.delimited import read_csv, write_csv
+from goldpan.sources.delimited import MONTH_FIRST_TIMESTAMPS, read_csv, write_csv
 from goldpan.sources.formats import BUILT_IN_FORMATS, read_dataset
 from tests import samples
 from tests.conftest import JOB_ERRORS, values
@@ -94,6 +94,16 @@ def test_load_and_export(spark, bronze, tmp_path, table_name):
     assert values(read_csv(spark, target, USER_PURCHASE)) == PURCHASES
 
 
+def test_month_first_files_run_through(spark, bronze, tmp_path, table_name):
+    path = samples.write(tmp_path / "us.csv", samples.line(invoice_date="12/1/2010 8:26"))
+    workflows.bronze_to_gold(
+        spark, path, *bronze[1:], f"{tmp_path}/run", table_name,
+        timestamp_format=MONTH_FIRST_TIMESTAMPS,
+    )
+    silver = read_dataset(spark, f"{tmp_path}/run/silver/user_purchase")
+    assert silver.first().invoice_date == datetime(2010, 12, 1, 8, 26)
+
+
 def test_a_failing_step_is_raised_and_gold_is_not_written(spark, bronze, tmp_path, table_name):
     purchases, reviews, _ = bronze
     bad = tmp_path / "logs.csv"
