@@ -30,7 +30,8 @@ def review_logs(
 ) -> DataFrame:
     """XML payload of each log line as columns beside its ``id_review``."""
     rename = {"userId": "user_id"} if rename is None else rename
-    parsed = logs.select("id_review", parse_xml(F.col("log"), payload, row_tag, mode).alias("fields"))
+    fields = parse_xml(F.col("log"), payload, row_tag, mode)
+    parsed = logs.select("id_review", fields.alias("fields"))
     return parsed.select("id_review", "fields.*").withColumnsRenamed(rename)
 
 

@@ -13,7 +13,9 @@ _TARGET_PARTITION_BYTES = 128 * 1024 * 1024
 _local_scratch: str | None = None
 
 
-def build_session(app: str = "goldpan", input_bytes: int | None = None, **conf: str) -> SparkSession:
+def build_session(
+    app: str = "goldpan", input_bytes: int | None = None, **conf: str
+) -> SparkSession:
     """A session with the settings the jobs are written for.
 
     ``input_bytes`` sizes the shuffle: AQE starts from about one partition per

@@ -59,7 +59,9 @@ def read_quoted_records(spark: SparkSession, path: str, header: bool = True) ->
         .withColumn("open", F.coalesce(F.sum("flips").over(before) % 2, F.lit(0)))
         .withColumn(
             "starts",
-            F.when(F.col("open") == 0, F.col("starts_if_closed")).otherwise(F.col("starts_if_open")),
+            F.when(F.col("open") == 0, F.col("starts_if_closed")).otherwise(
+                F.col("starts_if_open")
+            ),
         )
         .withColumn("starts_before", F.coalesce(F.sum("starts").over(before), F.lit(0)))
         .select(*_SPLIT, "open", "starts_before")
@@ -83,7 +85,8 @@ def read_quoted_records(spark: SparkSession, path: str, header: bool = True) ->
     )
     if header:
         # the length makes the header go through the check above, too
-        records = records.filter(F.when(F.col("number") == 1, F.length("record") < 0).otherwise(True))
+        keep = F.when(F.col("number") == 1, F.length("record") < 0).otherwise(True)
+        records = records.filter(keep)
     return records.filter("record != ''").select("record")
 
 

@@ -160,7 +160,9 @@ texts = st.text(
     # a database text holds any character but NUL
     st.characters(codec="utf-8", exclude_characters="\u0000", exclude_categories=["Cs"]),
     max_size=12,
-) | st.sampled_from(["\r", "a\r\nb", "\u0001", '"', '""', ",", "\n", "\\", "\\N", " x ", '"\n"', "a\nb", '\n"', "\\\""])
+) | st.sampled_from(
+    ["\r", "a\r\nb", "\u0001", '"', '""', ",", "\n", "\\", "\\N", " x ", '"\n"', "a\nb", '\n"', '\\"']
+)
 purchases = st.tuples(
     st.none() | texts,
     st.none() | texts,

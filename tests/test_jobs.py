@@ -37,7 +37,9 @@ def bronze(spark, tmp_path):
         f"{base}/movie_review.csv",
     )
     write_csv(
-        spark.createDataFrame([(1, LOG.format(1)), (2, LOG.format(1))], "id_review long, log string"),
+        spark.createDataFrame(
+            [(1, LOG.format(1)), (2, LOG.format(1))], "id_review long, log string"
+        ),
         f"{base}/log_reviews.csv",
     )
     return [f"{base}/{name}.csv" for name in ("user_purchase", "movie_review", "log_reviews")]
