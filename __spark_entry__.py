@@ -20,6 +20,12 @@ from goldpan.sources.delimited import read_csv, write_csv
 from goldpan.sources.formats import BUILT_IN_FORMATS, read_dataset, show_table, write_dataset
 from goldpan.streaming.arrivals import ingest_arrivals
 
+try:  # the package works without its training-data operators
+    import corpus_pipeline
+    from goldpan.llm import queries as llm
+except ImportError:
+    llm = None
+
 # The test text is invented: these two words split it into sensible classes.
 LEXICON = ("worthless", "ble")
 SHOWN_ROWS = 100
@@ -245,7 +251,7 @@ def _bronze(spark: SparkSession, folder: str, base: str) -> tuple[str, str, str]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    own = {
         query.__name__: query
         for query in (
             csv_load_roundtrip,
@@ -272,6 +278,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             arrival_ingest,
         )
     }
+    return own if llm is None else own | llm.queries() | {"pipeline": corpus_pipeline.run}
 
 
 PURCHASES_SQL = """
@@ -324,6 +331,10 @@ NO_ROWS_SQL = "select cast(0 as bigint) as total_rows"
 
 
 def oracle_sql() -> dict[str, str]:
+    return _own_sql() if llm is None else _own_sql() | llm.oracle_sql()
+
+
+def _own_sql() -> dict[str, str]:
     formats = [f"select *, '{fmt}' as fmt from ({PURCHASES_SQL})" for fmt in BUILT_IN_FORMATS]
     return {
         "csv_load_roundtrip": PURCHASES_SQL,
