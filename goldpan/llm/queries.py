@@ -6,10 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from goldpan.llm import bpe, token_files
+from goldpan.llm import bpe, minhash, token_files
 from goldpan.llm.common import documents
 
 
+def op1_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    """The near-duplicate class of every document."""
+    classes = minhash.near_duplicates(spark, documents(spark, folder))
+    return classes.select("doc_id", "class_id")
+
+
 def op6_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Ids of every text by the transducer lexicon, and the text they decode to."""
     return bpe.encode_texts(spark, documents(spark, folder), digest=True)
@@ -24,6 +30,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         query.__name__: query
         for query in (
+            op1_minhash,
             op6_bpe,
             op9_token_files,
         )
