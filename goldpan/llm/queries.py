@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from goldpan.llm import bpe, minhash, token_files
+from goldpan.llm import bpe, decontaminate, minhash, token_files
 from goldpan.llm.common import documents
 
 
@@ -16,6 +16,12 @@ def op1_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return classes.select("doc_id", "class_id")
 
 
+def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    """Every benchmark item found in a document, with its place there."""
+    benchmark = spark.read.parquet(f"{folder}/benchmark.parquet")
+    return decontaminate.find_leaks(spark, documents(spark, folder), benchmark)
+
+
 def op6_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Ids of every text by the transducer lexicon, and the text they decode to."""
     return bpe.encode_texts(spark, documents(spark, folder), digest=True)
@@ -31,6 +37,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         query.__name__: query
         for query in (
             op1_minhash,
+            op3_decontaminate,
             op6_bpe,
             op9_token_files,
         )
