@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from goldpan.llm import bpe, decontaminate, minhash, token_files
+from goldpan.llm import bpe, decontaminate, minhash, pii, token_files
 from goldpan.llm.common import documents
 
 
@@ -16,6 +16,11 @@ def op1_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return classes.select("doc_id", "class_id")
 
 
+def op2_pii(spark: SparkSession, folder: str) -> DataFrame:
+    """Spans of personal data in every text, with terms that disclose it."""
+    return pii.span_digests(spark, documents(spark, folder))
+
+
 def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     """Every benchmark item found in a document, with its place there."""
     benchmark = spark.read.parquet(f"{folder}/benchmark.parquet")
@@ -37,6 +42,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         query.__name__: query
         for query in (
             op1_minhash,
+            op2_pii,
             op3_decontaminate,
             op6_bpe,
             op9_token_files,
