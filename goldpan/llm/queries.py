@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from goldpan.llm import bpe, decontaminate, minhash, pii, token_files
+from goldpan.llm import bpe, decontaminate, minhash, pii, quality, token_files, toxicity
 from goldpan.llm.common import documents
 
 
@@ -32,6 +32,18 @@ def op6_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encode_texts(spark, documents(spark, folder), digest=True)
 
 
+def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts of every text and the verdict of the learned decision list."""
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    return quality.judge(spark, documents(spark, folder), labels)
+
+
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """The toxicity score of every text."""
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    return toxicity.predict(spark, documents(spark, folder), labels)
+
+
 def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """Ids of every text, written to token files and read back."""
     return token_files.token_digests(spark, documents(spark, folder))
@@ -45,6 +57,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op2_pii,
             op3_decontaminate,
             op6_bpe,
+            op7_quality,
+            op8_toxicity,
             op9_token_files,
         )
     }
