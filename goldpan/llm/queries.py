@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from goldpan.llm import bpe, decontaminate, minhash, pii, quality, token_files, toxicity
+from goldpan.llm import bpe, decontaminate, language, minhash, pii, quality, token_files, toxicity
 from goldpan.llm.common import documents
 
 
@@ -27,6 +27,11 @@ def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.find_leaks(spark, documents(spark, folder), benchmark)
 
 
+def op4_language(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of every text."""
+    return language.predict(spark, documents(spark, folder))
+
+
 def op6_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Ids of every text by the transducer lexicon, and the text they decode to."""
     return bpe.encode_texts(spark, documents(spark, folder), digest=True)
@@ -56,6 +61,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op1_minhash,
             op2_pii,
             op3_decontaminate,
+            op4_language,
             op6_bpe,
             op7_quality,
             op8_toxicity,
