@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from goldpan.llm import bpe, decontaminate, language, minhash, pii, quality, token_files, toxicity
+from goldpan.llm import bpe, decontaminate, hosts, language, minhash, pii, quality, token_files, toxicity
 from goldpan.llm.common import documents
 
 
@@ -32,6 +32,13 @@ def op4_language(spark: SparkSession, folder: str) -> DataFrame:
     return language.predict(spark, documents(spark, folder))
 
 
+def op5_hosts(spark: SparkSession, folder: str) -> DataFrame:
+    """The rule and the verdict for the url of every page."""
+    pages = spark.read.parquet(f"{folder}/pages.parquet")
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    return hosts.judge_urls(pages, labels).drop("rate", "bound")
+
+
 def op6_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Ids of every text by the transducer lexicon, and the text they decode to."""
     return bpe.encode_texts(spark, documents(spark, folder), digest=True)
@@ -62,6 +69,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op2_pii,
             op3_decontaminate,
             op4_language,
+            op5_hosts,
             op6_bpe,
             op7_quality,
             op8_toxicity,
@@ -71,4 +79,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_hosts": hosts.oracle()}
