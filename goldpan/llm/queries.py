@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from goldpan.llm import bpe, decontaminate, hosts, language, minhash, pii, quality, token_files, toxicity
+from goldpan.llm import bpe, decontaminate, hosts, language, minhash, pages, pii, quality, token_files, toxicity
 from goldpan.llm.common import documents
 
 
@@ -34,9 +34,9 @@ def op4_language(spark: SparkSession, folder: str) -> DataFrame:
 
 def op5_hosts(spark: SparkSession, folder: str) -> DataFrame:
     """The rule and the verdict for the url of every page."""
-    pages = spark.read.parquet(f"{folder}/pages.parquet")
+    urls = spark.read.parquet(f"{folder}/pages.parquet")
     labels = spark.read.parquet(f"{folder}/labels.parquet")
-    return hosts.judge_urls(pages, labels).drop("rate", "bound")
+    return hosts.judge_urls(urls, labels).drop("rate", "bound")
 
 
 def op6_bpe(spark: SparkSession, folder: str) -> DataFrame:
@@ -61,6 +61,11 @@ def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.token_digests(spark, documents(spark, folder))
 
 
+def op10_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """The main text of every page, without its site's templates."""
+    return pages.extract_text(spark, spark.read.parquet(f"{folder}/pages.parquet"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         query.__name__: query
@@ -74,6 +79,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op7_quality,
             op8_toxicity,
             op9_token_files,
+            op10_pages,
         )
     }
 
