@@ -239,8 +239,8 @@ def redact(spark: SparkSession, docs: DataFrame) -> DataFrame:
 
     Overlapping spans are replaced together, by the kind of the first.
     """
-    columns = docs.columns
-    found = with_spans(spark, docs)
+    row = docs.select("doc_id", "text", F.struct("*").alias("__row"))
+    found = with_spans(spark, row)
     spans, text = F.col("spans"), F.col("text")
     ends = _running(F.transform(spans, lambda s: s["end"]), F.greatest)
     found = found.withColumn("__cuts", F.when(F.size(spans) > 0, ends))
@@ -255,9 +255,14 @@ def redact(spark: SparkSession, docs: DataFrame) -> DataFrame:
     tail = F.substring(text, F.element_at(cuts, -1) + 1, F.length(text))
     changed = F.concat(F.array_join(F.transform(spans, replace), ""), tail)
     changed = F.when(F.size(spans) > 0, changed).otherwise(text)
-    found = found.withColumn("text", changed)
-    if "n_chars" in columns:
-        kind = docs.schema["n_chars"].dataType
-        length = F.when(F.size(spans) > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars"))
-        found = found.withColumn("n_chars", length)
-    return found.select([F.col(f"`{name}`") for name in columns])
+
+    def column(name: str) -> Column:
+        own = F.col("__row").getField(name)
+        if name == "text":
+            own = changed
+        elif name == "n_chars":
+            length = F.length(changed).cast(docs.schema[name].dataType)
+            own = F.when(F.size(spans) > 0, length).otherwise(own)
+        return own.alias(name)
+
+    return found.select(*map(column, docs.columns))
