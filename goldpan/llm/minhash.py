@@ -10,9 +10,12 @@ Arrivals later than a limit, by which every register is filled, are never made.
 
 Bands of registers give buckets. In each bucket all texts are compared with the one
 that comes first in a fixed random order; pairs are verified by their exact
-similarity and joined to components. Buckets that then still hold several components
-are compared in full, in blocks, by signatures first: no link that shares a band is
-lost, and a group of copies never becomes all its pairs.
+similarity and joined to components. In buckets that then still hold several components
+all members of different ones are compared in blocks of bounded size, by signatures;
+components that may belong together make clusters, and in these all members of different
+components are compared exactly, in blocks again. A block returns which components it
+has joined and no pairs, so no link that shares a band is lost, and a group of copies
+never becomes all its pairs.
 
 With 24 bands of 5 a pair of similarity 0.8 shares no band with probability 7e-5.
 
@@ -28,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from goldpan.llm.common import mix64, saved, slices, whole, word_hashes
@@ -39,9 +42,9 @@ SIMILARITY = 0.8
 BANDS = 24
 BAND_ROWS = 5
 # standard deviations of an estimate below the threshold at which a pair is still verified
-_MARGIN = 5.0
-_CHUNK = 512
-_SLICE = 4096
+_MARGIN = 4.0
+_CHUNK, _SLICE = 512, 4096
+_CHUNK_BYTES, _SLICE_BYTES = 1 << 20, 8 << 20
 _MAX_ROWS = 60_000  # of a slice, whose text numbers take 16 bits of a sort key
 
 
@@ -214,10 +217,6 @@ def verified(pairs: DataFrame, bags: DataFrame, similarity: float, registers: in
     right = bags.select(F.col("key").alias("b"), F.col("signature").alias("sb"), F.col("bag").alias("bb"))
     joined = pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb", "ba", "bb")
 
-    def unpack(bag):
-        packed = np.frombuffer(bag.as_buffer(), np.uint64)
-        return packed >> np.uint64(16), (packed & np.uint64(0xFFFF)).astype(np.int64)
-
     def verify(batches):
         for batch in batches:
             a, b, sa, sb, ba, bb = batch.columns
@@ -227,7 +226,10 @@ def verified(pairs: DataFrame, bags: DataFrame, similarity: float, registers: in
             ]
             kept = np.zeros(batch.num_rows, bool)
             for i in np.flatnonzero(_alike(*signs) >= least).tolist():
-                kept[i] = probability_jaccard(*unpack(ba[i]), *unpack(bb[i])) >= similarity
+                kept[i] = (
+                    probability_jaccard(*_unpack(ba[i].as_py()), *_unpack(bb[i].as_py()))
+                    >= similarity
+                )
             yield pa.RecordBatch.from_arrays([a, b], ["a", "b"]).filter(pa.array(kept))
 
     return joined.mapInArrow(verify, "a binary, b binary")
@@ -245,69 +247,133 @@ def _star_pairs(buckets: DataFrame) -> DataFrame:
     return pairs.select(F.col("key").alias("a"), F.col("centre").alias("b")).distinct()
 
 
-def _rest_pairs(
-    buckets: DataFrame, signs: DataFrame, labels: DataFrame, similarity: float, registers: int
-) -> DataFrame:
-    """Pairs of different components in the buckets that still hold several.
+def _blocks(members: DataFrame, group: str, weight: Column, chunk: int, part: int) -> DataFrame:
+    """Members of groups that still hold several components, dealt to blocks.
 
-    A bucket's members outside its largest component are compared with all of it, in
-    blocks of bounded size; only pairs whose signatures agree are returned.
+    Members outside a group's largest component (``rare``) are cut into chunks, all
+    members into slices, both by ``weight``; a block has one chunk and one slice, so that
+    together the blocks hold every pair that has a rare member.
     """
-    least = _least_estimate(similarity, registers)
-    named = buckets.join(labels, F.col("key") == F.col("node"), "left")
-    named = named.select("band", "key", F.coalesce("label", "key").alias("label"))
-    per = named.groupBy("band", "label").agg(F.count("*").alias("n"))
-    largest = F.max(F.struct("n", "label")).alias("most")
-    open_ = per.groupBy("band").agg(
-        F.count("*").alias("labels"), F.sum("n").alias("size"), largest
+    sized = members.withColumn("weight", weight)
+    per = sized.groupBy(group, "label").agg(F.sum("weight").alias("weight"))
+    open_ = per.groupBy(group).agg(
+        F.count("*").alias("labels"),
+        F.sum("weight").alias("all"),
+        F.max(F.struct("weight", "label")).alias("most"),
     )
     open_ = open_.filter("labels > 1").select(
-        "band",
+        group,
         F.col("most.label").alias("largest"),
-        F.ceil(F.col("size") / _SLICE).cast("int").alias("slices"),
-        F.ceil((F.col("size") - F.col("most.n")) / _CHUNK).cast("int").alias("chunks"),
+        F.ceil(F.col("all") / part).cast("int").alias("slices"),
+        F.ceil((F.col("all") - F.col("most.weight")) / chunk).cast("int").alias("chunks"),
     )
     place = F.xxhash64("key")
-    members = named.join(open_, "band").join(signs, "key")
-    members = members.withColumns(
+    dealt = members.join(open_, group).withColumns(
         {"slice": F.pmod(place, F.col("slices")), "chunk": F.pmod(place, F.col("chunks"))}
     )
-    rare = members.filter("label <> largest").select(
-        "band", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"),
-        "chunk", F.lit(True).alias("rare"), "key", "label", "signature",
-    )
-    every = members.select(
-        "band", "slice", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"),
-        F.lit(False).alias("rare"), "key", "label", "signature",
+    # every member goes to all chunks with its slice, a rare one to all slices as well
+    kept = [F.col(name) for name in members.columns]
+    one = F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice")
+    rare = dealt.filter("label <> largest").select(*kept, "chunk", one, F.lit(True).alias("rare"))
+    one = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk")
+    every = dealt.select(*kept, one, "slice", F.lit(False).alias("rare"))
+    return rare.unionAll(every)
+
+
+def _label_links(table: pa.Table, alike) -> pa.Table:
+    """Which labels of a block belong together: each with the least of its component.
+
+    ``alike(one, two)`` gives a function from a rare member's number to the numbers of
+    the members like it; it is told which components are the member's own already.
+    """
+    rare = pa.array(table.column("rare").to_numpy())
+    one, two = table.filter(rare), table.filter(pc.invert(rare))
+    names = sorted({*one.column("label").to_pylist(), *two.column("label").to_pylist()})
+    number = {name: i for i, name in enumerate(names)}
+    own = [number[name] for name in one.column("label").to_pylist()]
+    theirs = np.array([number[name] for name in two.column("label").to_pylist()], np.int64)
+    root = np.arange(len(names))
+    if one.num_rows and two.num_rows:
+        near = alike(one, two)
+        for i, label in enumerate(own):
+            found = near(i, root[theirs] != root[label])
+            if len(found):
+                joined = np.unique(np.append(root[theirs[found]], root[label]))
+                root[np.isin(root, joined)] = joined[0]
+    moved = np.flatnonzero(root != np.arange(len(names)))
+    return pa.table(
+        {
+            "a": pa.array([names[i] for i in moved], pa.binary()),
+            "b": pa.array([names[root[i]] for i in moved], pa.binary()),
+        }
     )
-    blocks = rare.unionAll(every.select(rare.columns))
-
-    def compare(table: pa.Table) -> pa.Table:
-        rare = table.column("rare").to_numpy()
-        one, two = table.filter(pa.array(rare)), table.filter(pa.array(~rare))
-        found = []
-        signs, ids, names = (
-            [
-                np.frombuffer(b"".join(t.column("signature").to_pylist()), np.uint8).reshape(
-                    -1, registers
-                )
-                for t in (one, two)
-            ],
-            [t.column("key").to_pylist() for t in (one, two)],
-            [np.array(t.column("label").to_pylist(), object) for t in (one, two)],
-        )
-        for i in range(one.num_rows):
-            good = (_alike(signs[0][i], signs[1]) >= least) & (names[1] != names[0][i])
-            found += [(ids[0][i], ids[1][j]) for j in np.flatnonzero(good).tolist()]
-        return pa.table(
-            {
-                "a": pa.array([f[0] for f in found], pa.binary()),
-                "b": pa.array([f[1] for f in found], pa.binary()),
-            }
-        )
-
-    pairs = blocks.groupBy("band", "slice", "chunk").applyInArrow(compare, "a binary, b binary")
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _signs(table: pa.Table, registers: int) -> np.ndarray:
+    data = b"".join(table.column("signature").to_pylist())
+    return np.frombuffer(data, np.uint8).reshape(-1, registers)
+
+
+def _unpack(bag: bytes) -> tuple[np.ndarray, np.ndarray]:
+    packed = np.frombuffer(bag, np.uint64)
+    return packed >> np.uint64(16), (packed & np.uint64(0xFFFF)).astype(np.int64)
+
+
+def _possible_links(
+    buckets: DataFrame, bags: DataFrame, labels: DataFrame, similarity: float, registers: int
+) -> DataFrame:
+    """Components whose members share a bucket and have signatures close enough."""
+    least = _least_estimate(similarity, registers)
+    members = buckets.join(labels, F.col("key") == F.col("node"), "left")
+    members = members.join(bags.select("key", "signature"), "key")
+    members = members.select("band", "key", F.coalesce("label", "key").alias("label"), "signature")
+
+    def alike(one, two):
+        rare, every = _signs(one, registers), _signs(two, registers)
+        return lambda i, other: np.flatnonzero(other & (_alike(rare[i], every) >= least))
+
+    blocks = _blocks(members, "band", F.lit(1), _CHUNK, _SLICE)
+    groups = blocks.groupBy("band", "chunk", "slice")
+    return groups.applyInArrow(lambda t: _label_links(t, alike), "a binary, b binary").distinct()
+
+
+def _exact_links(
+    bags: DataFrame, labels: DataFrame, clusters: DataFrame, similarity: float, registers: int
+) -> DataFrame:
+    """Components of a cluster that some pair of members links, by exact similarity."""
+    least = _least_estimate(similarity, registers)
+    members = bags.join(labels, F.col("key") == F.col("node"), "left")
+    members = members.withColumn("label", F.coalesce("label", "key")).drop("node")
+    clusters = clusters.select(F.col("label").alias("cluster"), F.col("node").alias("label"))
+    members = members.join(clusters, "label").select("cluster", "key", "label", "signature", "bag")
+
+    def alike(one, two):
+        signs, every = _signs(one, registers), _signs(two, registers)
+        mine = [_unpack(bag) for bag in one.column("bag").to_pylist()]
+        theirs = [_unpack(bag) for bag in two.column("bag").to_pylist()]
+        sizes = np.array([len(h) for h, _ in theirs])
+        distinct, codes = np.unique(np.concatenate([h for h, _ in theirs]), return_inverse=True)
+        starts = np.cumsum(sizes) - sizes
+        heavy = np.array([w.max() > 1 for _, w in theirs])
+
+        def near(i, other):
+            hashes, weights = mine[i]
+            at = np.minimum(np.searchsorted(distinct, hashes), len(distinct) - 1)
+            mark = np.zeros(len(distinct), np.int32)
+            mark[at[distinct[at] == hashes]] = 1
+            common = np.add.reduceat(mark[codes], starts)
+            plain = common / (len(hashes) + sizes - common) >= similarity
+            weighted = heavy | (weights.max() > 1)
+            found = other & plain & ~weighted
+            for j in np.flatnonzero(other & weighted & (_alike(signs[i], every) >= least)):
+                found[j] = probability_jaccard(*mine[i], *theirs[j]) >= similarity
+            return np.flatnonzero(found)
+
+        return near
+
+    blocks = _blocks(members, "cluster", F.length("bag"), _CHUNK_BYTES, _SLICE_BYTES)
+    groups = blocks.groupBy("cluster", "chunk", "slice")
+    return groups.applyInArrow(lambda t: _label_links(t, alike), "a binary, b binary").distinct()
 
 
 def near_duplicates(
@@ -334,16 +400,20 @@ def near_duplicates(
     classes = saved(spark, classes, "classes")
     buckets = classes.select(F.explode("bands").alias("band"), "key")
 
+    # every text that shares a bucket is in a pair, so these are all bags that are needed
     pairs = saved(spark, _star_pairs(buckets), "pairs")
-    links, labels = _linked(spark, docs, classes, pairs, similarity, registers, size)
-    rest = _rest_pairs(
-        buckets, classes.select("key", "signature"), labels, similarity, registers
-    )
-    rest = saved(spark, rest, "rest-pairs")
-    if not rest.isEmpty():
-        more, _ = _linked(spark, docs, classes, rest, similarity, registers, size, links)
-        links = more
-        labels = connected_components(spark, links)
+    used = pairs.select(F.col("a").alias("key")).unionAll(pairs.select("b")).distinct()
+    wanted = classes.join(used, "key").select("key", "doc_id", "text_key", "signature")
+    bags = saved(spark, _bags(docs, wanted, size), "bags")
+    links = saved(spark, verified(pairs, bags, similarity, registers), "links")
+    labels = connected_components(spark, links)
+
+    possible = _possible_links(buckets, bags, labels, similarity, registers)
+    possible = saved(spark, possible, "possible")
+    if not possible.isEmpty():
+        clusters = connected_components(spark, possible)
+        more = _exact_links(bags, labels, clusters, similarity, registers)
+        labels = connected_components(spark, links.unionAll(saved(spark, more, "more-links")))
 
     named = classes.join(labels, F.col("key") == F.col("node"), "left")
     named = named.select("key", "doc_id", F.coalesce("label", "key").alias("label"))
@@ -354,18 +424,6 @@ def near_duplicates(
     return result.select("doc_id", "text_key", own.alias("class_id"))
 
 
-def _linked(spark, docs, classes, pairs, similarity, registers, size, earlier=None):
-    """Verified links, with earlier ones, and the components they make."""
-    used = pairs.select(F.col("a").alias("key")).unionAll(pairs.select("b")).distinct()
-    wanted = classes.join(used, "key").select("key", "doc_id", "text_key", "signature")
-    bags = saved(spark, _bags(docs, wanted, size), "bags")
-    links = verified(pairs, bags, similarity, registers)
-    if earlier is not None:
-        links = links.unionAll(earlier)
-    links = saved(spark, links, "links")
-    return links, connected_components(spark, links)
-
-
 def keep_one(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:
     """The documents whose id is their class's: one of each class, whole rows.
 
