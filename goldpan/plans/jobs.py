@@ -15,7 +15,7 @@ from goldpan.schemas import (
     REVIEW_LOGS,
     USER_PURCHASE,
 )
-from goldpan.sources.delimited import read_csv
+from goldpan.sources.delimited import DEFAULT_LAYOUT, read_csv
 from goldpan.sources.formats import DEFAULT_FORMAT, read_dataset, show_table, write_dataset
 
 # Dataset names below the silver and gold folders; silver names are E.
@@ -32,25 +32,44 @@ def smoke(spark: SparkSession, path: str | None = None, fmt: str = DEFAULT_FORMA
 
 
 def transform_review_logs(
-    spark: SparkSession, source: str, target: str, fmt: str = DEFAULT_FORMAT, **options: object
+    spark: SparkSession,
+    source: str,
+    target: str,
+    fmt: str = DEFAULT_FORMAT,
+    layout: str = DEFAULT_LAYOUT,
+    **options: object,
 ) -> DataFrame:
-    logs = silver.review_logs(read_csv(spark, source, LOG_REVIEWS), **options)
+    logs = silver.review_logs(read_csv(spark, source, LOG_REVIEWS, layout=layout), **options)
     write_dataset(logs, target, fmt)
     return read_dataset(spark, target, fmt, logs.schema)
 
 
 def transform_classified_movie_review(
-    spark: SparkSession, source: str, target: str, fmt: str = DEFAULT_FORMAT, **options: object
+    spark: SparkSession,
+    source: str,
+    target: str,
+    fmt: str = DEFAULT_FORMAT,
+    layout: str = DEFAULT_LAYOUT,
+    **options: object,
 ) -> DataFrame:
-    classified = silver.classified_reviews(read_csv(spark, source, MOVIE_REVIEW), **options)
+    reviews = read_csv(spark, source, MOVIE_REVIEW, layout=layout)
+    classified = silver.classified_reviews(reviews, **options)
     write_dataset(classified, target, fmt)
     return read_dataset(spark, target, fmt, CLASSIFIED_REVIEW)
 
 
 def transform_user_purchase(
-    spark: SparkSession, source: str, target: str, fmt: str = DEFAULT_FORMAT
+    spark: SparkSession,
+    source: str,
+    target: str,
+    fmt: str = DEFAULT_FORMAT,
+    timestamp_format: str | None = None,
+    layout: str = DEFAULT_LAYOUT,
 ) -> DataFrame:
-    write_dataset(silver.user_purchase(read_csv(spark, source, USER_PURCHASE)), target, fmt)
+    purchases = read_csv(
+        spark, source, USER_PURCHASE, layout=layout, timestamp_format=timestamp_format
+    )
+    write_dataset(silver.user_purchase(purchases), target, fmt)
     return read_dataset(spark, target, fmt, USER_PURCHASE)
 
 

@@ -1,12 +1,14 @@
 """Runs of several steps: load, export, the jobs alone, and bronze to gold.
 
-In every run the first failure is raised and nothing after it starts.
+In every run the first failure is raised as it happens: steps beside it are interrupted
+and nothing after it starts.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import FIRST_EXCEPTION, ThreadPoolExecutor, wait
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +16,7 @@ from pyspark.sql import types as T
 
 from goldpan.operators import tables
 from goldpan.plans import jobs, silver
+from goldpan.sources.delimited import DEFAULT_LAYOUT
 from goldpan.sources.formats import DEFAULT_FORMAT, write_dataset
 
 
@@ -23,10 +26,11 @@ def load_purchases(
     table: str,
     root: str,
     timestamp_format: str | None = None,
+    layout: str = DEFAULT_LAYOUT,
 ) -> DataFrame:
     """Create the table if absent and make it equal to the CSV file."""
     tables.create_table(spark, table, root)
-    tables.reload_csv(spark, source, table, timestamp_format=timestamp_format)
+    tables.reload_csv(spark, source, table, timestamp_format=timestamp_format, layout=layout)
     return tables.total_rows(spark.table(table))
 
 
@@ -44,13 +48,17 @@ def run_jobs(
     fmt: str = DEFAULT_FORMAT,
     lexicon: Iterable[str] = silver.DEFAULT_LEXICON,
     log_payload: T.StructType = silver.LOG_PAYLOAD,
+    timestamp_format: str | None = None,
+    layout: str = DEFAULT_LAYOUT,
 ) -> DataFrame:
     """The silver jobs on files that are there already, then gold."""
     purchases = f"{base}/{jobs.SILVER_PURCHASE}"
     _side_by_side(
         spark,
-        lambda: jobs.transform_user_purchase(spark, purchases_csv, purchases, fmt),
-        *_review_jobs(spark, reviews_csv, logs_csv, base, fmt, lexicon, log_payload),
+        lambda: jobs.transform_user_purchase(
+            spark, purchases_csv, purchases, fmt, timestamp_format, layout
+        ),
+        *_review_jobs(spark, reviews_csv, logs_csv, base, fmt, lexicon, log_payload, layout),
     )
     return jobs.transform_movie_analytics(spark, base, fmt)
 
@@ -66,6 +74,7 @@ def bronze_to_gold(
     lexicon: Iterable[str] = silver.DEFAULT_LEXICON,
     log_payload: T.StructType = silver.LOG_PAYLOAD,
     timestamp_format: str | None = None,
+    layout: str = DEFAULT_LAYOUT,
 ) -> DataFrame:
     """Load, export, the silver jobs, then gold.
 
@@ -73,7 +82,7 @@ def bronze_to_gold(
     file, which an empty load would leave out of date; such a load stops the run.
     """
     root = f"{base}/tables/{table}"
-    load_purchases(spark, purchases_csv, table, root, timestamp_format)
+    load_purchases(spark, purchases_csv, table, root, timestamp_format, layout)
     purchases = spark.table(table)
     if not tables.is_nonempty(purchases):
         raise ValueError(f"{table} is empty after loading {purchases_csv}; nothing to transform")
@@ -83,7 +92,7 @@ def bronze_to_gold(
         lambda: write_dataset(
             silver.user_purchase(purchases), f"{base}/{jobs.SILVER_PURCHASE}", fmt
         ),
-        *_review_jobs(spark, reviews_csv, logs_csv, base, fmt, lexicon, log_payload),
+        *_review_jobs(spark, reviews_csv, logs_csv, base, fmt, lexicon, log_payload, layout),
     )
     return jobs.transform_movie_analytics(spark, base, fmt)
 
@@ -96,19 +105,32 @@ def _review_jobs(
     fmt: str,
     lexicon: Iterable[str],
     log_payload: T.StructType,
+    layout: str,
 ) -> list[Callable[[], object]]:
     return [
         lambda: jobs.transform_classified_movie_review(
-            spark, reviews_csv, f"{base}/{jobs.SILVER_CLASSIFIED}", fmt, lexicon=lexicon
+            spark, reviews_csv, f"{base}/{jobs.SILVER_CLASSIFIED}", fmt, layout, lexicon=lexicon
         ),
         lambda: jobs.transform_review_logs(
-            spark, logs_csv, f"{base}/{jobs.SILVER_REVIEW_LOGS}", fmt, payload=log_payload
+            spark, logs_csv, f"{base}/{jobs.SILVER_REVIEW_LOGS}", fmt, layout, payload=log_payload
         ),
     ]
 
 
 def _side_by_side(spark: SparkSession, *steps: Callable[[], object]) -> None:
     """Independent steps at once, so one step's last tasks leave no executor idle."""
+    tag = f"goldpan-{uuid.uuid4().hex}"
+
+    def tagged(step: Callable[[], object]) -> object:
+        spark.addTag(tag)
+        return step()
+
     with ThreadPoolExecutor(len(steps)) as pool:
-        for step in [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]:
-            step.result()
+        run = inheritable_thread_target(spark)
+        started = [pool.submit(run(lambda step=step: tagged(step))) for step in steps]
+        done, running = wait(started, return_when=FIRST_EXCEPTION)
+        failed = next((step for step in done if step.exception()), None)
+        if failed and running:
+            spark.interruptTag(tag)
+    for step in [failed] if failed else started:
+        step.result()

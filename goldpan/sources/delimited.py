@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from goldpan.sources.records import lines_with_odd_quotes, read_quoted_records
+from goldpan.sources.records import read_quoted_records
 from goldpan.sources.storage import publish_folder
 
 # Text formats otherwise cut timestamps to milliseconds.
@@ -37,20 +37,20 @@ WRITE_OPTIONS = {
     "timestampNTZFormat": TIMESTAMP_NTZ_FORMAT,
 }
 
-# Suffixes of compressed files that Spark reads in one piece.
-UNSPLITTABLE = r"\.(gz|deflate|lz4|snappy|zst)$"
-
 # A file whose records contain line breaks is read by one task, so exports are
 # cut into files of this many rows and stay parallel when they are read back.
 DEFAULT_ROWS_PER_FILE = 1_000_000
 
+# One exact layout for files of every size; see read_csv for the others.
+DEFAULT_LAYOUT = "files"
+
 
 def read_csv(
     spark: SparkSession,
     path: str,
     schema: T.StructType,
     header: bool = True,
-    layout: str | None = None,
+    layout: str = DEFAULT_LAYOUT,
     timestamp_format: str | None = None,
 ) -> DataFrame:
     """Typed, all-or-nothing CSV scan.
@@ -65,9 +65,9 @@ def read_csv(
     * ``"records"`` - fields may hold line breaks and files are large; records
       are put together across splits (two shuffles, no whole-file task).
 
-    By default the cheapest exact layout is chosen from the files themselves.
+    The default never depends on the files: ``"files"``, which takes every file that the
+    CSV reader takes. Files written here are cut small enough for it.
     """
-    layout = layout or choose_layout(spark, path)
     options = dict(READ_OPTIONS)
     if timestamp_format:
         options["timestampNTZFormat"] = timestamp_format
@@ -86,36 +86,6 @@ def read_csv(
     )
 
 
-def choose_layout(spark: SparkSession, path: str) -> str:
-    """The cheapest layout of :func:`read_csv` that is exact for these files.
-
-    While every file fits one split, or is compressed so that it cannot be
-    split, nothing is gained by splitting. Otherwise look for line breaks in
-    fields: a scan of plain lines that stops at the first hit. Sizes come from
-    the file listing, contents are not read for them.
-    """
-    conf = spark._jsparkSession.sessionState().conf()
-    largest_split, file_cost = conf.filesMaxPartitionBytes(), conf.filesOpenCostInBytes()
-    largest, total, whole = (
-        spark.read.format("binaryFile")
-        .load(path)
-        .agg(
-            F.max("length"),
-            F.sum(F.col("length") + file_cost),
-            F.bool_or(F.col("path").rlike(UNSPLITTABLE)),
-        )
-        .first()
-    )
-    if largest is None or whole:
-        return "files"
-    per_core = total / spark.sparkContext.defaultParallelism
-    if largest <= min(largest_split, max(file_cost, per_core)):
-        return "files"
-    if lines_with_odd_quotes(spark, path).isEmpty():
-        return "lines"
-    return "records" if largest > largest_split else "files"
-
-
 def write_csv(
     df: DataFrame, path: str, header: bool = True, rows_per_file: int = DEFAULT_ROWS_PER_FILE
 ) -> None:

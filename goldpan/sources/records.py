@@ -1,9 +1,11 @@
 """CSV records with line breaks inside quoted fields, from files of any size.
 
 Spark reads such a file in one task. Here the file is read as lines in ordinary
-splits instead, and the number of quotes seen so far tells whether a line starts
-a record or continues one: doubled quotes count twice, so an odd count means
-that a quoted field is still open.
+splits instead. As for the CSV reader, a quote opens a field only at the field's
+start, and a quoted field ends at a quote that is not doubled. So a line maps the
+state before it (inside a quoted field or not) to the state after it: it fixes the
+state, keeps it, or flips it. Such maps add up along a split and along a file's
+splits, and tell whether a line starts a record or continues one.
 """
 
 from __future__ import annotations
@@ -11,20 +13,48 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 _SPLIT = ["file", "block"]
 
 
-def _odd_quotes():
-    return F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+_QUOTED = '"(?:[^"]++|"")*+"'  # possessive, so that long fields take no stack
 
 
-def lines_with_odd_quotes(spark: SparkSession, path: str) -> DataFrame:
-    """Lines that open or close a field which spans lines; empty if there is none.
+def _after(line: Column) -> Column:
+    """1 if a quoted field is open after a line that starts outside one."""
+    left = F.regexp_replace(line, f"(^|,){_QUOTED}", "$1")
+    return left.rlike('(^|,)"').cast("int")
 
-    Lines end here where the CSV reader ends them, at carriage returns too.
+
+def _after_open(line: Column) -> Column:
+    """1 if a quoted field is open after a line that starts inside one."""
+    end = '^(?:[^"]++|"")*+"'
+    closed = F.concat(F.lit("-"), F.regexp_replace(line, end, ""))
+    return F.when(line.rlike(end), _after(closed)).otherwise(1)
+
+
+def _with_states(rows: DataFrame, order: WindowSpec, before: WindowSpec) -> DataFrame:
+    """Adds the state before a row, for both states at the start of its group.
+
+    ``if_closed`` and ``if_open`` are a row's own map. Added are the states before it,
+    ``before_if_closed`` and ``before_if_open``, and after it, ``if_closed_after`` and
+    ``if_open_after``.
     """
-    return spark.read.text(path).filter(_odd_quotes() % 2 == 1)
+    fixed = F.col("if_closed") == F.col("if_open")
+    flipped = (~fixed & (F.col("if_closed") == 1)).cast("int")
+    rows = rows.withColumn("flips", F.sum(flipped).over(order))
+    last = F.last(F.when(fixed, F.struct("if_closed", "flips")), ignorenulls=True)
+    rows = rows.withColumn("fixed", last.over(order))
+    for name, start in (("before_if_closed", 0), ("before_if_open", 1)):
+        since = F.when(
+            F.col("fixed").isNotNull(),
+            F.col("fixed.if_closed") + F.col("flips") - F.col("fixed.flips"),
+        ).otherwise(F.lit(start) + F.col("flips"))
+        after = name.removeprefix("before_") + "_after"
+        rows = rows.withColumn(after, (since % 2).cast("int"))
+        rows = rows.withColumn(name, F.lag(after, 1, start).over(before))
+    return rows.drop("flips", "fixed")
 
 
 def read_quoted_records(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
@@ -45,31 +75,41 @@ def read_quoted_records(spark: SparkSession, path: str, header: bool = True) ->
             # rises along a split, which one task reads from start to end
             F.monotonically_increasing_id().alias("position"),
         )
-        .withColumn("odd", _odd_quotes() % 2)
-        .withColumn("inside", (F.sum("odd").over(in_order) - F.col("odd")) % 2)
+        .withColumns({"if_closed": _after(F.col("value")), "if_open": _after_open(F.col("value"))})
     )
-    before = W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
-    splits = (
-        lines.groupBy(*_SPLIT)
-        .agg(
-            F.sum("odd").alias("flips"),
-            F.sum(1 - F.col("inside")).alias("starts_if_closed"),
-            F.sum("inside").alias("starts_if_open"),
-        )
-        .withColumn("open", F.coalesce(F.sum("flips").over(before) % 2, F.lit(0)))
-        .withColumn(
-            "starts",
-            F.when(F.col("open") == 0, F.col("starts_if_closed")).otherwise(
-                F.col("starts_if_open")
-            ),
-        )
-        .withColumn("starts_before", F.coalesce(F.sum("starts").over(before), F.lit(0)))
-        .select(*_SPLIT, "open", "starts_before")
+    along = W.partitionBy(*_SPLIT).orderBy("position")
+    lines = _with_states(lines, in_order, along)
+    empty = F.col("value").isin("", "\r")
+    lines = lines.withColumns(
+        {
+            # an empty line between records is none
+            "skipped_if_closed": (empty & (F.col("before_if_closed") == 0)).cast("int"),
+            "skipped_if_open": (empty & (F.col("before_if_open") == 0)).cast("int"),
+        }
+    )
+    by_block = W.partitionBy("file").orderBy("block")
+    until = by_block.rowsBetween(W.unboundedPreceding, 0)
+    before = by_block.rowsBetween(W.unboundedPreceding, -1)
+    splits = lines.groupBy(*_SPLIT).agg(
+        F.max_by("if_closed_after", "position").alias("if_closed"),
+        F.max_by("if_open_after", "position").alias("if_open"),
+        F.sum(1 - F.col("before_if_closed") - F.col("skipped_if_closed")).alias("starts_closed"),
+        F.sum(1 - F.col("before_if_open") - F.col("skipped_if_open")).alias("starts_open"),
     )
-    starts_record = F.when((F.col("inside") + F.col("open")) % 2 == 0, 1).otherwise(0)
+    splits = _with_states(splits, until, by_block)
+    open_ = F.col("before_if_closed").alias("open")
+    starts = F.when(F.col("before_if_closed") == 0, F.col("starts_closed"))
+    splits = splits.select(*_SPLIT, open_, starts.otherwise(F.col("starts_open")).alias("starts"))
+    splits = splits.withColumn("starts_before", F.coalesce(F.sum("starts").over(before), F.lit(0)))
+    splits = splits.drop("starts")
+    closed = F.col("open") == 0
     numbered = (
         lines.join(splits, _SPLIT)
-        .withColumn("starts", starts_record)
+        .withColumn(
+            "inside", F.when(closed, F.col("before_if_closed")).otherwise(F.col("before_if_open"))
+        )
+        .filter(~(empty & (F.col("inside") == 0)))
+        .withColumn("starts", 1 - F.col("inside"))
         .withColumn("number", F.col("starts_before") + F.sum("starts").over(in_order))
     )
     in_record = F.sort_array(F.collect_list(F.struct("block", "position", "value")))

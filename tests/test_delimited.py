@@ -15,7 +15,6 @@ from pyspark.errors import PySparkException
 from goldpan.schemas import MOVIE_REVIEW, USER_PURCHASE
 from goldpan.sources.delimited import (
     MONTH_FIRST_TIMESTAMPS,
-    choose_layout,
     read_csv,
     write_csv,
 )
@@ -30,7 +29,7 @@ def good_file(folder: Path) -> str:
     return str(path)
 
 
-@pytest.mark.parametrize("layout", [None, "files", "records"])
+@pytest.mark.parametrize("layout", ["files", "records"])
 def test_good_file_is_read_exactly(spark, tmp_path, layout):
     loaded = read_csv(spark, good_file(tmp_path), USER_PURCHASE, layout=layout)
     assert loaded.schema == USER_PURCHASE
@@ -95,7 +94,7 @@ def test_unknown_layout_is_refused(spark, tmp_path):
 
 
 def test_header_only_file_is_empty(spark, tmp_path):
-    for layout in (None, "files", "lines", "records"):
+    for layout in ("files", "lines", "records"):
         path = samples.write(tmp_path / "up_empty.csv")
         assert read_csv(spark, path, USER_PURCHASE, layout=layout).isEmpty()
 
@@ -130,28 +129,12 @@ def test_failed_export_keeps_the_earlier_one(spark, tmp_path):
     assert [path.name for path in tmp_path.iterdir() if path.is_dir()] == ["export"]
 
 
-def test_layout_follows_file_size_and_line_breaks(spark, tmp_path, setting):
-    plain = samples.write(tmp_path / "plain.csv", *[samples.GOOD_LINE] * 50)
-    assert choose_layout(spark, plain) == "files"
-    setting("spark.sql.files.maxPartitionBytes", "1000b")
-    assert choose_layout(spark, plain) == "lines"
-    broken = samples.write(
-        tmp_path / "broken.csv", *[samples.line(detail='"two\nlines"')] * 50
-    )
-    assert choose_layout(spark, broken) == "records"
-    assert read_csv(spark, broken, USER_PURCHASE).count() == 50
-    setting("spark.sql.files.maxPartitionBytes", "128m")
-    setting("spark.sql.files.openCostInBytes", "1")
-    assert choose_layout(spark, broken) == "files"
-
-
 def test_compressed_files_are_read_in_one_piece(spark, tmp_path, setting):
     path = tmp_path / "up.csv.gz"
     with gzip.open(path, "wt") as out:
         out.write(samples.GOOD_FILE)
     setting("spark.sql.files.maxPartitionBytes", "20b")
     setting("spark.sql.files.openCostInBytes", "1")
-    assert choose_layout(spark, str(path)) == "files"
     loaded = read_csv(spark, str(path), USER_PURCHASE)
     assert values(loaded) == sorted(samples.GOOD_ROWS, key=repr)
 
@@ -191,6 +174,24 @@ def test_any_rows_survive_export_and_load(spark, setting, rows, split_bytes):
             spark.conf.set("spark.sql.files.maxPartitionBytes", "128m")
 
 
+@pytest.mark.parametrize(
+    "content",
+    [
+        b'id,text\n' + b'7,7" nail\n' * 30,
+        b'id,text\n1,a"b"\n2,"x""\ny"\n3,""\n4,"""",\n'.replace(b",\n", b"\n"),
+        b'\n\nid,text\n\n1,"a\n\nb"\n\n2,0" x\n',
+        b'id,text\n1,"a,""\n"",b"\n2, "c\n3,d "\n',
+    ],
+)
+@pytest.mark.parametrize("split", ["5b", "12b", "10000b"])
+def test_records_follow_the_reader(spark, tmp_path, setting, content, split):
+    path = tmp_path / "raw.csv"
+    path.write_bytes(content)
+    expected = values(read_csv(spark, str(path), MOVIE_REVIEW, layout="files"))
+    setting("spark.sql.files.maxPartitionBytes", split)
+    assert values(read_csv(spark, str(path), MOVIE_REVIEW, layout="records")) == expected
+
+
 def test_records_end_with_either_line_ending(spark, tmp_path, setting):
     path = tmp_path / "crlf.csv"
     path.write_bytes(b'id,text\r\n1,"a\r\nb"\r\n2,plain\r\n3,"last"')
@@ -202,7 +203,7 @@ def test_records_end_with_either_line_ending(spark, tmp_path, setting):
 def test_lines_that_end_in_carriage_returns_alone(spark, tmp_path, setting):
     path = tmp_path / "cr.csv"
     path.write_bytes(b"id,text\r1,a\r2,b\r")
-    for layout in (None, "files", "lines"):
+    for layout in ("files", "lines"):
         assert values(read_csv(spark, str(path), MOVIE_REVIEW, layout=layout)) == [
             (1, "a"),
             (2, "b"),
@@ -216,7 +217,6 @@ def test_a_carriage_return_in_a_field_is_a_line_break(spark, tmp_path, setting):
     path = tmp_path / "field.csv"
     path.write_bytes(b'id,text\n' + b'1,"a\rb"\n' * 20)
     setting("spark.sql.files.maxPartitionBytes", "50b")
-    assert choose_layout(spark, str(path)) == "records"
     loaded = read_csv(spark, str(path), MOVIE_REVIEW)
     assert values(loaded) == [(1, "a\rb")] * 20
 
