@@ -9,6 +9,7 @@ failed load leaves the table as it was.
 from __future__ import annotations
 
 import json
+import time
 import uuid
 from collections.abc import Callable
 
@@ -20,6 +21,7 @@ from goldpan.sources.delimited import read_csv, write_csv
 from goldpan.sources.storage import delete_path, list_children
 
 _ROOT = "goldpan.root"
+KEPT_VERSIONS = 1
 
 
 def create_table(
@@ -29,13 +31,18 @@ def create_table(
     columns: str = USER_PURCHASE_DDL,
     fmt: str = "parquet",
 ) -> None:
-    """Create the typed table unless it exists (T1). ``root`` must be shared storage."""
+    """Create the typed table unless it exists (T1). ``root`` must be shared storage.
+
+    The table's versions lie in a folder of its own below ``root``, so that nothing else
+    there is ever deleted with them.
+    """
+    own = f"{root.rstrip('/')}/table-{uuid.uuid4().hex}"
     if not fmt.isidentifier():
         raise ValueError(f"not a format name: {fmt!r}")
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS IDENTIFIER(:name) ({columns}) USING {fmt} "
         f"LOCATION :version TBLPROPERTIES ('{_ROOT}' = :root)",
-        {"name": name, "version": _new_version(root), "root": root},
+        {"name": name, "version": _new_version(own), "root": own},
     )
 
 
@@ -52,9 +59,15 @@ def clear_table(spark: SparkSession, name: str) -> None:
     _move_to_new_version(spark, name, lambda staged: None)
 
 
-def reload_table(df: DataFrame, name: str) -> None:
-    """Make the table hold exactly the rows of ``df`` (T4); columns bind by position."""
+def reload_table(df: DataFrame, name: str, keep: int | None = KEPT_VERSIONS) -> None:
+    """Make the table hold exactly the rows of ``df`` (T4); columns bind by position.
+
+    Of the versions it has replaced, the table keeps the last ``keep`` for running
+    readers (None: all).
+    """
     _move_to_new_version(df.sparkSession, name, df.write.insertInto)
+    if keep is not None:
+        remove_old_versions(df.sparkSession, name, keep)
 
 
 def load_csv(spark: SparkSession, path: str, name: str, **read: object) -> None:
@@ -85,12 +98,22 @@ def export_if_nonempty(df: DataFrame, path: str, **write: object) -> bool:
     return True
 
 
-def remove_old_versions(spark: SparkSession, name: str) -> None:
-    """Free the space of replaced versions. Run it while no load or long read is active."""
-    current = _describe(spark, name)["location"].rstrip("/").rsplit("/", 1)[-1]
-    for version in list_children(spark, _root(spark, name)):
-        if version.rstrip("/").rsplit("/", 1)[-1] != current:
-            delete_path(spark, version)
+def remove_old_versions(spark: SparkSession, name: str, keep: int = 0) -> None:
+    """Free the space of replaced versions but the last ``keep``.
+
+    Run it while no load or long read is active that needs an older one.
+    """
+    current = _last_part(_describe(spark, name)["location"])
+    versions = {_last_part(path): path for path in list_children(spark, _root(spark, name))}
+    # names begin with the time, and a version made later than the current one is a
+    # load that has not ended
+    old = sorted(v for v in versions if v.startswith("version-") and v < current)
+    for version in old[: max(0, len(old) - keep)]:
+        delete_path(spark, versions[version])
+
+
+def _last_part(path: str) -> str:
+    return path.rstrip("/").rsplit("/", 1)[-1]
 
 
 def _move_to_new_version(spark: SparkSession, name: str, fill: Callable[[str], None]) -> None:
@@ -116,7 +139,7 @@ def _move_to_new_version(spark: SparkSession, name: str, fill: Callable[[str], N
 
 
 def _new_version(root: str) -> str:
-    return f"{root.rstrip('/')}/version-{uuid.uuid4().hex}"
+    return f"{root.rstrip('/')}/version-{time.time_ns():020d}-{uuid.uuid4().hex}"
 
 
 def _describe(spark: SparkSession, name: str) -> dict:

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import uuid
 from pathlib import Path
 
 import pytest
@@ -121,7 +122,7 @@ def test_drop_removes_rows_and_may_be_repeated(spark, purchases, good_csv, tmp_p
     tables.drop_table(spark, purchases)
     tables.drop_table(spark, purchases)
     assert not spark.catalog.tableExists(purchases)
-    assert not Path(root).exists()
+    assert not _versions(tmp_path, purchases)
     tables.create_table(spark, purchases, root)
     assert spark.table(purchases).isEmpty()
 
@@ -167,4 +168,29 @@ def test_other_tables_are_left_alone(spark, table_name):
 
 
 def _versions(tmp_path, name):
-    return sorted(path.name for path in Path(f"{tmp_path}/tables/{name}").glob("version-*"))
+    return sorted(path.name for path in Path(f"{tmp_path}/tables/{name}").glob("*/version-*"))
+
+
+def test_tables_under_one_root_are_safe_from_each_other(spark, good_csv, tmp_path):
+    root = tmp_path / "shared"
+    foreign = root / "foreign"
+    foreign.mkdir(parents=True)
+    (foreign / "kept.txt").write_text("x")
+    names = [f"t_{uuid.uuid4().hex}" for _ in range(2)]
+    for name in names:
+        tables.create_table(spark, name, str(root))
+        tables.reload_csv(spark, good_csv, name)
+    tables.remove_old_versions(spark, names[0])
+    assert values(spark.table(names[1])) == GOOD
+    tables.drop_table(spark, names[0])
+    assert values(spark.table(names[1])) == GOOD
+    assert (foreign / "kept.txt").exists()
+    tables.drop_table(spark, names[1])
+    assert [path.name for path in root.iterdir()] == ["foreign"]
+
+
+def test_reloads_keep_a_bounded_number_of_versions(spark, purchases, good_csv, tmp_path):
+    for _ in range(5):
+        tables.reload_csv(spark, good_csv, purchases)
+    assert len(_versions(tmp_path, purchases)) == 1 + tables.KEPT_VERSIONS
+    assert values(spark.table(purchases)) == GOOD
