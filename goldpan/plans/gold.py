@@ -28,7 +28,8 @@ def reviews_by_customer(classified: DataFrame, logs: DataFrame) -> DataFrame:
     labels = classified.groupBy(F.col("id_review").alias("labelled")).agg(
         F.count("*").alias("n"), F.sum("positive_review").alias("positive")
     )
-    lines = logs.select(F.col("user_id").cast("int").alias("customer_id"), "id_review")
+    # logs may name users beyond a customer's type, so the wider type stays
+    lines = logs.select(F.col("user_id").alias("customer_id"), "id_review")
     same_review = (F.col("id_review") == F.col("labelled")) & (
         F.xxhash64("id_review") == F.xxhash64("labelled")
     )
@@ -45,10 +46,12 @@ def movie_analytics(purchases: DataFrame, classified: DataFrame, logs: DataFrame
     Both halves are grouped by customer first, so this join adds no shuffle and
     cannot fan out.
     """
-    spent = amount_spent(purchases)
+    # grouped by the logs' wider type, so that the join needs no cast of its key
+    wide = purchases.withColumn("customer_id", F.col("customer_id").cast("bigint"))
+    spent = amount_spent(wide)
     reviewed = reviews_by_customer(classified, logs)
     return spent.join(reviewed, "customer_id", "left").select(
-        "customer_id",
+        F.col("customer_id").cast("int").alias("customer_id"),
         "amount_spent",
         F.coalesce("review_count", F.lit(0)).alias("review_count"),
         F.coalesce("review_score", F.lit(0)).alias("review_score"),
