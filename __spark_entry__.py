@@ -78,25 +78,28 @@ def reload_twice(spark: SparkSession, folder: str) -> DataFrame:
     name, path = _new_table(spark), _purchases_csv(spark, folder)
     tables.reload_csv(spark, path, name)
     tables.reload_csv(spark, path, name)
-    return tables.total_rows(spark.table(name))
+    return spark.table(name)
 
 
 def clear_table(spark: SparkSession, folder: str) -> DataFrame:
-    """No rows are left of a loaded table."""
+    """A loaded table's rows before and after it is cleared."""
     name = _new_table(spark)
     tables.reload_table(star.purchases(spark, folder), name)
+    before = tables.total_rows(spark.table(name)).first().total_rows
     tables.clear_table(spark, name)
-    return tables.total_rows(spark.table(name))
+    return _before_and_after(spark, before, name)
 
 
 def drop_recreate(spark: SparkSession, folder: str) -> DataFrame:
-    """A dropped table comes back empty; dropping twice is fine."""
-    name = _new_table(spark)
+    """A dropped table comes back empty in the same folder; dropping twice is fine."""
+    root = scratch_dir(spark, "table")
+    name = _new_table(spark, root=root)
     tables.reload_table(star.purchases(spark, folder), name)
+    before = tables.total_rows(spark.table(name)).first().total_rows
     tables.drop_table(spark, name)
     tables.drop_table(spark, name)
-    _new_table(spark, name)
-    return tables.total_rows(spark.table(name))
+    _new_table(spark, name, root)
+    return _before_and_after(spark, before, name)
 
 
 def export_if_nonempty(spark: SparkSession, folder: str) -> DataFrame:
@@ -228,12 +231,19 @@ def arrival_ingest(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(USER_PURCHASE).parquet(target)
 
 
-def _new_table(spark: SparkSession, name: str | None = None) -> str:
+def _new_table(spark: SparkSession, name: str | None = None, root: str | None = None) -> str:
     name = name or f"user_purchase_{uuid.uuid4().hex}"
-    tables.create_table(spark, name, scratch_dir(spark, "table"))
+    tables.create_table(spark, name, root or scratch_dir(spark, "table"))
     return name
 
 
+def _before_and_after(spark: SparkSession, before: int, name: str) -> DataFrame:
+    after = tables.total_rows(spark.table(name))
+    return after.select(
+        F.lit(before).cast("long").alias("rows_before"), F.col("total_rows").alias("rows_after")
+    )
+
+
 def _purchases_csv(spark: SparkSession, folder: str) -> str:
     path = scratch_dir(spark, "purchases")
     write_csv(star.purchases(spark, folder), path)
@@ -306,7 +316,7 @@ from (
          list_filter(regexp_split_to_array(lower(text), '[^a-z]+'),
                      lambda word: word <> ''
                      and not list_contains([{_sql_list(ENGLISH_STOP_WORDS)}], word)) as words
-  from documents where lang = 'en'
+  from documents
 )
 """
 
@@ -327,7 +337,9 @@ select customer_id, amount_spent, coalesce(review_count, 0) as review_count,
 from ({AMOUNT_SPENT_SQL}) left join reviewed using (customer_id)
 """
 
-NO_ROWS_SQL = "select cast(0 as bigint) as total_rows"
+EMPTIED_SQL = f"""
+select count(*) as rows_before, cast(0 as bigint) as rows_after from ({PURCHASES_SQL})
+"""
 
 
 def oracle_sql() -> dict[str, str]:
@@ -340,13 +352,13 @@ def _own_sql() -> dict[str, str]:
         "csv_load_roundtrip": PURCHASES_SQL,
         "csv_positional_binding": PURCHASES_SQL,
         "csv_records_across_lines": (
-            "select doc_id as id_review, text as review_str from documents where lang = 'en'"
+            "select doc_id as id_review, text as review_str from documents"
         ),
         "typed_table": PURCHASES_SQL,
         "total_rows": "select count(*) as total_rows from lineitem",
-        "reload_twice": f"select count(*) as total_rows from ({PURCHASES_SQL})",
-        "clear_table": NO_ROWS_SQL,
-        "drop_recreate": NO_ROWS_SQL,
+        "reload_twice": PURCHASES_SQL,
+        "clear_table": EMPTIED_SQL,
+        "drop_recreate": EMPTIED_SQL,
         "export_if_nonempty": PURCHASES_SQL,
         "silver_user_purchase": PURCHASES_SQL,
         "silver_formats": " union all ".join(formats),
@@ -363,10 +375,9 @@ def _own_sql() -> dict[str, str]:
         "gold_movie_analytics": GOLD_SQL,
         "job_smoke": "select count(*) as total_rows from lineitem",
         "job_registry": f"""
-            with purchases as ({PURCHASES_SQL}),
-                 english as (select * from documents where lang = 'en')
+            with purchases as ({PURCHASES_SQL})
             select 'up' as job, count(*) as total_rows from purchases
-            union all select 'crm', count(*) from english
+            union all select 'crm', count(*) from documents
             union all select 'rl', count(*) from events
             union all select 'ma', count(*) from (select distinct customer_id from purchases)
             union all select 'show', least(count(*), {SHOWN_ROWS}) from purchases

@@ -71,11 +71,9 @@ def log_reviews(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def movie_reviews(spark: SparkSession, folder: str) -> DataFrame:
-    """Reviews with free text, one per English document."""
-    return (
-        table(spark, folder, "documents")
-        .filter("lang = 'en'")
-        .select(F.col("doc_id").alias("id_review"), F.col("text").alias("review_str"))
+    """Reviews with free text, one per document."""
+    return table(spark, folder, "documents").select(
+        F.col("doc_id").alias("id_review"), F.col("text").alias("review_str")
     )
 
 

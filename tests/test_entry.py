@@ -33,7 +33,8 @@ def test_query_equals_sql(spark, reference_tables, name):
 
 
 def test_only_the_trained_classifier_has_no_sql():
-    assert set(QUERIES) - set(ORACLES) == {"classifier"}
+    own = {name for name in QUERIES if not name.startswith("op") and name != "pipeline"}
+    assert own - set(ORACLES) == {"classifier"}
     assert set(ORACLES) <= set(QUERIES)
 
 
