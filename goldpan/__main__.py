@@ -1,13 +1,17 @@
 """``python -m goldpan <name> [arguments...]``, also as a spark-submit main.
 
-The names are those of the single jobs and of the workflows below.
+The names are those of the single jobs and of the workflows below. Arguments go by
+position or as ``name=value``; a value may be JSON (``lexicon=["good","fine"]``), a schema
+is written as columns (``payload="userId bigint, score double"``).
 """
 
 from __future__ import annotations
 
+import json
 import sys
 
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from goldpan.operators.tables import drop_table
 from goldpan.plans import workflows
@@ -24,12 +28,35 @@ COMMANDS = {
 }
 
 
+ALL_ROWS = 2**31 - 1
+
+
+def _parsed(arguments: list[str]) -> tuple[list[str], dict[str, object]]:
+    """Positional values, and ``name=value`` options whose values may be JSON."""
+    values, options = [], {}
+    for argument in arguments:
+        name, equals, value = argument.partition("=")
+        if not (equals and name.isidentifier()):
+            values.append(argument)
+            continue
+        try:
+            options[name] = json.loads(value)
+        except ValueError:
+            options[name] = value
+    for name in ("payload", "log_payload", "schema"):
+        if isinstance(options.get(name), str):
+            options[name] = T._parse_datatype_string(options[name])
+    return values, options
+
+
 def main(arguments: list[str]) -> None:
     if not arguments or arguments[0] not in COMMANDS:
         raise SystemExit(f"usage: python -m goldpan <{'|'.join(COMMANDS)}> [arguments...]")
-    result = COMMANDS[arguments[0]](build_session(), *arguments[1:])
+    name, values, options = arguments[0], *_parsed(arguments[1:])
+    result = COMMANDS[name](build_session(), *values, **options)
     if isinstance(result, DataFrame):
-        result.show(truncate=False)
+        # what is shown was limited by the job; results of other jobs are only sampled
+        result.show(ALL_ROWS if name == "show" else 20, truncate=False)
     elif result is not None:
         print(result)
 

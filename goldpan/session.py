@@ -10,6 +10,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 _TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+_MANY_PARTITIONS, _MOST_PARTITIONS = 5_000, 20_000
 _local_scratch: str | None = None
 
 
@@ -18,9 +19,8 @@ def build_session(
 ) -> SparkSession:
     """A session with the settings the jobs are written for.
 
-    ``input_bytes`` sizes the shuffle: AQE starts from about one partition per
-    128 MB and merges small ones, so a big input does not spill and a small one
-    does not run thousands of empty tasks.
+    ``input_bytes`` sizes the shuffle, see :func:`shuffle_partitions`; AQE merges
+    small partitions, so a small input does not run thousands of empty tasks.
     """
     builder = (
         SparkSession.builder.appName(app)
@@ -30,7 +30,7 @@ def build_session(
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
     )
     if input_bytes is not None:
-        partitions = max(8, -(-input_bytes // _TARGET_PARTITION_BYTES))
+        partitions = shuffle_partitions(input_bytes)
         builder = builder.config(
             "spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions)
         )
@@ -39,6 +39,19 @@ def build_session(
     return builder.getOrCreate()
 
 
+def shuffle_partitions(input_bytes: int) -> int:
+    """About one partition per 128 MB, and fewer, larger ones for very large inputs.
+
+    A shuffle has as many blocks as map tasks times partitions, and the driver keeps
+    a size for each: beyond some thousands, partitions grow with the input's square
+    root, up to a bound, and what does not fit into memory is sorted on disk.
+    """
+    wanted = -(-input_bytes // _TARGET_PARTITION_BYTES)
+    if wanted > _MANY_PARTITIONS:
+        wanted = int((wanted * _MANY_PARTITIONS) ** 0.5)
+    return max(8, min(wanted, _MOST_PARTITIONS))
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A new, empty path under the shared folder named by ``spark.checkpoint.dir``.
 

@@ -49,12 +49,17 @@ _READ = {
 }
 
 
+def write_options(fmt: str) -> dict[str, object]:
+    """What a format's writer needs to keep every value."""
+    return dict(_WRITE.get(fmt.lower(), {}))
+
+
 def write_dataset(
     df: DataFrame, path: str, fmt: str = DEFAULT_FORMAT, rows_per_file: int | None = None
 ) -> None:
     """Replace the dataset at ``path``; an earlier one survives a failed write."""
     spark = df.sparkSession
-    writer = df.write.format(fmt).options(**_WRITE.get(fmt.lower(), {}))
+    writer = df.write.format(fmt).options(**write_options(fmt))
     if rows_per_file:
         writer = writer.option("maxRecordsPerFile", rows_per_file)
     with_hint = _naming_missing_module(spark, fmt)

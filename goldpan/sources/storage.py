@@ -49,6 +49,8 @@ def publish_folder(spark: SparkSession, target: str, write: Callable[[str], None
     A rename is one step on a file system but a copy on most object stores;
     there, keep large datasets in catalog tables, which move by a catalog change.
     """
+    fs, path = _resolve(spark, target)
+    target = path.makeQualified(fs.getUri(), fs.getWorkingDirectory()).toString()
     parent, _, name = target.rstrip("/").rpartition("/")
     token = uuid.uuid4().hex
     staging, retired = (f"{parent}/.{role}-{token}-{name}" for role in ("staging", "retired"))

@@ -6,6 +6,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
 from goldpan.sources.delimited import READ_OPTIONS
+from goldpan.sources.formats import write_options
 
 
 def ingest_arrivals(
@@ -18,6 +19,7 @@ def ingest_arrivals(
     header: bool = True,
     line_breaks: bool = True,
     files_per_batch: int | None = None,
+    timestamp_format: str | None = None,
 ) -> None:
     """Load every CSV file that arrived anywhere below ``landing`` since the last
     call, each exactly once.
@@ -26,7 +28,8 @@ def ingest_arrivals(
     output is complete, so a run that dies is continued and not repeated. Rows
     are only converted and written: no state is kept, whatever the volume.
     ``line_breaks=False`` promises that no field spans lines, so that large files
-    are split.
+    are split. ``timestamp_format`` is as in ``read_csv``. Text sinks keep what datasets
+    of their format keep: microseconds, blanks, nulls.
     """
     reader = (
         spark.readStream.schema(schema)
@@ -35,11 +38,14 @@ def ingest_arrivals(
         .option("multiLine", line_breaks)
         .option("recursiveFileLookup", True)
     )
+    if timestamp_format:
+        reader = reader.option("timestampNTZFormat", timestamp_format)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     query = (
         reader.csv(landing)
         .writeStream.format(fmt)
+        .options(**write_options(fmt))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start(target)

@@ -49,3 +49,11 @@ def test_session_sizes_its_shuffles(spark):
     finally:
         spark.conf.unset(key)
         spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+
+
+def test_partitions_stay_bounded():
+    assert session.shuffle_partitions(1) == 8
+    assert session.shuffle_partitions(128 << 30) == 1024
+    sizes = [session.shuffle_partitions(1 << n) for n in range(30, 60)]
+    assert sizes == sorted(sizes)
+    assert session.shuffle_partitions(100 << 40) <= 20_000
