@@ -35,7 +35,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goldpan.llm.common import Cache, slices, whole
+from goldpan.llm.common import Cache, saved, slices, whole
 
 VOCABULARY = "word_bpe_49k.json"
 LEXICON_WORDS = 50_000
@@ -338,14 +338,27 @@ def _counted(counts: Counter) -> pa.RecordBatch:
 
 
 def build_lexicon(
-    texts: DataFrame, path: str, column: str = "text", words: int = LEXICON_WORDS
+    spark: SparkSession,
+    texts: DataFrame,
+    path: str,
+    column: str = "text",
+    words: int = LEXICON_WORDS,
 ) -> bytes:
-    """The compiled lexicon of the ``words`` most frequent words of all texts.
+    """The compiled lexicon of the corpus' frequent words, ``words`` of them at most.
 
-    The lexicon's size is the bound on what reaches the driver and is broadcast.
+    Frequent is a word that occurs ``2 ** c`` times or more, with the least ``c`` that
+    keeps within ``words``: a count for each power of two decides it, so that no more
+    than the lexicon reaches the driver. The lexicon is also all that is broadcast.
     """
-    top = word_counts(texts, column).orderBy(F.desc("n"), "word").limit(words)
-    frequent = [row.word for row in top.collect()]
+    counts = saved(spark, word_counts(texts, column), "word-counts")
+    power = F.floor(F.log2("n")).cast("int").alias("power")
+    at_least, least = 0, 64
+    for row in counts.groupBy(power).agg(F.count("*").alias("words")).orderBy(F.desc("power")).collect():
+        at_least += row.words
+        if at_least > words:
+            break
+        least = row.power
+    frequent = [row.word for row in counts.filter(F.floor(F.log2("n")) >= least).collect()]
     encoded = Merges(path).encode([word.encode() for word in frequent])
     return compile_lexicon({w: ids.tolist() for w, ids in zip(frequent, encoded)})
 
@@ -373,16 +386,13 @@ class Encoder:
 
     def of_pieces(self, pieces: list[str]) -> list[tuple[bytes, str]]:
         """Ids as little-endian bytes and decoded text of each piece."""
-        self.words.room()
-        self.pieces.room()
         new = {}
-        for piece in pieces:
-            if piece not in self.pieces:
-                lowered = _lower(piece)
-                new[piece] = [lowered] if lowered.isalpha() else _PIECES.findall(lowered)
-        missing = {w for words in new.values() for w in words}.difference(self.words)
+        for piece in self.pieces.missing(pieces):
+            lowered = _lower(piece)
+            new[piece] = [lowered] if lowered.isalpha() else _PIECES.findall(lowered)
+        missing = self.words.missing([w for words in new.values() for w in words])
         if missing:
-            self._learn_words(list(missing))
+            self._learn_words(missing)
         for piece, words in new.items():
             ids = [i for word in words for i in self.words[word].tolist()]
             self.pieces[piece] = (
@@ -408,7 +418,7 @@ class Encoder:
                 own = codes[bounds[row] : bounds[row + 1]]
                 yield (
                     b"".join(map(as_bytes.__getitem__, own)),
-                    " ".join(map(as_text.__getitem__, own)),
+                    " ".join(filter(None, map(as_text.__getitem__, own))),
                 )
 
 
@@ -428,7 +438,7 @@ def encode_texts(
     ``path`` is the vocabulary file, on every executor.
     """
     path = path or public_tokenizers.path(VOCABULARY)
-    block = build_lexicon(texts, path, text_column, lexicon_words)
+    block = build_lexicon(spark, texts, path, text_column, lexicon_words)
     key = ("encoder", path, hashlib.sha256(block).hexdigest())
     shared = spark.sparkContext.broadcast(block)
     id_type = texts.schema[id_column].dataType.simpleString()

@@ -13,17 +13,22 @@ from pyspark.sql import DataFrame, SparkSession
 from goldpan.session import scratch_dir
 
 SLICE_BYTES = 4 << 20
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 200_000
 
 
 def slices(
     batches: Iterable[pa.RecordBatch], by: str, size: int = SLICE_BYTES
 ) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that column ``by`` has about ``size`` bytes, one row at least."""
+    """Cut batches so that column ``by`` has about ``size`` bytes, one row at least.
+
+    A column of numbers gives each row's bytes itself.
+    """
     for batch in batches:
         if not batch.num_rows:
             continue
-        lengths = pc.fill_null(pc.binary_length(batch.column(by)), 0).to_numpy(zero_copy_only=False)
+        column = batch.column(by)
+        lengths = column if pa.types.is_integer(column.type) else pc.binary_length(column)
+        lengths = pc.fill_null(lengths, 0).to_numpy(zero_copy_only=False)
         ends = np.cumsum(lengths.astype(np.int64))
         first = 0
         while first < batch.num_rows:
@@ -47,11 +52,26 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 
 class Cache(dict):
-    """A dictionary that starts anew when it is full, so that a worker's memory is bounded."""
+    """A dictionary of bounded size, in two generations: a worker's memory stays bounded.
+
+    When it is full, it becomes the old generation and starts anew; what is asked for
+    again comes back from there.
+    """
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.old: dict = {}
 
-    def room(self, entries: int = CACHE_ENTRIES) -> None:
+    def missing(self, keys: list, entries: int = CACHE_ENTRIES) -> list:
+        """Makes room, brings old entries of ``keys`` back, returns the keys without one."""
         if len(self) > entries:
+            self.old = dict(self)
             self.clear()
+        unknown = set(keys).difference(self)
+        back = unknown.intersection(self.old)
+        for key in back:
+            self[key] = self.old[key]
+        return list(unknown - back)
 
 
 _word_hashes = Cache()
@@ -65,8 +85,10 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """
     lists = pc.utf8_split_whitespace(pc.utf8_lower(texts))
     coded = pc.dictionary_encode(lists.flatten())
-    _word_hashes.room()
-    known = [_word_hash(word) for word in coded.dictionary.to_pylist()]
+    distinct = coded.dictionary.to_pylist()
+    for word in _word_hashes.missing(distinct):
+        _word_hashes[word] = _word_hash(word)
+    known = list(map(_word_hashes.__getitem__, distinct))
     hashes = np.array(known, dtype=np.uint64)[coded.indices.to_numpy(zero_copy_only=False)]
     counts = np.diff(lists.offsets.to_numpy(zero_copy_only=False)).astype(np.int64)
     kept = hashes != 0
@@ -76,12 +98,8 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def _word_hash(word: str) -> int:
     """0 for a string without letters and digits."""
-    found = _word_hashes.get(word)
-    if found is None:
-        core = word if word.isalnum() else "".join(filter(str.isalnum, word))
-        found = (xxhash.xxh3_64_intdigest(core) or 1) if core else 0
-        _word_hashes[word] = found
-    return found
+    core = word if word.isalnum() else "".join(filter(str.isalnum, word))
+    return (xxhash.xxh3_64_intdigest(core) or 1) if core else 0
 
 
 def saved(spark: SparkSession, df: DataFrame, purpose: str) -> DataFrame:

@@ -7,8 +7,9 @@ carries everything needed to read it: document ids, document lengths, control an
 bytes. Blocks are rows of Parquet files, so Spark's committer makes their writing atomic
 and a lost task is just run again.
 
-Documents are dealt out by ranges of their id first and encoded in that order; no later
-step moves them again. The order of equal ids is that of their texts.
+Documents are dealt out by ranges of their id first, as compressed texts, and encoded in
+that order; no later step moves them again. The order of equal ids is that of their
+compressed texts.
 
 Defined results: a null text is read as empty and gives the end id alone; null document
 ids come first; repeated rows are all kept; an empty table gives no blocks; columns other
@@ -25,7 +26,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import TaskContext
+import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -38,10 +39,14 @@ END_ID = 2
 BLOCK_TOKENS = 1 << 20
 MAGIC = b"GPTK"
 _NULL_ID = -(1 << 63)
+_SLICE_BYTES = 4 << 20
+_CACHED_PIECES = 400_000
 
-# white space as the vocabulary's own pattern has it; a piece ends where words always end
-_SPACE = "\t-\r \x85\xa0  -     　"
+# white space as the vocabulary's own pattern has it; words always end at it
+_SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _PIECES = re.compile(f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
+# runs of white space: only without them a text may be cut at its blanks
+_RUNS = f"[{_SPACE}][{_SPACE}]|<\\|endoftext\\|>"
 
 
 # --- variable-length code -------------------------------------------------------
@@ -116,46 +121,93 @@ class PieceEncoder:
         self.specials = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.ids: Cache = Cache()
 
-    def of_texts(self, texts: list[str]) -> list[bytes]:
-        self.ids.room()
-        known = self.ids
-        split = [
-            None if any(s in text for s in self.specials) else _PIECES.findall(text)
-            for text in texts
-        ]
-        new = list({p for pieces in split if pieces for p in pieces}.difference(known))
-        for piece, found in zip(new, self.library.encode_batch(new, add_special_tokens=False)):
-            known[piece] = np.array(found.ids, "<u4").tobytes()
+    def _known(self, pieces: list[str]) -> list[bytes]:
+        new = self.ids.missing(pieces, _CACHED_PIECES)
+        for piece, found in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False)):
+            self.ids[piece] = np.array(found.ids, "<u4").tobytes()
+        return list(map(self.ids.__getitem__, pieces))
+
+    def _cut_anywhere(self, text: str) -> bytes:
+        if any(special in text for special in self.specials):
+            ids = self.library.encode(text, add_special_tokens=False).ids
+            return np.array(ids, "<u4").tobytes()
+        return b"".join(self._known(_PIECES.findall(text)))
+
+    def of_texts(self, texts: pa.Array) -> list[bytes]:
+        """Texts with single white space only are cut at blanks, all at once."""
+        other = pc.match_substring_regex(texts, _RUNS).to_numpy(zero_copy_only=False)
+        lists = pc.split_pattern(pc.if_else(pa.array(~other), texts, ""), " ")
+        coded = pc.dictionary_encode(lists.flatten())
+        offsets = lists.offsets.to_numpy(zero_copy_only=False)
+        offsets = offsets - offsets[0]
+        codes = coded.indices.to_numpy(zero_copy_only=False)
+        distinct = coded.dictionary.to_pylist()
+        # a text's first piece has no blank before it
+        first = [distinct[c] for c in codes[offsets[:-1]]]
+        codes = codes.copy()
+        codes[offsets[:-1]] = len(distinct) + np.arange(len(first))
+        table = self._known([" " + piece for piece in distinct] + first)
+        codes = codes.tolist()
         return [
-            np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-            if pieces is None
-            else b"".join(map(known.__getitem__, pieces))
-            for text, pieces in zip(texts, split)
+            self._cut_anywhere(texts[row].as_py())
+            if other[row]
+            else b"".join(map(table.__getitem__, codes[offsets[row] : offsets[row + 1]]))
+            for row in range(len(texts))
         ]
 
 
+def in_order(texts: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """``part, id, size, packed``: texts, compressed, dealt out and sorted by ascending id.
+
+    The ranges' ends are approximate quantiles of the ids, so the texts are read once.
+    """
+    chosen = texts.select(
+        F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text")
+    )
+    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shares = [i / parts for i in range(1, parts)]
+    ends = chosen.approxQuantile("id", shares, 0.1 / parts) if shares else []
+    ends = np.unique(np.array(ends, np.float64))
+
+    def pack(batches):
+        for batch in slices(batches, "text"):
+            ids = pc.fill_null(batch.column("id"), _NULL_ID).to_numpy(zero_copy_only=False)
+            squeeze = zstandard.ZstdCompressor(level=1).compress
+            packed = [squeeze(t.encode()) for t in whole(batch, "text").to_pylist()]
+            part = np.searchsorted(ends, ids.astype(np.float64))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(part, pa.int32()),
+                    batch.column("id"),
+                    pc.fill_null(pc.binary_length(batch.column("text")), 0).cast(pa.int64()),
+                    pa.array(packed, pa.binary()),
+                ],
+                ["part", "id", "size", "packed"],
+            )
+
+    packed = chosen.mapInArrow(pack, "part int, id long, size long, packed binary")
+    return packed.repartitionById(parts, "part").sortWithinPartitions("id", "packed")
+
+
 def encode_in_order(
     texts: DataFrame, path: str, id_column: str, text_column: str, end_id: int
 ) -> DataFrame:
     """Runs of documents in ascending id order: ``part``, ``seq``, ids, lengths, token ids."""
-    chosen = texts.select(
-        F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text")
-    )
-    ordered = chosen.repartitionByRange("id", "text").sortWithinPartitions("id", "text")
     end = np.array([end_id], "<u4").tobytes()
 
     def encode(batches):
-        part, seq = TaskContext.get().partitionId(), 0
-        for batch in slices(batches, "text"):
+        seq, unpack = 0, zstandard.ZstdDecompressor().decompress
+        for batch in slices(batches, "size", _SLICE_BYTES):
             encoder = _once(("pieces", path), lambda: PieceEncoder(path))
-            found = [ids + end for ids in encoder.of_texts(whole(batch, "text").to_pylist())]
+            own = pa.array([unpack(p) for p in batch.column("packed").to_pylist()], pa.binary())
+            found = [ids + end for ids in encoder.of_texts(own.cast(pa.string()))]
             ids = pc.fill_null(batch.column("id"), _NULL_ID).to_numpy(zero_copy_only=False)
             lengths = np.array([len(f) // 4 for f in found], "<i8")
             tokens = np.frombuffer(b"".join(found), "<u4")
             kind = "<u2" if tokens.max(initial=0) < 1 << 16 else "<u4"
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([part], pa.int64()),
+                    batch.column("part").slice(0, 1).cast(pa.int64()),
                     pa.array([seq], pa.int64()),
                     pa.array([ids.astype("<i8").tobytes()], pa.binary()),
                     pa.array([lengths.tobytes()], pa.binary()),
@@ -166,7 +218,7 @@ def encode_in_order(
             )
             seq += 1
 
-    return ordered.mapInArrow(
+    return in_order(texts, id_column, text_column).mapInArrow(
         encode, "part long, seq long, doc_ids binary, lengths binary, width int, tokens binary"
     )
 

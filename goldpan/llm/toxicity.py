@@ -54,11 +54,9 @@ def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Places of the features of all texts and the text of each, not yet distinct."""
     lists = pc.utf8_split_whitespace(pc.utf8_lower(texts))
     coded = pc.dictionary_encode(lists.flatten())
-    _hashes.room()
     distinct = coded.dictionary.to_pylist()
-    for word in distinct:
-        if word not in _hashes:
-            _hashes[word] = np.array(_word_codes(word), np.uint64).tobytes()
+    for word in _hashes.missing(distinct):
+        _hashes[word] = np.array(_word_codes(word), np.uint64).tobytes()
     table = np.frombuffer(b"".join(map(_hashes.__getitem__, distinct)), np.uint64)
     table = table.reshape(-1, 1 + len(STEM_CHARS))
     codes = coded.indices.to_numpy(zero_copy_only=False)
