@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from goldpan.session import scratch_dir
 
-SLICE_BYTES = 4 << 20
-CACHE_ENTRIES = 200_000
+SLICE_BYTES = 2 << 20
+CACHE_ENTRIES = 80_000
 
 
 def slices(

@@ -255,14 +255,15 @@ def redact(spark: SparkSession, docs: DataFrame) -> DataFrame:
     tail = F.substring(text, F.element_at(cuts, -1) + 1, F.length(text))
     changed = F.concat(F.array_join(F.transform(spans, replace), ""), tail)
     changed = F.when(F.size(spans) > 0, changed).otherwise(text)
+    found = found.select("__row", changed.alias("text"), (F.size(spans) > 0).alias("__found"))
 
     def column(name: str) -> Column:
         own = F.col("__row").getField(name)
         if name == "text":
-            own = changed
+            own = F.col("text")
         elif name == "n_chars":
-            length = F.length(changed).cast(docs.schema[name].dataType)
-            own = F.when(F.size(spans) > 0, length).otherwise(own)
+            length = F.length("text").cast(docs.schema[name].dataType)
+            own = F.when(F.col("__found"), length).otherwise(own)
         return own.alias(name)
 
     return found.select(*map(column, docs.columns))

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from goldpan.llm.common import Cache, mix64, slices, whole
 
-FIT_ROWS = 16_000
+FIT_ROWS = 10_000
 EPOCHS = 3
 BITS = 22
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 6.0, 0.1
@@ -142,7 +142,8 @@ def fit(
             key = np.unique(owners << BITS | places)
             ends = np.searchsorted(key, np.arange(batch.num_rows + 1) << BITS)
             own = (key & (_INTERCEPT - 1)).astype(np.int32)
-            rows = [own[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])]
+            last = np.array([_INTERCEPT], np.int32).tobytes()
+            rows = [own[a:b].tobytes() + last for a, b in zip(ends[:-1], ends[1:])]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(rows, pa.binary()), batch.column("toxic"), batch.column("place")],
                 ["features", "toxic", "place"],
@@ -150,10 +151,11 @@ def fit(
 
     def learn(table: pa.Table) -> pa.Table:
         z, n = np.zeros(_INTERCEPT + 1), np.zeros(_INTERCEPT + 1)
-        table = table.sort_by([("place", "ascending"), ("features", "ascending")])
+        order = pc.sort_indices(table, [("place", "ascending"), ("features", "ascending")])
+        # views of the table's own memory
+        features, toxic = table["features"], table["toxic"].to_pylist()
         rows = [
-            (np.append(np.frombuffer(own, np.int32), _INTERCEPT), label)
-            for own, label in zip(table["features"].to_pylist(), table["toxic"].to_pylist())
+            (np.frombuffer(features[i].as_buffer(), np.int32), toxic[i]) for i in order.to_pylist()
         ]
         for _ in range(EPOCHS):
             _epoch(rows, z, n)
