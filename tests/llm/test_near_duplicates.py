@@ -57,31 +57,27 @@ def texts(seed, groups, copies, edits):
     return rows
 
 
-def test_classes_equal_brute_force(spark):
-    rows = texts(1, groups=12, copies=6, edits=4)
-    found = minhash.near_duplicates(spark, frame(spark, rows)).collect()
-    assert {r.doc_id: r.class_id for r in found} == classes(rows)
-
-
-def test_hot_group_of_near_copies_stays_whole(spark):
+def hot_group(count, first):
     """Copies differ from each other by more than from their source: links are partial."""
-    rows = texts(3, groups=1, copies=1, edits=0)
-    source = rows[0][1].split()
-    rng = random.Random(5)
-    rows = []
-    for i in range(80):
+    source = texts(3, groups=1, copies=1, edits=0)[0][1].split()
+    rng, rows = random.Random(5), []
+    for i in range(count):
         own = list(source)
         for _ in range(2):
             own[rng.randrange(len(own))] = f"v{rng.randrange(10**6)}"
-        rows.append((i, " ".join(own)))
-    found = minhash.near_duplicates(spark, frame(spark, rows)).collect()
-    assert {r.doc_id: r.class_id for r in found} == classes(rows)
+        rows.append((first + i, " ".join(own)))
+    return rows
 
 
-def test_odd_rows(spark):
-    found = minhash.near_duplicates(spark, clashing(odd(spark))).collect()
-    assert len(found) == odd(spark).count()
+def test_classes_equal_brute_force(spark):
+    rows = texts(1, groups=12, copies=6, edits=4)
+    rows = [(100 + i, t) for i, t in rows] + hot_group(80, 1000)
+    docs = clashing(frame(spark, rows).unionByName(odd(spark)))
+    found = minhash.near_duplicates(spark, docs).collect()
+    assert len(found) == docs.count()
     by_id = {r.doc_id: r.class_id for r in found}
+    assert {i: by_id[i] for i, _ in rows} == classes(rows)
+    # texts without words are alone, equal words are one class, a null id is never the least
     assert by_id[1] == 1 and by_id[2] == 2 and by_id[3] == 3
     assert by_id[4] == by_id[5] == 4
     assert by_id[None] is None
@@ -96,9 +92,7 @@ def test_keep_one(spark):
 
 
 def test_empty(spark):
-    empty = frame(spark, [])
-    assert minhash.near_duplicates(spark, empty).collect() == []
-    assert minhash.keep_one(spark, empty).collect() == []
+    assert minhash.keep_one(spark, frame(spark, [])).collect() == []
 
 
 def test_signatures_estimate_probability_jaccard():
