@@ -153,24 +153,27 @@ def judge_urls(
     pages = with_host_and_path(pages.select("page_id", "url"))
     outcomes = page_outcomes(pages, labels)
     (by_suffix, by_domain, by_host), overall = reputations(outcomes)
-    judged = _with_levels(pages).join(by_host, "host", "left")
-    judged = judged.join(by_domain, "domain", "left").join(by_suffix, "suffix", "left")
+    # levels are joined to the distinct hosts; pages meet one table, by host only
+    known = _with_levels(pages.select("host").distinct()).join(by_host, "host", "left")
+    known = known.join(by_domain, "domain", "left").join(by_suffix, "suffix", "left")
     rate = F.coalesce("host_rate", "domain_rate", "suffix_rate", F.lit(overall))
     weight = F.coalesce("host_weight", "domain_weight", "suffix_weight", F.lit(MAX_STRENGTH))
     bound = rate - deviations * F.sqrt(rate * (1 - rate) / (weight + 1))
+    known = known.select("host", rate.alias("rate"), bound.alias("bound"))
+    judged = pages.join(known, "host", "left")
     rule, action = F.when(F.lit(False), ""), F.when(F.lit(False), "")
     for each in sorted(rules, key=lambda r: -len(str(r))):
         fits = each.fits(F.col("host"), F.col("path"))
         rule, action = rule.when(fits, str(each)), action.when(fits, each.action)
-    method = F.when(bound > threshold, "block").otherwise("allow")
+    method = F.when(F.col("bound") > threshold, "block").otherwise("allow")
     return judged.select(
         "page_id",
         "host",
         "path",
         rule.alias("rule"),
         F.coalesce(action, method).alias("verdict"),
-        rate.alias("rate"),
-        bound.alias("bound"),
+        "rate",
+        "bound",
     )
 
 
