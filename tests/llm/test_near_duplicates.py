@@ -70,8 +70,8 @@ def hot_group(count, first):
 
 
 def test_classes_equal_brute_force(spark):
-    rows = texts(1, groups=12, copies=6, edits=4)
-    rows = [(100 + i, t) for i, t in rows] + hot_group(80, 1000)
+    rows = texts(1, groups=8, copies=5, edits=4)
+    rows = [(100 + i, t) for i, t in rows] + hot_group(30, 1000)
     docs = clashing(frame(spark, rows).unionByName(odd(spark)))
     found = minhash.near_duplicates(spark, docs).collect()
     assert len(found) == docs.count()
