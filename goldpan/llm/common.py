@@ -8,7 +8,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from goldpan.session import scratch_dir
 
@@ -102,6 +103,15 @@ def _word_hash(word: str) -> int:
     return (xxhash.xxh3_64_intdigest(core) or 1) if core else 0
 
 
+def hash_share(place: Column, share: float) -> Column:
+    """Whether the 64-bit hash ``place`` lies in the least ``share`` of its whole range.
+
+    Compared as a 64-bit number: a share of one in many billions is still more than none.
+    """
+    last = min((1 << 63) - 1, int(share * 2.0**64) - (1 << 63))
+    return place <= F.lit(last).cast("long")
+
+
 def saved(spark: SparkSession, df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written below the shared folder and read back: later steps start from files."""
     path = scratch_dir(spark, purpose)

@@ -6,13 +6,17 @@ with every dictionary, and the language that makes the whole text smallest is ch
 score is the softmax of the saved bits (a quarter of them, as bits of neighbouring words
 are not independent); a text whose margin is below ``MIN_MARGIN`` is marked as rejected.
 
-Dictionaries come from at most ``FIT_ROWS`` rows per language, chosen by a hash of the
-id, and have at most ``DICTIONARY_BYTES`` each, so that what is collected and broadcast
-is bounded by the number of languages.
+Dictionaries come from at most ``FIT_ROWS`` rows per language, chosen by a 64-bit hash of
+id and text (the row of the least hash is always among them), and have at most
+``DICTIONARY_BYTES`` each, so that what is collected and broadcast is bounded by the number
+of languages. Of each row ``PIECES`` pieces of ``PIECE_CHARS`` characters are taken, one
+from each part of the text; every row gives one piece before any gives its next. So a
+common header is not all that is learned of long texts.
 
 Defined results: null texts and texts without a letter are ``und`` with score 0 (and
 rejected); of equal sizes the language with more rows to learn from is chosen, then the
-first by name; rows with a null or empty language are not learned from; without any row
+first by name; rows with a null or empty language or without a letter are not learned
+from, and a language none of whose pieces has a letter is left out with a warning; without any row
 to learn from everything is ``und``; repeated rows get equal results; an empty table
 gives an empty result; other columns are not read.
 """
@@ -20,6 +24,7 @@ gives an empty result; other columns are not read.
 from __future__ import annotations
 
 import re
+import warnings
 from collections import defaultdict
 
 import numpy as np
@@ -29,16 +34,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from goldpan.llm.bpe import _once
-from goldpan.llm.common import slices, whole
+from goldpan.llm.common import hash_share, slices, whole
 
 FIT_ROWS = 400
 DICTIONARY_BYTES = 96 << 10
-ROW_CHARS = 2_000
+PIECES = 8
+PIECE_CHARS = 250
 PIECE_BYTES = 1_000
 MIN_MARGIN = 0.02
 UNKNOWN = "und"
 
 _LETTER = re.compile(r"[^\W\d_]")
+_HAS_LETTER = r"[\p{L}\p{Nl}\p{No}]"  # what _LETTER finds
 _OTHERS = re.compile(r"[\W\d_]+")
 # short matches are what tells languages apart; levels of the library start at longer ones
 _COMPRESSION = zstandard.ZstdCompressionParameters(
@@ -58,27 +65,46 @@ def normal(text: str) -> bytes:
     return _OTHERS.sub(" ", text.lower()).encode("utf-8", "replace")
 
 
+def _pieces(text: Column, place: Column) -> Column:
+    """The pieces of a text to learn from: one at a hashed place in each of its parts."""
+    part = F.greatest(F.ceil(F.length(text) / PIECES), F.lit(PIECE_CHARS))
+
+    def piece(i: Column) -> Column:
+        room = part - PIECE_CHARS + 1
+        start = i * part + F.pmod(F.xxhash64(place, i), room)
+        return F.substring(text, start.cast("int") + 1, F.lit(PIECE_CHARS))
+
+    return F.transform(F.sequence(F.lit(0), F.lit(PIECES - 1)), piece)
+
+
 def fit(docs: DataFrame, rows: int = FIT_ROWS) -> dict[str, bytes]:
     """The dictionary of each language of ``docs(doc_id, text, lang)``, larger ones first."""
-    known = docs.filter("lang <> '' and text is not null")
-    sizes = known.groupBy("lang").agg(F.count("*").alias("n")).collect()
+    known = docs.filter("lang <> '' and text is not null").filter(F.col("text").rlike(_HAS_LETTER))
+    known = known.select("lang", "text", F.xxhash64(F.col("doc_id").cast("string"), "text").alias("place"))
+    sizes = known.groupBy("lang").agg(F.count("*").alias("n"), F.min("place").alias("least"))
+    sizes = sizes.collect()
     if not sizes:
         return {}
-    place = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1_000_000))
     chosen = F.lit(False)
     for size in sizes:
-        share = int(min(1.0, 0.9 * rows / size.n) * 1_000_000)
-        chosen = chosen | ((F.col("lang") == size.lang) & (place < share))
-    sample = known.filter(chosen).select(
-        "lang", place.alias("place"), F.substring("text", 1, ROW_CHARS).alias("text")
-    )
-    texts = defaultdict(dict)
-    for row in sample.orderBy("place", "text").limit(rows * len(sizes)).collect():
-        data = normal(row.text)
-        if _LETTER.search(row.text):
-            texts[row.lang].setdefault(data, None)
-    order = sorted((s for s in sizes if texts[s.lang]), key=lambda s: (-s.n, s.lang))
-    return {size.lang: b" ".join(texts[size.lang])[:DICTIONARY_BYTES] for size in order}
+        among = hash_share(F.col("place"), min(1.0, 0.9 * rows / size.n))
+        chosen = chosen | ((F.col("lang") == size.lang) & (among | (F.col("place") == size.least)))
+    sample = known.filter(chosen).select("lang", "place", _pieces(F.col("text"), F.col("place")).alias("pieces"))
+    # repeated rows have one place, so none of them crowds out others
+    sample = sample.groupBy("lang", "place").agg(F.min("pieces").alias("pieces"))
+    texts = defaultdict(list)
+    for row in sorted(sample.collect(), key=lambda row: row.place):
+        if len(texts[row.lang]) < rows:
+            first = row.place % PIECES
+            texts[row.lang].append(row.pieces[first:] + row.pieces[:first])
+    found = {}
+    for size in sorted(sizes, key=lambda s: (-s.n, s.lang)):
+        pieces = dict.fromkeys(p for turn in zip(*texts[size.lang]) for p in turn if _LETTER.search(p))
+        if pieces:
+            found[size.lang] = b" ".join(dict.fromkeys(map(normal, pieces)))[:DICTIONARY_BYTES]
+        else:
+            warnings.warn(f"no letters in the pieces of language {size.lang!r}: it is never predicted", stacklevel=2)
+    return found
 
 
 class Classifier:

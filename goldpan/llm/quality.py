@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goldpan.llm.common import saved
+from goldpan.llm.common import hash_share, saved
 
 FIT_ROWS = 20_000
 WINDOW = 5
@@ -226,7 +226,8 @@ def fit_rules(counts: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> lis
         return []
     place = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1_000_000))
     share = min(1.0, 0.95 * rows / total)
-    chosen = known.withColumn("place", place).filter(F.col("place") < int(share * 1_000_000))
+    chosen = known.filter(hash_share(F.xxhash64(F.col("doc_id").cast("string")), share))
+    chosen = chosen.withColumn("place", place)
     chosen = counts.join(chosen, "doc_id").select(*FEATURES, "quality", "place")
     sample = chosen.limit(rows).collect()
     if not sample:

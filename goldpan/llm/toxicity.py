@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goldpan.llm.common import Cache, mix64, slices, whole
+from goldpan.llm.common import Cache, hash_share, mix64, slices, whole
 
 FIT_ROWS = 10_000
 EPOCHS = 3
@@ -132,7 +132,8 @@ def fit(
     total = known.count()
     place = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1_000_000))
     share = min(1.0, 0.95 * rows / max(total, 1))
-    chosen = known.withColumn("place", place).filter(F.col("place") < int(share * 1_000_000))
+    chosen = known.filter(hash_share(F.xxhash64(F.col("doc_id").cast("string")), share))
+    chosen = chosen.withColumn("place", place)
     examples = docs.select("doc_id", "text").join(chosen, "doc_id").limit(rows)
     examples = examples.select("text", F.col("toxic").cast("int").alias("toxic"), "place")
 
