@@ -4,9 +4,21 @@ A page is read into a tree. Elements that are never the article (navigation, hea
 footers of the page, asides, forms, scripts, styles, adverts, notices, comments: by tag,
 role, and words of class and id) are cut off. Every other element that holds text is
 hashed with all below it, and Spark counts for each host on how many different pages a
-subtree occurs. Subtrees that recur on many pages of their host are its template and are
-deleted. Inside an ``article`` or ``main`` element only containers can be template, not
-the paragraphs themselves: texts quote each other, templates don't stand in them alone.
+subtree occurs. Containers that recur on many pages of their host are its template and are
+deleted; in pages without ``article`` or ``main`` so are paragraphs.
+
+Blocks without blocks in them (paragraphs, items, headings), in articles too, are template
+on evidence of the corpus, whatever their share of the host, as texts also quote each other:
+
+* a template has its place: in ``SAME_PLACE`` of its pages the block is the same one from
+  the beginning or the end. At random that has a chance of 1 in the number of blocks for
+  each page; all pages but one together must give ``PLACE_BITS`` bits against chance;
+* it belongs to its host: it stands on no other one, or on half of the host's pages, or so
+  much more often than on other hosts' pages that chance (a Poisson number, by Chernoff's
+  bound) gives ``HOST_BITS`` bits against it;
+* only pages count most of whose text does not recur on their host: versions of one
+  article share their paragraphs and their places, too. Where most of every article is
+  template, its blocks are therefore kept.
 
 Pages with equal trees count once, so copies of a page never make its text a template.
 A host's counts are formed before the shuffle, a row for each subtree and task.
@@ -35,6 +47,10 @@ from goldpan.llm.hosts import with_host_and_path
 
 MIN_PAGES = 5
 MIN_SHARE = 0.2
+SAME_PLACE = 0.8
+PLACE_BITS = 10.0
+HOST_BITS = 20.0
+MOST_PAGES = 0.5
 _MAX_ROWS = 4096
 
 # fixed values: element names of HTML by what they mean here
@@ -202,23 +218,45 @@ def _main_parts(root: Node) -> list[Node]:
     return found or [root]
 
 
-def candidates(root: Node) -> set[int]:
-    """Hashes of subtrees that may be template, of a hashed tree."""
+def _chars(root: Node) -> int:
+    texts = (c for node, _ in _walk(root) for c in node.children if isinstance(c, str))
+    return sum(len(_SPACE.sub(" ", text).strip()) for text in texts)
+
+
+def described(root: Node) -> dict[int, tuple[bool, int, int, int]]:
+    """Subtrees that may be template, of a hashed tree, by hash: whether a container's share
+    of the host is enough, place from the beginning and the end, and characters.
+
+    Places are those among blocks without blocks in them, -1 for other subtrees. Of equal
+    subtrees the first counts.
+    """
     parts = _main_parts(root)
     inside = parts != [root]
-    found, todo = set(), [(p, True) for p in parts]
+    found, order = {}, []
+    todo = [(p, True) for p in reversed(parts)]
     while todo:
         node, top = todo.pop()
         if node.cut:
             continue
         if node.hash and not top and node.tag in _BLOCKS:
-            paragraph = inside and not any(
-                isinstance(c, Node) and c.tag in _BLOCKS for c in node.children
-            )
-            if not paragraph or node.tag in ("div", "section", "ul", "ol", "table"):
-                found.add(node.hash)
-        todo += [(c, False) for c in node.children if isinstance(c, Node)]
-    return found
+            bottom = not any(isinstance(c, Node) and c.tag in _BLOCKS for c in node.children)
+            container = not (inside and bottom) or node.tag in ("div", "section", "ul", "ol", "table")
+            if bottom:
+                order.append(node)
+            if node.hash not in found:
+                place = len(order) - 1 if bottom else -1
+                found[node.hash] = (container, place, _chars(node) if bottom else 0)
+        todo += [(c, False) for c in reversed(node.children) if isinstance(c, Node)]
+    n = len(order)
+    return {
+        key: (container, place, n - 1 - place if place >= 0 else -1, chars)
+        for key, (container, place, chars) in found.items()
+    }
+
+
+def candidates(root: Node) -> set[int]:
+    """Hashes of subtrees that may be template, of a hashed tree."""
+    return set(described(root))
 
 
 def main_text(root: Node, template: frozenset[int] = frozenset()) -> str:
@@ -261,11 +299,17 @@ def _parts(batches):
             yield batch.slice(first, _MAX_ROWS)
 
 
+_SUBTREES = "array<struct<subtree:long,container:boolean,start:int,end:int,chars:int>>"
+
+
 def template_hashes(
     spark: SparkSession, pages: DataFrame, min_pages: int = MIN_PAGES, share: float = MIN_SHARE
 ) -> DataFrame:
     """``host, subtree``: subtrees on at least ``min_pages`` different pages of their host,
-    and on at least ``share`` of them."""
+    and containers on at least ``share`` of them or blocks with evidence of their place."""
+    fields = [("subtree", pa.int64()), ("container", pa.bool_())]
+    fields += [(name, pa.int32()) for name in ("start", "end", "chars")]
+    kind = pa.list_(pa.struct(fields))
 
     def hashed(batches):
         for batch in _parts(batches):
@@ -276,27 +320,83 @@ def template_hashes(
                 main = "".join(f"<{part.hash}>" for part in _main_parts(root))
                 hosts.append(host)
                 bodies.append(_signed(xxhash.xxh3_64_intdigest(main)))
-                found.append(sorted(map(_signed, candidates(root))))
+                found.append(
+                    [
+                        dict(subtree=_signed(key), container=c, start=a, end=b, chars=n)
+                        for key, (c, a, b, n) in sorted(described(root).items())
+                    ]
+                )
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(hosts, pa.string()),
                     pa.array(bodies, pa.int64()),
-                    pa.array(found, pa.list_(pa.int64())),
+                    pa.array(found, kind),
                 ],
                 ["host", "body", "subtrees"],
             )
 
     read = pages.select("host", "html").mapInArrow(
-        hashed, "host string, body long, subtrees array<long>"
+        hashed, f"host string, body long, subtrees {_SUBTREES}"
     )
     # one row for each different page: copies have the same body and the same subtrees
     different = read.groupBy("host", "body").agg(F.any_value("subtrees").alias("subtrees"))
     different = saved(spark, different, "subtrees")
     sizes = different.groupBy("host").agg(F.count("*").alias("pages"))
-    counts = different.select("host", F.explode("subtrees").alias("subtree"))
-    counts = counts.groupBy("host", "subtree").agg(F.count("*").alias("n"))
-    counts = counts.filter(F.col("n") >= min_pages).join(sizes, "host")
-    return counts.filter(F.col("n") >= share * F.col("pages")).select("host", "subtree")
+    each = different.select(
+        "host",
+        "body",
+        F.aggregate("subtrees", F.lit(0), lambda n, s: n + s["chars"]).alias("total"),
+        F.explode("subtrees").alias("s"),
+    ).select("host", "body", "total", "s.*")
+    counts = each.groupBy("host", "subtree").agg(
+        F.count("*").alias("n"), F.count_if("container").alias("containers"), F.max("start").alias("start")
+    )
+    counts = saved(spark, counts.filter(F.col("n") >= min_pages), "recurring")
+    containers = counts.filter(F.col("containers") >= min_pages).join(sizes, "host")
+    containers = containers.filter(F.col("containers") >= share * F.col("pages"))
+    blocks = _blocks_in_place(spark, each.filter("start >= 0"), counts.filter("start >= 0"), sizes, min_pages)
+    return containers.select("host", "subtree").unionByName(blocks).distinct()
+
+
+def _blocks_in_place(
+    spark: SparkSession, each: DataFrame, counts: DataFrame, sizes: DataFrame, min_pages: int
+) -> DataFrame:
+    """``host, subtree`` of recurring blocks that have their place and belong to their host."""
+    recurring = counts.select("host", "subtree", F.col("n").alias("on_host"))
+    hits = saved(spark, each.join(recurring, ["host", "subtree"]), "blocks")
+    own = hits.groupBy("host", "body").agg(F.sum("chars").alias("shared"), F.first("total").alias("all"))
+    own = own.filter(2 * F.col("shared") <= F.col("all")).select("host", "body")
+    placed = hits.join(own, ["host", "body"]).withColumn(
+        "bits", F.log2(F.col("start") + F.col("end") + 1)
+    )
+    # places from the beginning are 0, 1, ..., those from the end -1, -2, ...
+    slots = placed.select(
+        "host", "subtree", "on_host", "bits", F.explode(F.array("start", -1 - F.col("end"))).alias("slot")
+    )
+    slots = slots.groupBy("host", "subtree", "slot").agg(
+        F.count("*").alias("n"), (F.sum("bits") - F.max("bits")).alias("bits"), F.first("on_host").alias("on_host")
+    )
+    # each occurrence has two slots
+    best = slots.groupBy("host", "subtree").agg(
+        F.max(F.struct("n", "bits")).alias("best"), (F.sum("n") / 2).alias("all"), F.first("on_host").alias("on_host")
+    )
+    best = best.filter(
+        (F.col("best.n") >= min_pages)
+        & (F.col("best.n") >= SAME_PLACE * F.col("all"))
+        & (F.col("best.bits") >= PLACE_BITS)
+    ).select("host", "subtree", "on_host")
+    best = saved(spark, best, "places").join(sizes, "host")
+    # summed before it is dealt out: a passage of very many pages is one row of each task
+    everywhere = each.groupBy("subtree").agg(F.count("*").alias("everywhere"))
+    overall = sizes.agg(F.sum("pages").alias("all_pages"))
+    scored = best.join(everywhere, "subtree").crossJoin(overall)
+    others = F.greatest(F.col("all_pages") - F.col("pages"), F.lit(1))
+    expected = F.col("pages") * (F.col("everywhere") - F.col("on_host")) / others
+    n = F.col("on_host")
+    bits = (n * F.log(n / F.nullif(expected, F.lit(0.0))) - n + expected) / F.log(F.lit(2.0))
+    local = (expected == 0) | ((n > expected) & (bits >= HOST_BITS))
+    most = F.col("on_host") >= MOST_PAGES * F.col("pages")
+    return scored.filter(local | most).select("host", "subtree")
 
 
 def _signed(value: int) -> int:
@@ -307,7 +407,7 @@ def extract_text(spark: SparkSession, pages: DataFrame, **options) -> DataFrame:
     """``page_id, url, text, n_chars`` of every page."""
     located = with_host_and_path(pages.select("page_id", "url", "html")).drop("path")
     templates = template_hashes(spark, located, **options)
-    # at most 1 / share subtrees of each depth can recur that often, so lists stay short
+    # containers: at most 1 / share of each depth; blocks: pages / min_pages at each place
     listed = templates.groupBy("host").agg(F.collect_list("subtree").alias("template"))
     listed = saved(spark, listed, "templates")
     joined = located.join(listed, "host", "left").select("page_id", "url", "template", "html")
