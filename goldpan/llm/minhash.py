@@ -19,9 +19,9 @@ never becomes all its pairs.
 
 With 24 bands of 5 a pair of similarity 0.8 shares no band with probability 7e-5.
 
-Defined results: equal texts (as word sequences) are one class from the start; a text
-without words, or null, is alone in its class, whose id is the row's own id; null ids are
-allowed and never the least; repeated rows are all returned; an empty table gives an
+Defined results: equal texts (as word sequences) are one class from the start; texts
+without words are one class if their characters are equal; a null text is alone in its
+class, whose id is the row's own id; null ids are allowed and never the least; repeated rows are all returned; an empty table gives an
 empty result; other columns are ignored, so clashing names do no harm.
 """
 
@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goldpan.llm.common import mix64, saved, slices, whole, word_hashes
+from goldpan.llm.common import known_words, mix64, saved, slices, task, whole, word_hashes
 from goldpan.llm.components import connected_components
 
 SHINGLE_WORDS = 5
@@ -46,6 +46,8 @@ _MARGIN = 4.0
 _CHUNK, _SLICE = 512, 4096
 _CHUNK_BYTES, _SLICE_BYTES = 1 << 20, 8 << 20
 _MAX_ROWS = 60_000  # of a slice, whose text numbers take 16 bits of a sort key
+_MAX_REGISTERS = 1 << 21  # of all texts of a slice, 16 bytes each
+_HEAVY = 0xFFFF  # a weight in a bag's own 16 bits; greater ones follow the bag
 
 
 # --- shingles and signatures ----------------------------------------------------
@@ -93,12 +95,13 @@ def signatures(
         turn = 0
         while len(active):
             bits = mix64(hashes[active] + np.uint64((turn * 0xD1B54A32D192ED03) & (1 << 64) - 1))
-            uniform = ((bits >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
+            # the high half gives the time, the low half the register
+            uniform = ((bits >> np.uint64(32)).astype(np.float64) + 0.5) * 2.0**-32
             at -= np.log(uniform) / weights[active]
             kept = at <= limit[owners[active]]
             active, at, bits = active[kept], at[kept], bits[kept]
-            low = (bits & np.uint64(2047)).astype(np.int64) * registers >> 11
-            place = owners[active] * registers + low
+            low = (bits & np.uint64(0xFFFFFFFF)) * np.uint64(registers) >> np.uint64(32)
+            place = owners[active] * registers + low.astype(np.int64)
             np.minimum.at(first, place, at)
             won = first[place] == at
             chosen[place[won]] = hashes[active[won]]
@@ -110,12 +113,19 @@ def signatures(
 
 
 def _sketch(texts: pa.Array, bands: int, rows: int, size: int):
-    """Class keys, one-byte signatures and band keys of a slice of texts."""
-    words, bounds = word_hashes(texts)
+    """Class keys, one-byte signatures, band keys and which texts have words, of a slice.
+
+    A text without words has the key of its own characters, a null text none.
+    """
+    words, bounds = word_hashes(pc.fill_null(texts, ""))
     keys = [
         xxhash.xxh3_128_digest(words[a:b].tobytes()) if b > a else None
         for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())
     ]
+    counted = np.diff(bounds) > 0
+    for row in np.flatnonzero(~counted).tolist():
+        if (text := texts[row].as_py()) is not None:
+            keys[row] = xxhash.xxh3_128_digest(b"no words:" + text.encode())
     hashes, owners, weights = shingles(words, bounds, size)
     registers = signatures(hashes, owners, weights, len(keys), bands * rows)
     short = (mix64(registers) >> np.uint64(56)).astype(np.uint8)
@@ -123,7 +133,7 @@ def _sketch(texts: pa.Array, bands: int, rows: int, size: int):
     for part in registers.reshape(len(keys), bands, rows).transpose(2, 0, 1):
         value = mix64(value ^ part + np.uint64(0x9E3779B97F4A7C15))
     value = mix64(value + np.arange(bands, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03))
-    return keys, short, value.view(np.int64)
+    return keys, short, value.view(np.int64), counted
 
 
 def sketches(docs: DataFrame, bands: int, rows: int, size: int) -> DataFrame:
@@ -131,12 +141,16 @@ def sketches(docs: DataFrame, bands: int, rows: int, size: int) -> DataFrame:
     id_type = docs.schema["doc_id"].dataType.simpleString()
     chosen = docs.select("doc_id", F.md5("text").alias("text_key"), "text")
 
+    step = max(1, min(_MAX_ROWS, _MAX_REGISTERS // (bands * rows)))
+
+    @task(known_words)
     def sketch(batches):
         for batch in slices(batches, "text"):
-            for first in range(0, batch.num_rows, _MAX_ROWS):
-                part = batch.slice(first, _MAX_ROWS)
-                keys, short, values = _sketch(whole(part, "text"), bands, rows, size)
-                offsets = np.arange(len(keys) + 1, dtype=np.int32) * bands
+            for first in range(0, batch.num_rows, step):
+                part = batch.slice(first, step)
+                keys, short, values, counted = _sketch(part.column("text"), bands, rows, size)
+                offsets = np.cumsum(np.append(0, counted * bands)).astype(np.int32)
+                values = values[counted]
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id"),
@@ -184,6 +198,7 @@ def _bags(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     found = wanted.join(texts, same).groupBy("key")
     found = found.agg(F.any_value("signature").alias("signature"), F.any_value("text").alias("text"))
 
+    @task(known_words)
     def build(batches):
         for batch in slices(batches, "text"):
             for first in range(0, batch.num_rows, _MAX_ROWS):
@@ -191,8 +206,7 @@ def _bags(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
                 words, bounds = word_hashes(whole(part, "text"))
                 hashes, owners, weights = shingles(words, bounds, size)
                 ends = np.searchsorted(owners, np.arange(part.num_rows + 1))
-                packed = hashes << np.uint64(16) | np.minimum(weights, 65535).astype(np.uint64)
-                bags = [packed[i:j].tobytes() for i, j in zip(ends[:-1], ends[1:])]
+                bags = [_pack(hashes[i:j], weights[i:j]) for i, j in zip(ends[:-1], ends[1:])]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("key"), part.column("signature"), pa.array(bags, pa.binary())],
                     ["key", "signature", "bag"],
@@ -314,9 +328,21 @@ def _signs(table: pa.Table, registers: int) -> np.ndarray:
     return np.frombuffer(data, np.uint8).reshape(-1, registers)
 
 
+def _pack(hashes: np.ndarray, weights: np.ndarray) -> bytes:
+    """The number of heavy weights, a word for each shingle, then the heavy weights."""
+    heavy = weights[weights >= _HEAVY].astype(np.uint64)
+    words = hashes << np.uint64(16) | np.minimum(weights, _HEAVY).astype(np.uint64)
+    return np.concatenate([[np.uint64(len(heavy))], words, heavy]).astype(np.uint64).tobytes()
+
+
 def _unpack(bag: bytes) -> tuple[np.ndarray, np.ndarray]:
     packed = np.frombuffer(bag, np.uint64)
-    return packed >> np.uint64(16), (packed & np.uint64(0xFFFF)).astype(np.int64)
+    heavy = int(packed[0])
+    words = packed[1 : len(packed) - heavy]
+    weights = (words & np.uint64(_HEAVY)).astype(np.int64)
+    if heavy:
+        weights[weights == _HEAVY] = packed[len(packed) - heavy :]
+    return words >> np.uint64(16), weights
 
 
 def _possible_links(
@@ -384,9 +410,10 @@ def near_duplicates(
     rows: int = BAND_ROWS,
     size: int = SHINGLE_WORDS,
 ) -> DataFrame:
-    """``doc_id, text_key, class_id`` for every row of ``docs(doc_id, text)``.
+    """``doc_id, text_key, class_id, class_key`` for every row of ``docs(doc_id, text)``.
 
     ``class_id`` is the least document id of the class; ``text_key`` is the MD5 of the text.
+    ``class_key`` names the class whatever its ids are; it is null for a null text.
     """
     registers = bands * rows
     sketched = saved(spark, sketches(docs, bands, rows, size), "sketches")
@@ -418,22 +445,26 @@ def near_duplicates(
     named = classes.join(labels, F.col("key") == F.col("node"), "left")
     named = named.select("key", "doc_id", F.coalesce("label", "key").alias("label"))
     least = named.groupBy("label").agg(F.min("doc_id").alias("class_id"))
-    named = named.join(least, "label").select("key", "class_id")
+    named = named.join(least, "label").select("key", "class_id", F.col("label").alias("class_key"))
     result = sketched.select("doc_id", "text_key", "key").join(named, "key", "left")
     own = F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("class_id"))
-    return result.select("doc_id", "text_key", own.alias("class_id"))
+    return result.select("doc_id", "text_key", own.alias("class_id"), "class_key")
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:
-    """The documents whose id is their class's: one of each class, whole rows.
+    """One document of each class, whole rows: the one with the least id, then text key.
 
-    Rows that repeat both id and text are one document.
+    Null ids come last. Rows that repeat both id and text are one document; a null text is
+    alone with its id.
     """
     classes = near_duplicates(spark, docs, **options)
-    kept = classes.filter("doc_id <=> class_id").select(
-        F.col("doc_id").alias("kept_id"), F.col("text_key").alias("kept_key")
-    )
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
+    first = classes.filter("class_key is not null").groupBy("class_key")
+    first = first.agg(F.min(order).alias("first"))
+    kept = first.select("first.doc_id", "first.text_key")
+    kept = kept.unionAll(classes.filter("class_key is null").select("doc_id", "text_key"))
+    kept = kept.toDF("kept_id", "kept_key").distinct()
     key = F.md5(docs["text"])
     same = docs["doc_id"].eqNullSafe(F.col("kept_id")) & key.eqNullSafe(F.col("kept_key"))
     columns = [docs[f"`{name}`"] for name in docs.columns]
-    return docs.join(kept.distinct(), same).dropDuplicates(["kept_id", "kept_key"]).select(columns)
+    return docs.join(kept, same).dropDuplicates(["kept_id", "kept_key"]).select(columns)

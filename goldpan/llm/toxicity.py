@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goldpan.llm.common import Cache, hash_share, mix64, slices, whole
+from goldpan.llm.common import Cache, hash_share, mix64, slices, task, whole
 
 FIT_ROWS = 10_000
 EPOCHS = 3
@@ -137,6 +137,7 @@ def fit(
     examples = docs.select("doc_id", "text").join(chosen, "doc_id").limit(rows)
     examples = examples.select("text", F.col("toxic").cast("int").alias("toxic"), "place")
 
+    @task(_hashes)
     def prepare(batches):
         for batch in _parts(batches):
             places, owners = features(whole(batch, "text"))
@@ -189,6 +190,7 @@ def scored(spark: SparkSession, docs: DataFrame, model: Model) -> DataFrame:
     shared = spark.sparkContext.broadcast(model)
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
+    @task(_hashes)
     def score(batches):
         for batch in _parts(batches):
             scores = shared.value.scores(whole(batch, "text"))
@@ -205,6 +207,7 @@ def keep_clean(
     """The rows of ``docs`` that score below ``threshold``, with all their columns."""
     shared = spark.sparkContext.broadcast(model)
 
+    @task(_hashes)
     def keep(batches):
         for batch in _parts(batches):
             yield batch.filter(pa.array(shared.value.scores(whole(batch, "text")) < threshold))

@@ -112,3 +112,30 @@ def test_components_of_a_chain(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 101)]
     found = connected_components(spark, spark.createDataFrame(links, "a long, b long")).collect()
     assert {r.node: r.label for r in found} == {**dict.fromkeys(range(41), 0), 100: 100, 101: 100}
+
+
+def test_more_registers_than_a_hash_has_spare_bits():
+    hashes, bounds = minhash.word_hashes(pa.array(["a b c d e f g", "x y"]))
+    bags = minhash.shingles(hashes, bounds)
+    registers = minhash.signatures(*bags, 2, 4096)
+    assert registers.shape == (2, 4096) and (registers != 0).all()
+
+
+def test_runs_repeated_very_often_count_fully(spark):
+    # two heavy runs whose shares are 1:1 and 2:5: similarity 0.79, or 1 if weights were cut
+    rows = [(1, "a " * 70_004 + "b " * 70_004), (2, "a " * 70_004 + "b " * 175_004)]
+    assert 0.78 < similarity(bag(rows[0][1]), bag(rows[1][1])) < 0.79
+    found = minhash.near_duplicates(spark, frame(spark, rows)).collect()
+    assert {r.doc_id: r.class_id for r in found} == {1: 1, 2: 2}
+    hashes, weights = np.array([3, 5], np.uint64), np.array([70_000, 2])
+    assert minhash._unpack(minhash._pack(hashes, weights))[1].tolist() == [70_000, 2]
+
+
+def test_one_row_stays_whatever_the_ids(spark):
+    base = [f"w{i}" for i in range(60)]
+    near = " ".join(base[:30] + ["x"] + base[31:])
+    rows = [(5, " ".join(base)), (5, near), (8, "!!!"), (9, "!!!"), (10, ""), (11, "")]
+    rows += [(None, " ".join(base[::-1])), (None, " ".join(base[::-1][:-1] + ["y"]))]
+    kept = minhash.keep_one(spark, frame(spark, rows + [(12, None), (13, None)]))
+    ids = sorted((r.doc_id or 0) for r in kept.collect())
+    assert ids == [0, 5, 8, 10, 12, 13]
