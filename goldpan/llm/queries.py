@@ -6,7 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from goldpan.llm import bpe, decontaminate, hosts, language, minhash, pages, pii, quality, token_files, toxicity
+from goldpan.llm import (
+    bpe,
+    decontaminate,
+    hosts,
+    infill,
+    language,
+    minhash,
+    pages,
+    pii,
+    quality,
+    token_files,
+    toxicity,
+)
 from goldpan.llm.common import documents
 
 
@@ -66,6 +78,11 @@ def op10_pages(spark: SparkSession, folder: str) -> DataFrame:
     return pages.extract_text(spark, spark.read.parquet(f"{folder}/pages.parquet"))
 
 
+def op12_infill(spark: SparkSession, folder: str) -> DataFrame:
+    """Fill-in-the-middle form of every text, and the text restored from it."""
+    return infill.digests(documents(spark, folder))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         query.__name__: query
@@ -80,9 +97,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op8_toxicity,
             op9_token_files,
             op10_pages,
+            op12_infill,
         )
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_hosts": hosts.oracle()}
+    return {"op5_hosts": hosts.oracle(), "op12_infill": infill.oracle()}
