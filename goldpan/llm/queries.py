@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from goldpan.llm import (
     bpe,
+    conversations,
     decontaminate,
     hosts,
     infill,
@@ -78,6 +79,12 @@ def op10_pages(spark: SparkSession, folder: str) -> DataFrame:
     return pages.extract_text(spark, spark.read.parquet(f"{folder}/pages.parquet"))
 
 
+def op11_conversations(spark: SparkSession, folder: str) -> DataFrame:
+    """Faults, cheapest edits and repaired form of every conversation, after damage."""
+    rows = spark.read.parquet(f"{folder}/conversations.parquet")
+    return conversations.repair_damaged(spark, rows)
+
+
 def op12_infill(spark: SparkSession, folder: str) -> DataFrame:
     """Fill-in-the-middle form of every text, and the text restored from it."""
     return infill.digests(documents(spark, folder))
@@ -97,6 +104,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op8_toxicity,
             op9_token_files,
             op10_pages,
+            op11_conversations,
             op12_infill,
         )
     }

@@ -1,0 +1,181 @@
+"""Conversation repair against a search over all edits."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+import zlib
+
+import pytest
+
+from goldpan.llm import conversations as conv
+from tests.llm.helpers import SMALL
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+COLUMNS = ["conv_id", *conv.RESULT, "repaired_sha256"]
+NEXT = {("", "s"): "s", ("", "u"): "u", ("s", "u"): "u", ("u", "a"): "a", ("a", "u"): "u"}
+
+
+def cheapest(rows):
+    """Least (cost, audit) over all ways, by state, row for row; rows are (role, fault)."""
+
+    def settle(best):
+        changed = True
+        while changed:
+            changed = False
+            for state, (cost, audit) in list(best.items()):
+                for role in "ua":
+                    after = NEXT.get((state, role))
+                    way = (cost + 2, audit + "I")
+                    if after and (after not in best or way < best[after]):
+                        best[after], changed = way, True
+        return best
+
+    best = settle({"": (0, "")})
+    for role, fault in rows:
+        new = {}
+
+        def offer(state, cost, audit):
+            if state not in new or (cost, audit) < new[state]:
+                new[state] = (cost, audit)
+
+        for state, (cost, audit) in best.items():
+            offer(state, cost + 3, audit + "D")
+            if fault in ("blank", "duplicate"):
+                continue
+            extra = fault == "truncated"
+            kept = NEXT.get((state, role[:1]))
+            if kept:
+                offer(kept, cost + extra, audit + "K")
+            for other in "ua":
+                after = NEXT.get((state, other))
+                if after:
+                    offer(after, cost + 2 + extra, audit + "R")
+        best = settle(new)
+    return min(way for state, way in best.items() if state in ("", "a"))
+
+
+def brute(rows, damage):
+    """The whole contract for (conv_id, turn, role, text) rows."""
+    groups = {}
+    for conv_id, turn, role, text in rows:
+        own = groups.setdefault(conv_id, [])
+        role, text = " " if role is None else role, " " if text is None else text
+        key = f"{' ' if conv_id is None else conv_id}:{' ' if turn is None else turn}"
+        fault = zlib.crc32(key.encode()) % 20 if damage else 9
+        if fault == 0:
+            continue
+        text = "" if fault == 1 else re.sub("[.!?]", "", text) if fault == 2 else text
+        own += [(turn, "user" if fault == 4 else role, text)] * (2 if fault == 3 else 1)
+    result = []
+    for conv_id, own in groups.items():
+        own.sort(
+            key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode(), hashlib.md5(r[2].encode()).hexdigest())
+        )
+        marked, seen = [], set()
+        for _, role, text in own:
+            solid = re.findall(r"[^\x20\x09-\x0D]", text)
+            fault = (
+                "blank" if not solid
+                else "duplicate" if (role, text) in seen
+                else "truncated" if solid[-1] not in ".!?"
+                else ""
+            )
+            seen.add((role, text))
+            marked.append((role, fault))
+        turns = [t for t, _, _ in own if t is not None]
+        gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+        roles = [r[:1] for r, _ in marked]
+        illegal = sum(a + b not in ("su", "ua", "au") for a, b in zip(roles, roles[1:]))
+        cost, audit = cheapest(marked)
+        counts = [sum(f == k for _, f in marked) for k in ("blank", "duplicate", "truncated")]
+        lines, rest = [], iter(own)
+        for edit in audit:
+            set_role = "assistant" if lines and lines[-1].startswith("u") else "user"
+            if edit == "I":
+                lines.append(f"{set_role}:")
+                continue
+            _, role, text = next(rest)
+            if edit != "D":
+                lines.append(f"{role if edit == 'K' else set_role}:{text}")
+        sha = hashlib.sha256("\n".join(lines).encode()).hexdigest()
+        result.append((conv_id, gaps, *counts, illegal, cost, audit, sha))
+    return sorted(result, key=repr)
+
+
+def random_rows(seed, conversations, longest):
+    rng = random.Random(seed)
+    texts = ["Yes.", "No!", "cut off", "", " \t", "Why?", "a. b", "ends. \n", None, "é.", "!x"]
+    roles = ["user", "assistant", "system", "u", "tool", "", None, "User"]
+    rows = []
+    for conv_id in range(conversations):
+        turn = rng.choice([0, 5, -3])
+        for _ in range(rng.randint(0, longest)):
+            turn += rng.choice([0, 1, 1, 1, 1, 3])
+            role = rng.choice(roles[:2] if rng.random() < 0.8 else roles)
+            text = rng.choice(texts) if rng.random() < 0.4 else f"text {rng.random()}."
+            rows.append((conv_id, None if rng.random() < 0.03 else turn, role, text))
+    rng.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("partitions", [1, 7, 40])
+def test_repair_equals_search(spark, setting, partitions):
+    """With many partitions most conversations lie over several tasks."""
+    setting("spark.sql.shuffle.partitions", str(partitions))
+    setting("spark.sql.adaptive.enabled", "false")
+    rows = random_rows(partitions, 60, 12) + [(None, 1, "user", "null id."), (None, None, None, None)]
+    rows += [(900, 4, "user", "again.")] * 6
+    frame = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "1 as n", "'x' as place", "2 as first")
+    result = conv.repair_damaged(spark, frame)
+    assert result.columns == COLUMNS
+    assert sorted(map(tuple, result.collect()), key=repr) == brute(rows, damage=True)
+
+
+def test_one_conversation_holds_most_rows(spark, setting):
+    setting("spark.sql.shuffle.partitions", "12")
+    setting("spark.sql.adaptive.enabled", "false")
+    rng = random.Random(4)
+    rows = [(1, i // 2, rng.choice(["user", "assistant"]), rng.choice(["a.", "b", f"{i}!"])) for i in range(3000)]
+    rows += [(2, i, "user" if i % 2 == 0 else "assistant", f"{i}.") for i in range(2000)]
+    rows += [(3, i, "tool", f"{i}") for i in range(1000)] + random_rows(5, 1, 9)
+    frame = spark.createDataFrame(rows, SCHEMA)
+    found = saved_segments(spark, frame)
+    assert found.filter("conv_id = 1").count() > 1
+    result = conv.digests(frame, conv.report(spark, frame))
+    assert sorted(map(tuple, result.collect()), key=repr) == brute(rows, damage=False)
+
+
+def saved_segments(spark, frame):
+    return conv.segments(conv.faults(conv.prepared(frame)))
+
+
+def test_repaired_rows(spark):
+    rows = [(1, 0, "system", "Be kind."), (1, 1, "user", "Hi"), (1, 2, "user", "Hi"), (1, 3, "bot", "Yes.")]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    found = conv.repaired(frame, conv.report(spark, frame)).orderBy("number").collect()
+    assert [tuple(r) for r in found] == [
+        (1, 0, "K", "system", "Be kind."),
+        (1, 1, "K", "user", "Hi"),
+        (1, 2, "R", "assistant", "Yes."),
+    ]
+
+
+def test_long_runs_by_powers():
+    """A run's costs by binary powers are those of its rows one by one."""
+    for code in range(9):
+        costs = conv._END
+        for _ in range(37):
+            costs = conv.before_run(code, 1, costs)
+        assert costs == conv.before_run(code, 37, conv._END)
+        audit, state = conv.unroll([(code, 1000)], 0, conv._END)
+        assert len(audit.replace("I", "")) == 1000 and conv._END[state] in (0, 2, 4)
+
+
+def test_whole_table_and_empty_table(spark):
+    table = spark.read.parquet(f"{SMALL}/conversations.parquet")
+    rows = [tuple(r) for r in table.select("conv_id", "turn", "role", "text").collect()]
+    result = conv.repair_damaged(spark, table)
+    assert sorted(map(tuple, result.collect()), key=repr) == brute(rows, damage=True)
+    assert conv.repair_damaged(spark, table.limit(0)).collect() == []
