@@ -14,6 +14,7 @@ from goldpan.llm import (
     infill,
     language,
     minhash,
+    overlap,
     pages,
     pii,
     quality,
@@ -90,6 +91,11 @@ def op12_infill(spark: SparkSession, folder: str) -> DataFrame:
     return infill.digests(documents(spark, folder))
 
 
+def op13_overlap(spark: SparkSession, folder: str) -> DataFrame:
+    """The component of every document over links of similar sets of runs of words."""
+    return overlap.join_components(spark, documents(spark, folder))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         query.__name__: query
@@ -106,9 +112,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op10_pages,
             op11_conversations,
             op12_infill,
+            op13_overlap,
         )
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_hosts": hosts.oracle(), "op12_infill": infill.oracle()}
+    return {
+        "op5_hosts": hosts.oracle(),
+        "op12_infill": infill.oracle(),
+        "op13_overlap": overlap.oracle(),
+    }
