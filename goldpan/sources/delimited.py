@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from goldpan.sources.records import read_quoted_records
+from goldpan.sources import records
 from goldpan.sources.storage import publish_folder
 
 # Text formats otherwise cut timestamps to milliseconds.
@@ -41,8 +41,8 @@ WRITE_OPTIONS = {
 # cut into files of this many rows and stay parallel when they are read back.
 DEFAULT_ROWS_PER_FILE = 1_000_000
 
-# One exact layout for files of every size; see read_csv for the others.
-DEFAULT_LAYOUT = "files"
+# One exact layout for files of every size, read in ordinary splits; see read_csv.
+DEFAULT_LAYOUT = "records"
 
 
 def read_csv(
@@ -58,23 +58,26 @@ def read_csv(
     Timestamps are ISO unless ``timestamp_format`` says otherwise, for instance
     :data:`MONTH_FIRST_TIMESTAMPS`.
 
-    ``layout`` says how records lie in the files:
+    ``layout`` says how files are read:
 
-    * ``"lines"`` - no field holds a line break; files are split freely;
-    * ``"files"`` - fields may hold line breaks; one task per file;
-    * ``"records"`` - fields may hold line breaks and files are large; records
-      are put together across splits (two shuffles, no whole-file task).
-
-    The default never depends on the files: ``"files"``, which takes every file that the
-    CSV reader takes. Files written here are cut small enough for it.
+    * ``"records"`` - the default, for files of every size: the files' quotes are scanned
+      when the reader is made (one pass that moves no text), then records are read in
+      ordinary splits, by the CSV reader itself where no field holds a line break;
+    * ``"files"`` - one task per file and no scan; the one layout that takes lines that
+      end in a carriage return alone;
+    * ``"lines"`` - no field holds a line break and no line is of blanks alone, on the
+      caller's word; split freely and no scan.
     """
     options = dict(READ_OPTIONS)
     if timestamp_format:
         options["timestampNTZFormat"] = timestamp_format
     if layout == "records":
-        records = read_quoted_records(spark, path, header)
-        parsed = F.from_csv("record", _ddl(schema), options)
-        return records.select(parsed.alias("row")).select("row.*")
+        found = records.scan(spark, path, header)
+        if not found.lines_are_records:
+            parsed = F.from_csv("record", _ddl(schema), options)
+            texts = records.read_quoted_records(spark, path, header, found)
+            return texts.select(parsed.alias("row")).select("row.*")
+        layout = "lines"
     if layout not in ("lines", "files"):
         raise ValueError(f"layout must be lines, files or records, not {layout!r}")
     return (

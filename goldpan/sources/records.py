@@ -1,25 +1,36 @@
 """CSV records with line breaks inside quoted fields, from files of any size.
 
-Spark reads such a file in one task. Here the file is read as lines in ordinary
-splits instead. As for the CSV reader, a quote opens a field only at the field's
-start, and a quoted field ends at a quote that is not doubled. So a line maps the
-state before it (inside a quoted field or not) to the state after it: it fixes the
-state, keeps it, or flips it. Such maps add up along a split and along a file's
-splits, and tell whether a line starts a record or continues one.
+Spark reads such a file in one task. Here files are read as lines in ordinary splits.
+As for the CSV reader, a quote opens a field only at the field's start, and a quoted field
+ends at a quote that is not doubled. So a line maps the state before it (inside a quoted
+field or not) to the state after it. A first pass moves one small code for each line to the
+task's fold and one row for each split to the driver, which holds a task for each split
+anyway; the prefix of these maps tells in which state every split begins. Where no line
+leaves a field open, lines are records and the CSV reader takes them as they are. Elsewhere
+a second pass puts records together inside each split, in the order of its lines, and only
+the pieces of records that cross a border between splits are shuffled.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
+
+import numpy as np
+import pyarrow as pa
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql.window import WindowSpec
-
-_SPLIT = ["file", "block"]
-
 
 _QUOTED = '"(?:[^"]++|"")*+"'  # possessive, so that long fields take no stack
 
+# A line's code: the states after it, if none was open and if one was, as bits; or blank.
+_IDENTITY, _BLANK, _CODE, _ODD = 1, 4, 7, 8
+_BATCH_ROWS, _BATCH_CHARS = 10_000, 4 << 20
+_MOST_NAMED_SPLITS = 10_000
+_LONE_RETURN = "carriage return outside quotes in a CSV record; such files take layout='files'"
+
 
 def _after(line: Column) -> Column:
     """1 if a quoted field is open after a line that starts outside one."""
@@ -34,106 +45,289 @@ def _after_open(line: Column) -> Column:
     return F.when(line.rlike(end), _after(closed)).otherwise(1)
 
 
-def _with_states(rows: DataFrame, order: WindowSpec, before: WindowSpec) -> DataFrame:
-    """Adds the state before a row, for both states at the start of its group.
-
-    ``if_closed`` and ``if_open`` are a row's own map. Added are the states before it,
-    ``before_if_closed`` and ``before_if_open``, and after it, ``if_closed_after`` and
-    ``if_open_after``.
-    """
-    fixed = F.col("if_closed") == F.col("if_open")
-    flipped = (~fixed & (F.col("if_closed") == 1)).cast("int")
-    rows = rows.withColumn("flips", F.sum(flipped).over(order))
-    last = F.last(F.when(fixed, F.struct("if_closed", "flips")), ignorenulls=True)
-    rows = rows.withColumn("fixed", last.over(order))
-    for name, start in (("before_if_closed", 0), ("before_if_open", 1)):
-        since = F.when(
-            F.col("fixed").isNotNull(),
-            F.col("fixed.if_closed") + F.col("flips") - F.col("fixed.flips"),
-        ).otherwise(F.lit(start) + F.col("flips"))
-        after = name.removeprefix("before_") + "_after"
-        rows = rows.withColumn(after, (since % 2).cast("int"))
-        rows = rows.withColumn(name, F.lag(after, 1, start).over(before))
-    return rows.drop("flips", "fixed")
-
-
-def read_quoted_records(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
-    """One row per CSV record, as text in column ``record``.
-
-    Lines shuffle once by split, which bounds every group by the split size, and
-    once by record. What crosses split borders is one small row per split: the
-    quotes and record starts seen before it in the same file.
-    """
-    in_order = W.partitionBy(*_SPLIT).orderBy("position").rowsBetween(W.unboundedPreceding, 0)
-    lines = (
+def _coded_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Every line with its split and its code; odd ones are not for the CSV reader's lines."""
+    line = F.col("value")
+    blanks = "".join(map(chr, range(0x21)))
+    code = (
+        F.when(line.isin("", "\r"), _BLANK)
+        .when(line.contains('"'), 2 * _after(line) + _after_open(line))
+        .otherwise(_IDENTITY)
+    )
+    alone = (F.rtrim(line, F.lit(blanks)) == "") & ~line.isin("", "\r")
+    returns = line.contains("\r") & (F.instr(line, "\r") < F.length(line))
+    odd = F.when(alone | returns, _ODD).otherwise(0)
+    return (
         spark.read.option("lineSep", "\n")
         .text(path)
         .select(
             "value",
-            F.col("_metadata.file_path").alias("file"),
+            F.xxhash64("_metadata.file_path").alias("file"),
             F.col("_metadata.file_block_start").alias("block"),
-            # rises along a split, which one task reads from start to end
-            F.monotonically_increasing_id().alias("position"),
+            (code + odd).cast("tinyint").alias("code"),
         )
-        .withColumns({"if_closed": _after(F.col("value")), "if_open": _after_open(F.col("value"))})
     )
-    along = W.partitionBy(*_SPLIT).orderBy("position")
-    lines = _with_states(lines, in_order, along)
-    empty = F.col("value").isin("", "\r")
-    lines = lines.withColumns(
-        {
-            # an empty line between records is none
-            "skipped_if_closed": (empty & (F.col("before_if_closed") == 0)).cast("int"),
-            "skipped_if_open": (empty & (F.col("before_if_open") == 0)).cast("int"),
-        }
+
+
+# --- first pass: the states in which splits begin -------------------------------
+
+
+@dataclass
+class FileSplits:
+    """A file's splits that have lines, by place: their starts and what is known of them."""
+
+    blocks: np.ndarray
+    opens: np.ndarray  # whether a quoted field is open where the split begins
+    owners: np.ndarray  # where the record begins that goes on into the split
+    ends: np.ndarray  # whether a record goes on into the next split
+    header: int  # the split with the first record
+
+    def place(self, block: int) -> int:
+        at = int(np.searchsorted(self.blocks, block))
+        if at == len(self.blocks) or self.blocks[at] != block:
+            raise RuntimeError("the splits differ from those that were scanned; read the files again")
+        return at
+
+
+@dataclass
+class Scan:
+    """What the first pass knows of all files, by the hash of their path."""
+
+    files: dict[int, FileSplits]
+    lines_are_records: bool
+
+
+def _runs(file: np.ndarray, block: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Where the rows of one split begin and end."""
+    cuts = np.flatnonzero((file[1:] != file[:-1]) | (block[1:] != block[:-1])) + 1
+    bounds = [0, *cuts.tolist(), len(file)]
+    return zip(bounds[:-1], bounds[1:])
+
+
+def _fold(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each split: the map of all its lines, and what else matters of it."""
+    names = ["file", "block", "if_closed", "if_open", "closes", "solid", "plain"]
+    found: dict[tuple[int, int], list] = {}
+    for batch in batches:
+        file, block, code = (batch.column(n).to_numpy(zero_copy_only=False) for n in range(3))
+        if not len(file):
+            continue
+        for first, last in _runs(file, block):
+            own = code[first:last]
+            key = (int(file[first]), int(block[first]))
+            state = found.setdefault(key, [0, 1, False, False, True])
+            lines = own & _CODE
+            state[3] |= bool((lines != _BLANK).any())
+            state[4] &= not (own & (_ODD | 2)).any()
+            for c in lines[(lines != _IDENTITY) & (lines != _BLANK)].tolist():
+                state[0] = c & 1 if state[0] else c >> 1
+                state[1] = c & 1 if state[1] else c >> 1
+                state[2] |= not state[1]
+    rows = [(*key, *state) for key, state in found.items()]
+    kinds = [pa.int64()] * 4 + [pa.bool_()] * 3
+    columns = zip(*rows) if rows else [[]] * len(names)
+    yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(columns, kinds)], names)
+
+
+def scan(spark: SparkSession, path: str, header: bool = True) -> Scan:
+    """Read all lines once for the states of their quotes. A field that is never closed is
+    an error that names its file and place."""
+    folded = _coded_lines(spark, path).select("file", "block", "code").mapInArrow(
+        _fold,
+        "file long, block long, if_closed long, if_open long, closes boolean, solid boolean, "
+        "plain boolean",
     )
-    by_block = W.partitionBy("file").orderBy("block")
-    until = by_block.rowsBetween(W.unboundedPreceding, 0)
-    before = by_block.rowsBetween(W.unboundedPreceding, -1)
-    splits = lines.groupBy(*_SPLIT).agg(
-        F.max_by("if_closed_after", "position").alias("if_closed"),
-        F.max_by("if_open_after", "position").alias("if_open"),
-        F.sum(1 - F.col("before_if_closed") - F.col("skipped_if_closed")).alias("starts_closed"),
-        F.sum(1 - F.col("before_if_open") - F.col("skipped_if_open")).alias("starts_open"),
+    by_file: dict[int, list] = {}
+    for row in folded.collect():
+        by_file.setdefault(row.file, []).append(row)
+    files, plain = {}, True
+    for file, rows in by_file.items():
+        rows.sort(key=lambda row: row.block)
+        state, owner, opens, owners, ends = 0, rows[0].block, [], [], []
+        for row in rows:
+            opens.append(state)
+            owners.append(owner)
+            if not state or row.closes:
+                owner = row.block  # a record that is open behind this split begins in it
+            state = row.if_open if state else row.if_closed
+            ends.append(state)
+        if state:
+            raise _never_closed(spark, path, file, owner)
+        head = next((i for i, row in enumerate(rows) if row.solid), 0)
+        plain &= all(row.plain for row in rows) and not any(opens)
+        plain &= not header or rows[head].block == 0
+        blocks = np.array([row.block for row in rows], np.int64)
+        states = np.array(opens, bool), np.array(owners, np.int64), np.array(ends, bool)
+        files[file] = FileSplits(blocks, *states, int(blocks[head]))
+    return Scan(files, plain)
+
+
+def _never_closed(spark: SparkSession, path: str, file: int, block: int) -> PySparkException:
+    names = spark.read.text(path).select(F.col("_metadata.file_path").alias("name")).distinct()
+    name = names.filter(F.xxhash64("name") == file).first().name
+    return PySparkException(
+        f"a quoted field is never closed in {name}; its record begins at or after byte {block}"
     )
-    splits = _with_states(splits, until, by_block)
-    open_ = F.col("before_if_closed").alias("open")
-    starts = F.when(F.col("before_if_closed") == 0, F.col("starts_closed"))
-    splits = splits.select(*_SPLIT, open_, starts.otherwise(F.col("starts_open")).alias("starts"))
-    splits = splits.withColumn("starts_before", F.coalesce(F.sum("starts").over(before), F.lit(0)))
-    splits = splits.drop("starts")
-    closed = F.col("open") == 0
-    numbered = (
-        lines.join(splits, _SPLIT)
-        .withColumn(
-            "inside", F.when(closed, F.col("before_if_closed")).otherwise(F.col("before_if_open"))
+
+
+# --- second pass: records -------------------------------------------------------
+
+
+class _Records:
+    """Puts the lines of a task's splits together; pieces of split records come out marked."""
+
+    _NAMES = ["record", "file", "start", "place"]
+
+    def __init__(self, files: dict[int, FileSplits], header: bool):
+        self.files, self.header = files, header
+        self.key: tuple[int, int] | None = None
+        self.open, self.skips, self.lines, self.start = False, False, [], 0
+        self.whole: list[str] = []
+        self.pieces: list[tuple[str, int, int, int]] = []
+        self.chars = 0
+
+    def begin(self, key: tuple[int, int]) -> None:
+        if key == self.key:
+            return
+        self.end_split()
+        file, block = key
+        known = self.files.get(file)
+        if known is None:
+            raise RuntimeError("the files differ from those that were scanned; read them again")
+        at = known.place(block)
+        self.key, self.open = key, bool(known.opens[at])
+        self.start = int(known.owners[at]) if self.open else block
+        self.begun_here = not self.open
+        self.skips = self.header and block == known.header
+
+    def end_split(self) -> None:
+        if self.open:
+            self._piece()
+        self.open, self.lines = False, []
+
+    def _piece(self) -> None:
+        file, block = self.key
+        # a split's own record begins behind the end of the one it takes over
+        place = 2 * block + self.begun_here
+        marked = [None] if self.skips and self.begun_here else []
+        self.pieces += [("\n".join(self.lines), file, self.start, place)]
+        self.pieces += [(m, file, self.start, place) for m in marked]
+        self.lines = []
+
+    def add(self, values: pa.Array, codes: np.ndarray) -> pa.Array | None:
+        """Takes lines of the current split; what are records as they are comes straight back."""
+        if not self.open and not ((codes & 2) | (codes & _BLANK)).any():
+            if self.skips:
+                self._skip(values[0].as_py())
+                values = values.slice(1)
+            return values
+        for value, code in zip(values.to_pylist(), codes.tolist()):
+            if not self.open:
+                if code == _BLANK:
+                    continue
+                if code & 2:
+                    self.open, self.begun_here, self.lines = True, True, [value]
+                    self.start = self.key[1]
+                elif self.skips:
+                    self._skip(value)
+                else:
+                    self._record(value)
+                continue
+            self.lines.append(value)
+            if code != _BLANK and not code & 1:
+                self.open = False
+                if not self.begun_here:
+                    self._piece()
+                elif self.skips:
+                    self._skip("\n".join(self.lines))
+                else:
+                    self._record("\n".join(self.lines))
+                self.lines, self.begun_here = [], True
+        return None
+
+    def _skip(self, header: str) -> None:
+        """A header that holds a file of lines that end in carriage returns is none."""
+        if "\r" in re.sub('"[^"]*"', "", header.removesuffix("\r")):
+            raise ValueError(_LONE_RETURN)
+        self.skips = False
+
+    def _record(self, record: str) -> None:
+        self.whole.append(record)
+        self.chars += len(record)
+
+    def full(self) -> bool:
+        return len(self.whole) >= _BATCH_ROWS or self.chars >= _BATCH_CHARS
+
+    def batch(self) -> pa.RecordBatch:
+        rows = [(record, None, None, None) for record in self.whole] + self.pieces
+        self.whole, self.pieces, self.chars = [], [], 0
+        kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64()]
+        columns = zip(*rows) if rows else [[]] * 4
+        return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(columns, kinds)], self._NAMES)
+
+    def straight(self, values: pa.Array) -> pa.RecordBatch:
+        nothing = pa.nulls(len(values), pa.int64())
+        return pa.RecordBatch.from_arrays([values.cast(pa.string()), *[nothing] * 3], self._NAMES)
+
+
+def _put_together(lines: DataFrame, found: Scan, header: bool) -> DataFrame:
+    """``record, file, start, place``: whole records with nulls, and pieces of split ones."""
+    shared = lines.sparkSession.sparkContext.broadcast(found.files)
+
+    def build(batches):
+        records = _Records(shared.value, header)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            file, block, code = (batch.column(n).to_numpy(zero_copy_only=False) for n in (1, 2, 3))
+            code = code & _CODE
+            for first, last in _runs(file, block):
+                records.begin((int(file[first]), int(block[first])))
+                taken = records.add(batch.column(0).slice(first, last - first), code[first:last])
+                if taken is not None:
+                    yield records.straight(taken)
+                elif records.full():
+                    yield records.batch()
+        records.end_split()
+        yield records.batch()
+
+    return lines.mapInArrow(build, "record string, file long, start long, place long")
+
+
+def read_quoted_records(
+    spark: SparkSession, path: str, header: bool = True, found: Scan | None = None
+) -> DataFrame:
+    """One row per CSV record, as text in column ``record``; no order between rows."""
+    found = found or scan(spark, path, header)
+    lines = _coded_lines(spark, path)
+    records = _put_together(lines, found, header).filter("place is null").select("record")
+    crossed = [
+        (file, int(block))
+        for file, splits in found.files.items()
+        for block in splits.blocks[splits.opens | splits.ends]
+    ]
+    if crossed:
+        if len(crossed) <= _MOST_NAMED_SPLITS:
+            # others are read in vain, not wrongly
+            wanted = spark.createDataFrame(crossed, "file long, block long")
+            keys = [row[0] for row in wanted.select(F.xxhash64("file", "block")).collect()]
+            lines = lines.filter(F.xxhash64("file", "block").isin(keys))
+        pieces = _put_together(lines, found, header).filter("place is not null")
+        joined = pieces.groupBy("file", "start").agg(
+            F.sort_array(F.collect_list(F.struct("place", "record"))).alias("pieces"),
+            F.max(F.col("record").isNull()).alias("header"),
         )
-        .filter(~(empty & (F.col("inside") == 0)))
-        .withColumn("starts", 1 - F.col("inside"))
-        .withColumn("number", F.col("starts_before") + F.sum("starts").over(in_order))
-    )
-    in_record = F.sort_array(F.collect_list(F.struct("block", "position", "value")))
-    records = (
-        numbered.groupBy("number", "file")
-        .agg(in_record.alias("lines"))
-        .select("number", F.array_join("lines.value", "\n").alias("record"))
-    )
+        text = F.array_join("pieces.record", "\n").alias("record")
+        records = records.unionAll(joined.filter("not header").select(text))
     record = F.col("record")
     without_return = F.when(record.endswith("\r"), record.substr(F.lit(1), F.length(record) - 1))
-    records = records.withColumn(
-        "record", _refuse_lone_returns(F.coalesce(without_return, record))
-    )
-    if header:
-        # the length makes the header go through the check above, too
-        keep = F.when(F.col("number") == 1, F.length("record") < 0).otherwise(True)
-        records = records.filter(keep)
-    return records.filter("record != ''").select("record")
+    records = records.select(F.coalesce(without_return, record).alias("record"))
+    return records.select(_refuse_lone_returns(F.col("record")).alias("record"))
 
 
 def _refuse_lone_returns(record: Column) -> Column:
     """Lines that end in carriage returns alone would make one record of the file."""
     outside_quotes = F.regexp_replace(record, '"[^"]*"', "")
     return F.when(
-        record.contains("\r") & outside_quotes.contains("\r"),
-        F.raise_error(F.lit("carriage return outside quotes in a CSV record")),
+        record.contains("\r") & outside_quotes.contains("\r"), F.raise_error(F.lit(_LONE_RETURN))
     ).otherwise(record)

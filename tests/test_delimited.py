@@ -235,6 +235,51 @@ def test_each_file_of_a_folder_has_its_own_header_and_records(spark, tmp_path, s
     assert without_header.count() == 9
 
 
+def test_one_large_file_is_read_in_as_many_tasks_as_splits(spark, tmp_path, setting):
+    """The default, with and without line breaks in fields, and with a few splits of them."""
+    broken = ["1,plain"] * 3000 + ['2,"a\nb"'] + ["3,plain"] * 3000
+    for name, lines in (("plain", ["1,plain"] * 6000), ("broken", broken)):
+        path = tmp_path / f"{name}.csv"
+        path.write_text("id,text\n" + "\n".join(lines) + "\n")
+        setting("spark.sql.files.maxPartitionBytes", "4kb")
+        setting("spark.sql.files.openCostInBytes", "1")
+        splits = -(-path.stat().st_size // 4096)
+        loaded = read_csv(spark, str(path), MOVIE_REVIEW)
+        assert loaded.rdd.getNumPartitions() >= splits > 10
+        expected = values(read_csv(spark, str(path), MOVIE_REVIEW, layout="files"))
+        assert values(loaded) == expected
+        plan = loaded._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan
+
+
+def test_a_header_across_splits_and_after_empty_lines(spark, tmp_path, setting):
+    path = tmp_path / "head.csv"
+    path.write_text('\n' * 40 + '"i\nd","te\n\nxt"\n1,"a\nb"\n2,c\n')
+    for split in ("3b", "16b", "1kb"):
+        setting("spark.sql.files.maxPartitionBytes", split)
+        assert values(read_csv(spark, str(path), MOVIE_REVIEW)) == [(1, "a\nb"), (2, "c")]
+
+
+def test_a_field_that_is_never_closed_is_named(spark, tmp_path, setting):
+    folder = tmp_path / "folder"
+    folder.mkdir()
+    (folder / "good.csv").write_text('id,text\n1,"x"\n')
+    (folder / "bad.csv").write_text('id,text\n1,"ok"\n2,"never closed\n' + "3,more\n" * 50)
+    setting("spark.sql.files.maxPartitionBytes", "20b")
+    with pytest.raises(JOB_ERRORS, match=r"never closed in .*bad\.csv; .* after byte 0"):
+        read_csv(spark, str(folder), MOVIE_REVIEW)
+
+
+def test_changed_splits_are_noticed(spark, tmp_path, setting):
+    path = tmp_path / "changed.csv"
+    path.write_text("id,text\n" + '1,"a\nb"\n' * 40)
+    setting("spark.sql.files.maxPartitionBytes", "50b")
+    loaded = read_csv(spark, str(path), MOVIE_REVIEW)
+    setting("spark.sql.files.maxPartitionBytes", "33b")
+    with pytest.raises(JOB_ERRORS, match="read the files again"):
+        loaded.collect()
+
+
 def test_a_record_longer_than_many_splits(spark, tmp_path, setting):
     text = "\n".join(uuid.uuid4().hex for _ in range(200))
     path = tmp_path / "long.csv"
