@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from goldpan.sources import records
-from goldpan.sources.storage import publish_folder
+from goldpan.sources.storage import publish, reading_options
 
 # Text formats otherwise cut timestamps to milliseconds.
 TIMESTAMP_NTZ_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
@@ -71,18 +71,19 @@ def read_csv(
     options = dict(READ_OPTIONS)
     if timestamp_format:
         options["timestampNTZFormat"] = timestamp_format
+    version = reading_options(spark, path)
     if layout == "records":
-        found = records.scan(spark, path, header)
+        found = records.scan(spark, path, header, version)
         if not found.lines_are_records:
             parsed = F.from_csv("record", _ddl(schema), options)
-            texts = records.read_quoted_records(spark, path, header, found)
+            texts = records.read_quoted_records(spark, path, header, version, found)
             return texts.select(parsed.alias("row")).select("row.*")
         layout = "lines"
     if layout not in ("lines", "files"):
         raise ValueError(f"layout must be lines, files or records, not {layout!r}")
     return (
         spark.read.schema(schema)
-        .options(**options)
+        .options(**options, **version)
         .option("header", header)
         .option("multiLine", layout == "files")
         .csv(path)
@@ -98,8 +99,8 @@ def write_csv(
     writes its own, so nothing passes through one process.
     """
     writer = df.write.options(**WRITE_OPTIONS).option("header", header)
-    writer = writer.option("maxRecordsPerFile", rows_per_file)
-    publish_folder(df.sparkSession, path, writer.csv)
+    writer = writer.option("maxRecordsPerFile", rows_per_file).mode("append")
+    publish(df.sparkSession, path, writer.csv)
 
 
 def _ddl(schema: T.StructType) -> str:

@@ -19,7 +19,7 @@ from goldpan.sources.delimited import (
     WRITE_OPTIONS,
     read_csv,
 )
-from goldpan.sources.storage import publish_folder
+from goldpan.sources.storage import publish, reading_options
 
 DEFAULT_FORMAT = "parquet"
 BUILT_IN_FORMATS = ("parquet", "orc", "json", "csv", "xml")
@@ -63,7 +63,8 @@ def write_dataset(
     if rows_per_file:
         writer = writer.option("maxRecordsPerFile", rows_per_file)
     with_hint = _naming_missing_module(spark, fmt)
-    publish_folder(spark, path, lambda staging: with_hint(lambda: writer.save(staging)))
+    writer = writer.mode("append")
+    publish(spark, path, lambda folder: with_hint(lambda: writer.save(folder)))
 
 
 def read_dataset(
@@ -76,6 +77,7 @@ def read_dataset(
     if fmt.lower() == "csv" and schema is not None:
         return read_csv(spark, path, schema)
     reader = spark.read.format(fmt).options(**_READ.get(fmt.lower(), {}))
+    reader = reader.options(**reading_options(spark, path))
     if schema is not None:
         reader = reader.schema(schema)
     return _naming_missing_module(spark, fmt)(lambda: reader.load(path))

@@ -45,7 +45,7 @@ def _after_open(line: Column) -> Column:
     return F.when(line.rlike(end), _after(closed)).otherwise(1)
 
 
-def _coded_lines(spark: SparkSession, path: str) -> DataFrame:
+def _coded_lines(spark: SparkSession, path: str, options: dict[str, str]) -> DataFrame:
     """Every line with its split and its code; odd ones are not for the CSV reader's lines."""
     line = F.col("value")
     blanks = "".join(map(chr, range(0x21)))
@@ -58,7 +58,7 @@ def _coded_lines(spark: SparkSession, path: str) -> DataFrame:
     returns = line.contains("\r") & (F.instr(line, "\r") < F.length(line))
     odd = F.when(alone | returns, _ODD).otherwise(0)
     return (
-        spark.read.option("lineSep", "\n")
+        spark.read.options(**options, lineSep="\n")
         .text(path)
         .select(
             "value",
@@ -129,10 +129,12 @@ def _fold(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(columns, kinds)], names)
 
 
-def scan(spark: SparkSession, path: str, header: bool = True) -> Scan:
+def scan(
+    spark: SparkSession, path: str, header: bool = True, options: dict[str, str] | None = None
+) -> Scan:
     """Read all lines once for the states of their quotes. A field that is never closed is
-    an error that names its file and place."""
-    folded = _coded_lines(spark, path).select("file", "block", "code").mapInArrow(
+    an error that names its file and place. ``options`` are the reader's own."""
+    folded = _coded_lines(spark, path, options or {}).select("file", "block", "code").mapInArrow(
         _fold,
         "file long, block long, if_closed long, if_open long, closes boolean, solid boolean, "
         "plain boolean",
@@ -295,11 +297,15 @@ def _put_together(lines: DataFrame, found: Scan, header: bool) -> DataFrame:
 
 
 def read_quoted_records(
-    spark: SparkSession, path: str, header: bool = True, found: Scan | None = None
+    spark: SparkSession,
+    path: str,
+    header: bool = True,
+    options: dict[str, str] | None = None,
+    found: Scan | None = None,
 ) -> DataFrame:
     """One row per CSV record, as text in column ``record``; no order between rows."""
-    found = found or scan(spark, path, header)
-    lines = _coded_lines(spark, path)
+    found = found or scan(spark, path, header, options)
+    lines = _coded_lines(spark, path, options or {})
     records = _put_together(lines, found, header).filter("place is null").select("record")
     crossed = [
         (file, int(block))

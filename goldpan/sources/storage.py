@@ -1,12 +1,31 @@
-"""Publishing of whole output folders through the Hadoop file system."""
+"""Versions of output folders, published by a manifest and never by a rename.
+
+A write adds part files to the dataset's own folder, all with the name of their write job.
+Then one small file, the manifest, lists them: from that moment on readers take these files
+and no others. Its name rises with time and its last line tells that it is complete, so a
+manifest that is cut short counts for nothing, on file systems and object stores alike. At
+last what the manifest does not list is deleted. Whatever step fails, readers find the old
+version or the new one; what a dead write leaves behind is deleted by the next one.
+
+Readers of this package resolve manifests (:func:`reading_options`). Others see the folder's
+part files, which are those of one version but for the time between write and cleaning.
+"""
 
 from __future__ import annotations
 
+import json
+import re
+import time
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import SparkSession
 
+_MANIFEST = "_goldpan-manifest-"
+_COMPLETE = "complete"
+# Fixed value: how Spark names the files of a write job
+_JOB = re.compile(r"part-\d+-([0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12})")
+
 
 def _resolve(spark: SparkSession, path: str):
     hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -30,43 +49,93 @@ def list_children(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().toString() for status in fs.listStatus(target)]
 
 
-def _rename(spark: SparkSession, source: str, target: str) -> None:
-    fs, source_path = _resolve(spark, source)
-    target_path = _resolve(spark, target)[1]
-    fs.mkdirs(target_path.getParent())
-    if not fs.rename(source_path, target_path):
-        raise OSError(f"could not rename {source} to {target}")
-
-
-def publish_folder(spark: SparkSession, target: str, write: Callable[[str], None]) -> None:
-    """Run ``write`` on a staging folder beside ``target``, then put it in place.
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, source = _resolve(spark, path)
+    stream = fs.open(source)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
 
-    The earlier content of ``target`` stays readable until the new folder is
-    complete, and stays for good when ``write`` fails. It also lets a job
-    replace the folder it is reading from. The helper folders have hidden names,
-    which scans of the parent folder skip.
 
-    A rename is one step on a file system but a copy on most object stores;
-    there, keep large datasets in catalog tables, which move by a catalog change.
+def write_new_text(spark: SparkSession, path: str, text: str) -> None:
+    """Make a file that must not be there yet."""
+    fs, target = _resolve(spark, path)
+    stream = fs.create(target, False)
+    try:
+        stream.write(text.encode())
+    finally:
+        stream.close()
+
+
+def _parts(spark: SparkSession, folder: str) -> set[str]:
+    """Names of the part files in ``folder``: listed by Spark and handed over as one text."""
+    if not path_exists(spark, folder):
+        return set()
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder)
+    join = spark.sparkContext._jvm.org.apache.hadoop.util.StringUtils.join
+    paths = join("\n", listed._jdf.inputFiles())
+    return {path.rpartition("/")[2] for path in paths.split("\n") if path}
+
+
+def _manifests(spark: SparkSession, folder: str) -> list[str]:
+    """Names of a folder's manifests, the latest first."""
+    fs, pattern = _resolve(spark, f"{folder.rstrip('/')}/{_MANIFEST}*")
+    found = fs.globStatus(pattern) or []
+    return sorted((status.getPath().getName() for status in found), reverse=True)
+
+
+def current_version(spark: SparkSession, folder: str) -> list[str] | None:
+    """Part files of the folder's published version; None for a folder without a manifest."""
+    for name in _manifests(spark, folder):
+        text = read_text(spark, f"{folder.rstrip('/')}/{name}")
+        listed, _, end = text.rpartition("\n")
+        if end == _COMPLETE:
+            return json.loads(listed)["files"]
+    return None
+
+
+def reading_options(spark: SparkSession, path: str) -> dict[str, str]:
+    """What a reader of ``path`` needs to see one whole version and nothing else."""
+    if re.search(r"[*?{\[]", path):
+        return {}
+    files = current_version(spark, path)
+    if files is None:
+        return {}
+    missing = set(files) - _parts(spark, path)
+    if missing:
+        raise OSError(f"{path} lacks {len(missing)} of {len(files)} files, such as {min(missing)}")
+    jobs = {match[1] for match in map(_JOB.match, files) if match}
+    return {"pathGlobFilter": f"part-*{{{','.join(sorted(jobs))}}}*"} if jobs else {}
+
+
+def publish(spark: SparkSession, target: str, write: Callable[[str], None]) -> None:
+    """Run ``write``, which appends part files to ``target``, and make them its version.
+
+    An earlier version stays readable until the manifest is there, and for good when
+    ``write`` fails. A job may replace the folder that it reads from.
     """
     fs, path = _resolve(spark, target)
-    target = path.makeQualified(fs.getUri(), fs.getWorkingDirectory()).toString()
-    parent, _, name = target.rstrip("/").rpartition("/")
-    token = uuid.uuid4().hex
-    staging, retired = (f"{parent}/.{role}-{token}-{name}" for role in ("staging", "retired"))
-    try:
-        write(staging)
-    except BaseException:
-        delete_path(spark, staging)
-        raise
-    had_earlier = path_exists(spark, target)
-    if had_earlier:
-        _rename(spark, target, retired)
+    target = path.makeQualified(fs.getUri(), fs.getWorkingDirectory()).toString().rstrip("/")
+    there = path_exists(spark, target)
+    before = _parts(spark, target)
     try:
-        _rename(spark, staging, target)
+        write(target)
     except BaseException:
-        if had_earlier:
-            _rename(spark, retired, target)
+        if there:
+            _delete(spark, target, _parts(spark, target) - before)
+        else:
+            delete_path(spark, target)
         raise
-    if had_earlier:
-        delete_path(spark, retired)
+    files = sorted(_parts(spark, target) - before)
+    name = f"{_MANIFEST}{time.time_ns():020d}-{uuid.uuid4().hex}"
+    text = json.dumps({"files": files})
+    write_new_text(spark, f"{target}/{name}", f"{text}\n{_COMPLETE}")
+    # the latest manifest stands alone before the files of others go
+    _delete(spark, target, {old for old in _manifests(spark, target) if old < name})
+    _delete(spark, target, _parts(spark, target) - set(files))
+
+
+def _delete(spark: SparkSession, folder: str, names: set[str]) -> None:
+    for name in names:
+        delete_path(spark, f"{folder}/{name}")
