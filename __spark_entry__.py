@@ -11,14 +11,15 @@ from pyspark.sql import functions as F
 
 from goldpan.functions.stopwords import ENGLISH_STOP_WORDS
 from goldpan.operators import tables
+from goldpan.operators.changes import CHANGE, as_changes
 from goldpan.plans import classifier as trained
-from goldpan.plans import gold, jobs, silver, workflows
+from goldpan.plans import gold, gold_state, jobs, silver, workflows
 from goldpan.plans import star_inputs as star
 from goldpan.schemas import MOVIE_REVIEW, USER_PURCHASE
 from goldpan.session import scratch_dir
 from goldpan.sources.delimited import read_csv, write_csv
 from goldpan.sources.formats import BUILT_IN_FORMATS, read_dataset, show_table, write_dataset
-from goldpan.streaming.arrivals import ingest_arrivals
+from goldpan.streaming.arrivals import ingest_arrivals, load_arrivals
 
 try:  # the package works without its training-data operators
     import corpus_pipeline
@@ -29,6 +30,7 @@ except ImportError:
 # The test text is invented: these two words split it into sensible classes.
 LEXICON = ("worthless", "ble")
 SHOWN_ROWS = 100
+ARRIVAL_FORMATS = ("parquet", "json", "csv")
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -61,6 +63,17 @@ def csv_records_across_lines(spark: SparkSession, folder: str) -> DataFrame:
     return read_csv(spark, path, MOVIE_REVIEW, layout="records")
 
 
+def csv_layouts_agree(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts with line breaks by the default, in splits, and file by file."""
+    path = scratch_dir(spark, "layouts")
+    write_csv(star.movie_reviews(spark, folder), path)
+    copies = [
+        read_csv(spark, path, MOVIE_REVIEW, layout=layout).withColumn("layout", F.lit(layout))
+        for layout in ("records", "files")
+    ]
+    return reduce(DataFrame.unionAll, copies)
+
+
 def typed_table(spark: SparkSession, folder: str) -> DataFrame:
     """Create the table, append a file to it, select everything."""
     name = _new_table(spark)
@@ -81,6 +94,15 @@ def reload_twice(spark: SparkSession, folder: str) -> DataFrame:
     return spark.table(name)
 
 
+def reload_changes(spark: SparkSession, folder: str) -> DataFrame:
+    """T4: rows that a second load adds (some are copies) and removes, with signed counts."""
+    name = _new_table(spark)
+    purchases = star.purchases(spark, folder)
+    tables.reload_table(purchases, name)
+    tables.reload_table(purchases.filter("quantity >= 5").unionAll(purchases.filter("quantity > 48")), name)
+    return tables.reload_changes(spark, name)
+
+
 def clear_table(spark: SparkSession, folder: str) -> DataFrame:
     """A loaded table's rows before and after it is cleared."""
     name = _new_table(spark)
@@ -169,6 +191,51 @@ def gold_movie_analytics(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def gold_incremental(spark: SparkSession, folder: str) -> DataFrame:
+    """Gold after two increments and one removal, by sums that follow the changes."""
+    base = scratch_dir(spark, "gold-state")
+    purchases = silver.user_purchase(star.purchases(spark, folder))
+    classified = silver.classified_reviews(star.movie_reviews(spark, folder), LEXICON)
+    logs = silver.review_logs(star.log_reviews(spark, folder))
+    few = F.coalesce(F.col("quantity") < 20, F.lit(True))
+    even, third = F.col("id_review") % 2 == 0, F.col("id_review") % 3 == 0
+    gone = F.col("id_review") % 10 == 0
+
+    def less(rows: DataFrame) -> DataFrame:
+        return rows.withColumn(CHANGE, F.lit(-1).cast("long"))
+
+    def step(number: int, **changed: DataFrame) -> DataFrame:
+        following = gold_state.apply_changes(state, **changed)
+        write_dataset(following, f"{base}/{number}")
+        return read_dataset(spark, f"{base}/{number}")
+
+    none = as_changes(classified.filter(F.lit(False)))
+    state = gold_state.purchase_deltas(as_changes(purchases.filter(F.lit(False))))
+    state = step(
+        1,
+        purchases=as_changes(purchases.filter(few)),
+        classified=as_changes(classified.filter(even)),
+        logs=as_changes(logs.filter(third)),
+        classified_before=none,
+        logs_after=as_changes(logs.filter(third)),
+    )
+    state = step(
+        2,
+        purchases=as_changes(purchases.filter(~few)),
+        classified=as_changes(classified.filter(~even)),
+        logs=as_changes(logs.filter(~third)),
+        classified_before=as_changes(classified.filter(even)),
+        logs_after=as_changes(logs),
+    )
+    state = step(
+        3,
+        purchases=less(purchases.filter("quantity > 40")),
+        classified=less(classified.filter(gone)),
+        logs_after=as_changes(logs),
+    )
+    return gold_state.gold_of(state)
+
+
 def classifier(spark: SparkSession, folder: str) -> DataFrame:
     """Fit on the labelled reviews, label all reviews. No SQL counterpart."""
     reviews = star.movie_reviews(spark, folder)
@@ -231,6 +298,32 @@ def arrival_ingest(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(USER_PURCHASE).parquet(target)
 
 
+def arrival_formats(spark: SparkSession, folder: str) -> DataFrame:
+    """The same arrivals into sinks of three formats."""
+    base = scratch_dir(spark, "arrival-formats")
+    landing = f"{base}/landing"
+    write_csv(star.purchases(spark, folder), f"{landing}/arrival")
+    copies = []
+    for fmt in ARRIVAL_FORMATS:
+        target = f"{base}/{fmt}"
+        ingest_arrivals(spark, landing, target, f"{base}/checkpoint-{fmt}", USER_PURCHASE, fmt)
+        copy = read_dataset(spark, target, fmt, USER_PURCHASE)
+        copies.append(copy.withColumn("fmt", F.lit(fmt)))
+    return reduce(DataFrame.unionAll, copies)
+
+
+def arrival_table(spark: SparkSession, folder: str) -> DataFrame:
+    """Two arrivals and a run without one into a typed table."""
+    base, name = scratch_dir(spark, "arrival-table"), _new_table(spark)
+    purchases = star.purchases(spark, folder)
+    small = F.coalesce(F.col("quantity") < 25, F.lit(False))
+    for number, part in enumerate((small, ~small)):
+        write_csv(purchases.filter(part), f"{base}/landing/arrival-{number}")
+        load_arrivals(spark, f"{base}/landing", name, f"{base}/checkpoint")
+    load_arrivals(spark, f"{base}/landing", name, f"{base}/checkpoint")
+    return spark.table(name)
+
+
 def _new_table(spark: SparkSession, name: str | None = None, root: str | None = None) -> str:
     name = name or f"user_purchase_{uuid.uuid4().hex}"
     tables.create_table(spark, name, root or scratch_dir(spark, "table"))
@@ -267,9 +360,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             csv_load_roundtrip,
             csv_positional_binding,
             csv_records_across_lines,
+            csv_layouts_agree,
             typed_table,
             total_rows,
             reload_twice,
+            reload_changes,
             clear_table,
             drop_recreate,
             export_if_nonempty,
@@ -280,12 +375,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             silver_classified,
             amount_spent,
             gold_movie_analytics,
+            gold_incremental,
             classifier,
             job_smoke,
             job_registry,
             jobs_only,
             bronze_to_gold,
             arrival_ingest,
+            arrival_formats,
+            arrival_table,
         )
     }
     return own if llm is None else own | llm.queries() | {"pipeline": corpus_pipeline.run}
@@ -325,16 +423,35 @@ select customer_id, cast(sum(quantity * unit_price) as decimal(18,3)) as amount_
 from ({PURCHASES_SQL}) group by customer_id
 """
 
-GOLD_SQL = f"""
+
+def _gold_sql(reviews: str = "true", purchases: str = "true") -> str:
+    return f"""
 with reviewed as (
   select cast(user_id as int) as customer_id, count(*) as review_count,
          cast(sum(positive_review) as bigint) as review_score
   from ({CLASSIFIED_SQL}) join events on id_review = event_id
+  where {reviews}
   group by 1
+), spent as (
+  select customer_id, cast(sum(quantity * unit_price) as decimal(18,3)) as amount_spent
+  from ({PURCHASES_SQL}) where {purchases} group by customer_id
 )
 select customer_id, amount_spent, coalesce(review_count, 0) as review_count,
        coalesce(review_score, 0) as review_score
-from ({AMOUNT_SPENT_SQL}) left join reviewed using (customer_id)
+from spent left join reviewed using (customer_id)
+"""
+
+
+GOLD_SQL = _gold_sql()
+
+CHANGES_SQL = f"""
+with before as ({PURCHASES_SQL}), after as (
+  select * from before where quantity >= 5 union all select * from before where quantity > 48
+)
+select *, count(*) as change from (select * from after except all select * from before)
+group by all
+union all
+select *, -count(*) from (select * from before except all select * from after) group by all
 """
 
 EMPTIED_SQL = f"""
@@ -354,7 +471,12 @@ def _own_sql() -> dict[str, str]:
         "csv_records_across_lines": (
             "select doc_id as id_review, text as review_str from documents"
         ),
+        "csv_layouts_agree": (
+            "select doc_id as id_review, text as review_str, layout "
+            "from documents, (values ('records'), ('files')) as layouts(layout)"
+        ),
         "typed_table": PURCHASES_SQL,
+        "reload_changes": CHANGES_SQL,
         "total_rows": "select count(*) as total_rows from lineitem",
         "reload_twice": PURCHASES_SQL,
         "clear_table": EMPTIED_SQL,
@@ -373,6 +495,7 @@ def _own_sql() -> dict[str, str]:
         "silver_classified": CLASSIFIED_SQL,
         "amount_spent": AMOUNT_SPENT_SQL,
         "gold_movie_analytics": GOLD_SQL,
+        "gold_incremental": _gold_sql("id_review % 10 <> 0", "not quantity > 40"),
         "job_smoke": "select count(*) as total_rows from lineitem",
         "job_registry": f"""
             with purchases as ({PURCHASES_SQL})
@@ -385,4 +508,8 @@ def _own_sql() -> dict[str, str]:
         "jobs_only": GOLD_SQL,
         "bronze_to_gold": GOLD_SQL,
         "arrival_ingest": PURCHASES_SQL,
+        "arrival_formats": " union all ".join(
+            f"select *, '{fmt}' as fmt from ({PURCHASES_SQL})" for fmt in ARRIVAL_FORMATS
+        ),
+        "arrival_table": PURCHASES_SQL,
     }

@@ -16,6 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from goldpan.operators.changes import CHANGE, as_changes, changes
 from goldpan.schemas import USER_PURCHASE, USER_PURCHASE_DDL
 from goldpan.sources.delimited import read_csv, write_csv
 from goldpan.sources.storage import delete_path, list_children
@@ -70,6 +71,20 @@ def reload_table(df: DataFrame, name: str, keep: int | None = KEPT_VERSIONS) ->
         remove_old_versions(df.sparkSession, name, keep)
 
 
+def reload_changes(spark: SparkSession, name: str) -> DataFrame:
+    """What the last reload changed: rows added and removed, with signed counts (T4).
+
+    Compares the table's current version with the one it has replaced, which it still
+    keeps. A table that was never reloaded, or keeps no old version, counts as new.
+    """
+    rows = spark.table(name)
+    older = _older_versions(spark, name)
+    if not older:
+        return as_changes(rows).groupBy(*rows.columns).agg(F.sum(CHANGE).alias(CHANGE))
+    provider = _describe(spark, name)["provider"]
+    return changes(spark.read.schema(rows.schema).format(provider).load(older[-1]), rows)
+
+
 def load_csv(spark: SparkSession, path: str, name: str, **read: object) -> None:
     """Append a CSV file to a typed table."""
     read_csv(spark, path, USER_PURCHASE, **read).write.insertInto(name)
@@ -103,13 +118,24 @@ def remove_old_versions(spark: SparkSession, name: str, keep: int = 0) -> None:
 
     Run it while no load or long read is active that needs an older one.
     """
+    old = _older_versions(spark, name)
+    for version in old[: max(0, len(old) - keep)]:
+        delete_path(spark, version)
+
+
+def _older_versions(spark: SparkSession, name: str) -> list[str]:
+    """Folders of the versions that were replaced and are kept, the oldest first."""
     current = _last_part(_describe(spark, name)["location"])
     versions = {_last_part(path): path for path in list_children(spark, _root(spark, name))}
     # names begin with the time, and a version made later than the current one is a
     # load that has not ended
     old = sorted(v for v in versions if v.startswith("version-") and v < current)
-    for version in old[: max(0, len(old) - keep)]:
-        delete_path(spark, versions[version])
+    return [versions[version] for version in old]
+
+
+def location(spark: SparkSession, name: str) -> str:
+    """The folder of the table's current rows."""
+    return _describe(spark, name)["location"].rstrip("/")
 
 
 def _last_part(path: str) -> str:

@@ -47,13 +47,13 @@ DEFAULT_LAYOUT = "records"
 
 def read_csv(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     schema: T.StructType,
     header: bool = True,
     layout: str = DEFAULT_LAYOUT,
     timestamp_format: str | None = None,
 ) -> DataFrame:
-    """Typed, all-or-nothing CSV scan.
+    """Typed, all-or-nothing CSV scan of a file, a folder, or a list of files.
 
     Timestamps are ISO unless ``timestamp_format`` says otherwise, for instance
     :data:`MONTH_FIRST_TIMESTAMPS`.
@@ -71,7 +71,7 @@ def read_csv(
     options = dict(READ_OPTIONS)
     if timestamp_format:
         options["timestampNTZFormat"] = timestamp_format
-    version = reading_options(spark, path)
+    version = reading_options(spark, path) if isinstance(path, str) else {}
     if layout == "records":
         found = records.scan(spark, path, header, version)
         if not found.lines_are_records:

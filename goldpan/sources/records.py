@@ -45,7 +45,7 @@ def _after_open(line: Column) -> Column:
     return F.when(line.rlike(end), _after(closed)).otherwise(1)
 
 
-def _coded_lines(spark: SparkSession, path: str, options: dict[str, str]) -> DataFrame:
+def _coded_lines(spark: SparkSession, path: str | list[str], options: dict[str, str]) -> DataFrame:
     """Every line with its split and its code; odd ones are not for the CSV reader's lines."""
     line = F.col("value")
     blanks = "".join(map(chr, range(0x21)))
@@ -130,7 +130,7 @@ def _fold(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def scan(
-    spark: SparkSession, path: str, header: bool = True, options: dict[str, str] | None = None
+    spark: SparkSession, path: str | list[str], header: bool = True, options: dict[str, str] | None = None
 ) -> Scan:
     """Read all lines once for the states of their quotes. A field that is never closed is
     an error that names its file and place. ``options`` are the reader's own."""
@@ -164,7 +164,7 @@ def scan(
     return Scan(files, plain)
 
 
-def _never_closed(spark: SparkSession, path: str, file: int, block: int) -> PySparkException:
+def _never_closed(spark: SparkSession, path: str | list[str], file: int, block: int) -> PySparkException:
     names = spark.read.text(path).select(F.col("_metadata.file_path").alias("name")).distinct()
     name = names.filter(F.xxhash64("name") == file).first().name
     return PySparkException(
@@ -298,7 +298,7 @@ def _put_together(lines: DataFrame, found: Scan, header: bool) -> DataFrame:
 
 def read_quoted_records(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     header: bool = True,
     options: dict[str, str] | None = None,
     found: Scan | None = None,

@@ -68,7 +68,7 @@ def write_new_text(spark: SparkSession, path: str, text: str) -> None:
         stream.close()
 
 
-def _parts(spark: SparkSession, folder: str) -> set[str]:
+def part_files(spark: SparkSession, folder: str) -> set[str]:
     """Names of the part files in ``folder``: listed by Spark and handed over as one text."""
     if not path_exists(spark, folder):
         return set()
@@ -102,7 +102,7 @@ def reading_options(spark: SparkSession, path: str) -> dict[str, str]:
     files = current_version(spark, path)
     if files is None:
         return {}
-    missing = set(files) - _parts(spark, path)
+    missing = set(files) - part_files(spark, path)
     if missing:
         raise OSError(f"{path} lacks {len(missing)} of {len(files)} files, such as {min(missing)}")
     jobs = {match[1] for match in map(_JOB.match, files) if match}
@@ -118,22 +118,22 @@ def publish(spark: SparkSession, target: str, write: Callable[[str], None]) -> N
     fs, path = _resolve(spark, target)
     target = path.makeQualified(fs.getUri(), fs.getWorkingDirectory()).toString().rstrip("/")
     there = path_exists(spark, target)
-    before = _parts(spark, target)
+    before = part_files(spark, target)
     try:
         write(target)
     except BaseException:
         if there:
-            _delete(spark, target, _parts(spark, target) - before)
+            _delete(spark, target, part_files(spark, target) - before)
         else:
             delete_path(spark, target)
         raise
-    files = sorted(_parts(spark, target) - before)
+    files = sorted(part_files(spark, target) - before)
     name = f"{_MANIFEST}{time.time_ns():020d}-{uuid.uuid4().hex}"
     text = json.dumps({"files": files})
     write_new_text(spark, f"{target}/{name}", f"{text}\n{_COMPLETE}")
     # the latest manifest stands alone before the files of others go
     _delete(spark, target, {old for old in _manifests(spark, target) if old < name})
-    _delete(spark, target, _parts(spark, target) - set(files))
+    _delete(spark, target, part_files(spark, target) - set(files))
 
 
 def _delete(spark: SparkSession, folder: str, names: set[str]) -> None:
