@@ -13,7 +13,7 @@ from goldpan.functions.stopwords import ENGLISH_STOP_WORDS
 from goldpan.operators import tables
 from goldpan.operators.changes import CHANGE, as_changes
 from goldpan.plans import classifier as trained
-from goldpan.plans import gold, gold_state, jobs, silver, workflows
+from goldpan.plans import bayes, gold, gold_state, jobs, silver, workflows
 from goldpan.plans import star_inputs as star
 from goldpan.schemas import MOVIE_REVIEW, USER_PURCHASE
 from goldpan.session import scratch_dir
@@ -243,6 +243,13 @@ def classifier(spark: SparkSession, folder: str) -> DataFrame:
     return trained.classify(model, reviews)
 
 
+def classifier_bayes(spark: SparkSession, folder: str) -> DataFrame:
+    """Naive Bayes over the labelled reviews, labels of all reviews."""
+    reviews = star.movie_reviews(spark, folder)
+    weights, prior = bayes.fit(reviews, star.review_labels(spark, folder))
+    return bayes.classify(weights, prior, reviews).select("id_review", "positive_review")
+
+
 # --- jobs and streams ---------------------------------------------------------
 
 
@@ -377,6 +384,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             gold_movie_analytics,
             gold_incremental,
             classifier,
+            classifier_bayes,
             job_smoke,
             job_registry,
             jobs_only,
@@ -454,6 +462,36 @@ union all
 select *, -count(*) from (select * from before except all select * from after) group by all
 """
 
+BAYES_SQL = f"""
+with reviews as (
+  select doc_id as id_review, unnest(list_filter(
+    regexp_split_to_array(lower(text), '[^a-z]+'),
+    lambda word: word <> ''
+    and not list_contains([{_sql_list(ENGLISH_STOP_WORDS)}], word))) as word
+  from documents
+), known as (
+  select doc_id as id_review, quality as label from labels where quality in (0, 1)
+), prior as (
+  select ln(count(*) filter (where label = 1) + 1.0) - ln(count(*) filter (where label = 0) + 1.0)
+         as prior
+  from known join documents on id_review = doc_id
+), by_word as (
+  select word, count(*) filter (where label = 1) as in1, count(*) filter (where label = 0) as in0
+  from reviews join known using (id_review) group by word
+), totals as (
+  select sum(in1) as all1, sum(in0) as all0, count(*) as vocabulary from by_word
+), weights as (
+  select word, ln((in1 + 1.0) / (all1 + vocabulary)) - ln((in0 + 1.0) / (all0 + vocabulary))
+         as weight
+  from by_word, totals
+), scored as (
+  select id_review, sum(weight) as score from reviews join weights using (word) group by id_review
+)
+select doc_id as id_review,
+       cast(round(prior + coalesce(score, 0.0), 9) >= 0 as int) as positive_review
+from documents left join scored on doc_id = id_review, prior
+"""
+
 EMPTIED_SQL = f"""
 select count(*) as rows_before, cast(0 as bigint) as rows_after from ({PURCHASES_SQL})
 """
@@ -496,6 +534,7 @@ def _own_sql() -> dict[str, str]:
         "amount_spent": AMOUNT_SPENT_SQL,
         "gold_movie_analytics": GOLD_SQL,
         "gold_incremental": _gold_sql("id_review % 10 <> 0", "not quantity > 40"),
+        "classifier_bayes": BAYES_SQL,
         "job_smoke": "select count(*) as total_rows from lineitem",
         "job_registry": f"""
             with purchases as ({PURCHASES_SQL})

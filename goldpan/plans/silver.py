@@ -31,8 +31,8 @@ def review_logs(
     """XML payload of each log line as columns beside its ``id_review``."""
     rename = {"userId": "user_id"} if rename is None else rename
     fields = parse_xml(F.col("log"), payload, row_tag, mode)
-    parsed = logs.select("id_review", fields.alias("fields"))
-    return parsed.select("id_review", "fields.*").withColumnsRenamed(rename)
+    # a generator, so that a filter on a field does not parse the payload a second time
+    return logs.select("id_review", F.inline(F.array(fields))).withColumnsRenamed(rename)
 
 
 def classified_reviews(

@@ -1,11 +1,15 @@
 from __future__ import annotations
 
+import math
+import random
+from collections import Counter
+
 import numpy as np
 from pyspark.ml.feature import HashingTF
 from pyspark.sql import functions as F
 
 from goldpan.functions.text import words
-from goldpan.plans import classifier
+from goldpan.plans import bayes, classifier
 from goldpan.schemas import MOVIE_REVIEW
 from tests.conftest import values
 
@@ -49,3 +53,33 @@ def test_reviews_are_classified_whole(spark):
     assert set(labelled) == {row[0] for row in REVIEWS}
     assert labelled[5] == 1 and labelled[7] == 0
     assert set(labelled.values()) == {0, 1}
+
+
+def test_naive_bayes_equals_a_plain_count(spark):
+    rng = random.Random(7)
+    vocabulary = ["fine", "dull", "plot", "actor", "scene", "the"]
+    rows = [(i % 40, " ".join(rng.choices(vocabulary, k=rng.randint(0, 6)))) for i in range(45)]
+    rows += [(90, None), (91, ""), (None, "fine plot"), (92, "unknown words"), (93, "dull"), (93, "dull")]
+    marks = [(rng.randint(0, 50), rng.randint(0, 1)) for _ in range(60)] + [(1, None), (None, 1)]
+    reviews = spark.createDataFrame(rows, "id_review long, review_str string")
+    labels = spark.createDataFrame(marks, "id_review long, label int")
+    pairs = [
+        ((t or "").split(), m) for i, t in rows for j, m in marks if i is not None and i == j and m is not None
+    ]
+    counts = {m: Counter(w for ws, n in pairs if n == m for w in ws if w != "the") for m in (0, 1)}
+    known = set(counts[0]) | set(counts[1])
+
+    def weight(word):
+        share = [(counts[m][word] + 1) / (sum(counts[m].values()) + len(known)) for m in (0, 1)]
+        return math.log(share[1]) - math.log(share[0])
+
+    prior = [math.log(sum(m == label for _, m in pairs) + 1) for label in (0, 1)]
+    expected = [
+        (i, round(prior[1] - prior[0] + sum(weight(w) for w in (t or "").split() if w in known), 7))
+        for i, t in rows
+    ]
+    found = bayes.classify(*bayes.fit(reviews, labels), reviews).collect()
+    assert sorted(((r.id_review, round(r.score, 7)) for r in found), key=repr) == sorted(expected, key=repr)
+    assert all(r.positive_review == (r.score >= 0) for r in found)
+    nothing = bayes.fit(reviews.limit(0), labels)
+    assert {r.positive_review for r in bayes.classify(*nothing, reviews).collect()} == {1}

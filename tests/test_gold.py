@@ -7,11 +7,14 @@ from decimal import Decimal
 
 import pytest
 
-from goldpan.plans import gold
+from goldpan.plans import gold, silver
+from goldpan.plans import star_inputs as star
 from goldpan.schemas import CLASSIFIED_REVIEW, REVIEW_LOGS, USER_PURCHASE
 from goldpan.sources.formats import read_dataset, write_dataset
 from tests.conftest import values
 
+SMALL = "/root/testdata/sf0.001"
+
 
 def purchase(customer, quantity, price):
     when = datetime(2020, 1, 1)
@@ -145,3 +148,11 @@ def test_users_beyond_the_customers_type_match_nobody(spark):
         spark.createDataFrame([(1, 2**40 + 1, "a", 0.5), (1, 1, "a", 0.5)], REVIEW_LOGS),
     )
     assert [tuple(row)[2:] for row in result.collect()] == [(1, 1)]
+
+
+def test_gold_parses_each_payload_once(spark):
+    logs = silver.review_logs(star.log_reviews(spark, SMALL))
+    classified = silver.classified_reviews(star.movie_reviews(spark, SMALL))
+    result = gold.movie_analytics(silver.user_purchase(star.purchases(spark, SMALL)), classified, logs)
+    plan = result._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_xml(") == 1
