@@ -35,12 +35,16 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goldpan.llm.common import Cache, saved, slices, whole
+from goldpan.llm.common import saved, slices, task, whole
 
 VOCABULARY = "word_bpe_49k.json"
-LEXICON_WORDS = 50_000
-_COUNTED_WORDS = 400_000
+LEXICON_WORDS = 200_000
+_COUNTED_PIECES = 300_000
+_KNOWN_WORDS = 300_000
+_GATHERED_IDS = 1 << 18
+_SLICE_BYTES = 4 << 20
 _MATRIX_WIDTH = 48
+_LEXICON_CHARS = 64
 _PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 # Latin text, for which all Unicode versions agree; everything else is the library's
 _UNUSUAL = "[^\t-\r -~¡-įı-ɏ‐-‧€]|<\\|(?:start|end)oftext\\|>"
@@ -308,6 +312,7 @@ def _lower(piece: str) -> str:
 def word_counts(texts: DataFrame, column: str = "text") -> DataFrame:
     """How often each word of the vocabulary's alphabet occurs, over all texts."""
 
+    @task()
     def count(batches):
         counts: Counter = Counter()
         for batch in slices(batches, column):
@@ -316,13 +321,8 @@ def word_counts(texts: DataFrame, column: str = "text") -> DataFrame:
             distinct, codes, _ = _pieces(ordinary)
             times = np.bincount(codes, minlength=len(distinct)).tolist()
             for piece, n in zip(distinct.to_pylist(), times):
-                piece = _lower(piece)
-                if piece.isalpha():
-                    counts[piece] += n
-                else:
-                    for word in _PIECES.findall(piece):
-                        counts[word] += n
-            if len(counts) > _COUNTED_WORDS:
+                counts[piece] += n
+            if len(counts) > _COUNTED_PIECES:
                 yield _counted(counts)
                 counts.clear()
         yield _counted(counts)
@@ -331,7 +331,15 @@ def word_counts(texts: DataFrame, column: str = "text") -> DataFrame:
     return counted.groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _counted(counts: Counter) -> pa.RecordBatch:
+def _counted(pieces: Counter) -> pa.RecordBatch:
+    counts: Counter = Counter()
+    for piece, n in pieces.items():
+        piece = _lower(piece)
+        if piece.isalpha():
+            counts[piece] += n
+        else:
+            for word in _PIECES.findall(piece):
+                counts[word] += n
     return pa.RecordBatch.from_pydict(
         {"word": pa.array(counts.keys(), pa.string()), "n": pa.array(counts.values(), pa.int64())}
     )
@@ -348,9 +356,11 @@ def build_lexicon(
 
     Frequent is a word that occurs ``2 ** c`` times or more, with the least ``c`` that
     keeps within ``words``: a count for each power of two decides it, so that no more
-    than the lexicon reaches the driver. The lexicon is also all that is broadcast.
+    than the lexicon reaches the driver. The lexicon is also all that is broadcast. Words of
+    more than ``_LEXICON_CHARS`` characters are left to the merges, which bounds its bytes.
     """
-    counts = saved(spark, word_counts(texts, column), "word-counts")
+    counts = word_counts(texts, column).filter(F.length("word") <= _LEXICON_CHARS)
+    counts = saved(spark, counts, "word-counts")
     power = F.floor(F.log2("n")).cast("int").alias("power")
     at_least, least = 0, 64
     for row in counts.groupBy(power).agg(F.count("*").alias("words")).orderBy(F.desc("power")).collect():
@@ -363,63 +373,115 @@ def build_lexicon(
     return compile_lexicon({w: ids.tolist() for w, ids in zip(frequent, encoded)})
 
 
+def gathered(flat: np.ndarray, bounds: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The values of ``rows`` of a ragged table, one row after the other, and their bounds."""
+    lengths = bounds[rows + 1] - bounds[rows]
+    ends = np.cumsum(lengths)
+    total = int(ends[-1]) if len(ends) else 0
+    place = np.repeat(bounds[rows] - (ends - lengths), lengths) + np.arange(total)
+    return flat[place], np.append(0, ends)
+
+
+class _Words:
+    """Ids of the words met so far, as a ragged table; emptied when it is full."""
+
+    def __init__(self) -> None:
+        self.rows: dict[str, int] = {}
+        self.parts: list[np.ndarray] = []
+        self.lengths: list[np.ndarray] = []
+
+    def add(self, words: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
+        self.rows.update(zip(words, range(len(self.rows), len(self.rows) + len(words))))
+        self.parts.append(ids)
+        self.lengths.append(lengths)
+
+    def table(self) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.parts) != 1:
+            self.parts = [np.concatenate([*self.parts, np.empty(0, np.int32)])]
+            self.lengths = [np.concatenate([*self.lengths, np.empty(0, np.int64)])]
+        return self.parts[0], np.append(0, np.cumsum(self.lengths[0]))
+
+
 class Encoder:
-    """Encodes and decodes pieces and texts in a task."""
+    """Encodes and decodes texts in a task.
+
+    Python works on the distinct pieces of a slice only; ids of pieces and texts, and the
+    bytes they decode to, are gathered from ragged arrays.
+    """
 
     def __init__(self, lexicon: bytes, path: str):
         self.lexicon = Lexicon(lexicon)
         self.merges = Merges(path)
         self.library = _library(path)
         tokens = {i: t for t, i in self.merges.model["vocab"].items()}
-        self.tokens = [tokens.get(i, "") for i in range(max(tokens) + 1)]
-        self.words: Cache = Cache()
-        self.pieces: Cache = Cache()
-
-    def _learn_words(self, words: list[str]) -> None:
+        coded = [f"{tokens.get(i, '')} ".encode() for i in range(max(tokens) + 1)]
+        # each token's bytes and the blank behind it
+        self.token_bytes = np.frombuffer(b"".join(coded), np.uint8)
+        self.token_bounds = np.cumsum([0, *map(len, coded)])
+        self.words = _Words()
+
+    def _learn(self, words: list[str]) -> None:
+        """Ids of new words, from the lexicon or by merging."""
         coded = [word.encode() for word in words]
         places = self.lexicon.places(coded)
-        unseen = [i for i, place in enumerate(places) if place < 0]
-        for i, ids in zip(unseen, self.merges.encode([coded[i] for i in unseen])):
-            self.words[words[i]] = ids
-        for i in np.flatnonzero(places >= 0):
-            self.words[words[i]] = self.lexicon.entry(places[i])
-
-    def of_pieces(self, pieces: list[str]) -> list[tuple[bytes, str]]:
-        """Ids as little-endian bytes and decoded text of each piece."""
-        new = {}
-        for piece in self.pieces.missing(pieces):
+        seen, unseen = np.flatnonzero(places >= 0), np.flatnonzero(places < 0).tolist()
+        ids, bounds = gathered(self.lexicon.ids, self.lexicon.bounds, places[seen])
+        self.words.add([words[i] for i in seen.tolist()], ids, np.diff(bounds))
+        merged = self.merges.encode([coded[i] for i in unseen])
+        flat = np.concatenate([*merged, np.empty(0, np.int32)]).astype(np.int32)
+        lengths = np.array([len(each) for each in merged], np.int64)
+        self.words.add([words[i] for i in unseen], flat, lengths)
+
+    def of_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of each piece, as a ragged table."""
+        split: list[str] = []
+        counts = []
+        for piece in pieces:
             lowered = _lower(piece)
-            new[piece] = [lowered] if lowered.isalpha() else _PIECES.findall(lowered)
-        missing = self.words.missing([w for words in new.values() for w in words])
-        if missing:
-            self._learn_words(missing)
-        for piece, words in new.items():
-            ids = [i for word in words for i in self.words[word].tolist()]
-            self.pieces[piece] = (
-                np.array(ids, "<u4").tobytes(),
-                " ".join(map(self.tokens.__getitem__, ids)),
-            )
-        return [self.pieces[piece] for piece in pieces]
+            if lowered.isalpha():
+                split.append(lowered)
+                counts.append(1)
+            else:
+                found = _PIECES.findall(lowered)
+                split += found
+                counts.append(len(found))
+        new = set(split).difference(self.words.rows)
+        if len(new) + len(self.words.rows) > _KNOWN_WORDS:
+            self.words, new = _Words(), set(split)
+        if new:
+            self._learn(list(new))
+        rows = np.fromiter(map(self.words.rows.__getitem__, split), np.int64, len(split))
+        ids, ends = gathered(*self.words.table(), rows)
+        return ids, ends[np.append(0, np.cumsum(np.array(counts, np.int64)))]
+
+    def decoded(self, ids: np.ndarray) -> bytes:
+        """The text of some ids, their tokens with blanks between."""
+        parts = [
+            gathered(self.token_bytes, self.token_bounds, ids[first : first + _GATHERED_IDS])[0].tobytes()
+            for first in range(0, len(ids), _GATHERED_IDS)
+        ]
+        return b"".join(parts)[:-1]
 
-    def of_texts(self, texts: pa.Array) -> Iterator[tuple[bytes, str]]:
-        """Ids as bytes and decoded text of each text."""
+    def coded(self, texts: pa.Array) -> Iterator[tuple[bytes, bytes]]:
+        """Ids, and the text they decode to, of each text, as bytes."""
         unusual = pc.match_substring_regex(texts, _UNUSUAL).to_numpy(zero_copy_only=False)
         ordinary = pc.if_else(pa.array(~unusual), texts, "")
         distinct, codes, bounds = _pieces(ordinary)
-        known = self.of_pieces(distinct.to_pylist())
-        as_bytes, as_text = [k[0] for k in known], [k[1] for k in known]
-        codes = codes.tolist()
-        for row, other in enumerate(unusual):
+        table = self.of_pieces(distinct.to_pylist())
+        for row, other in enumerate(unusual.tolist()):
             if other:
                 ids = self.library.encode(texts[row].as_py(), add_special_tokens=False).ids
                 decoded = self.library.decode(ids, skip_special_tokens=False)
-                yield np.array(ids, "<u4").tobytes(), decoded
+                yield np.array(ids, "<u4").tobytes(), decoded.encode()
             else:
                 own = codes[bounds[row] : bounds[row + 1]]
-                yield (
-                    b"".join(map(as_bytes.__getitem__, own)),
-                    " ".join(filter(None, map(as_text.__getitem__, own))),
-                )
+                ids = gathered(*table, own)[0]
+                yield ids.astype("<u4").tobytes(), self.decoded(ids)
+
+    def of_texts(self, texts: pa.Array) -> Iterator[tuple[bytes, str]]:
+        """Ids as bytes and decoded text of each text."""
+        for ids, decoded in self.coded(texts):
+            yield ids, decoded.decode()
 
 
 def encode_texts(
@@ -445,16 +507,15 @@ def encode_texts(
     names = ("ids_sha256", "decoded_sha256") if digest else ("ids", "decoded")
     kinds = (pa.string(), pa.string()) if digest else (pa.binary(), pa.string())
 
+    @task()
     def encode(batches):
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", _SLICE_BYTES):
             encoder = _once(key, lambda: Encoder(shared.value, path))
             counts, first, second = [], [], []
-            for ids, decoded in encoder.of_texts(whole(batch, "text")):
+            for ids, decoded in encoder.coded(whole(batch, "text")):
                 counts.append(len(ids) // 4)
                 first.append(hashlib.sha256(ids).hexdigest() if digest else ids)
-                second.append(
-                    hashlib.sha256(decoded.encode()).hexdigest() if digest else decoded
-                )
+                second.append(hashlib.sha256(decoded).hexdigest() if digest else decoded.decode())
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("id"),
