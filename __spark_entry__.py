@@ -103,6 +103,40 @@ def reload_changes(spark: SparkSession, folder: str) -> DataFrame:
     return tables.reload_changes(spark, name)
 
 
+def load_report(spark: SparkSession, folder: str) -> DataFrame:
+    """Everything a load refuses in a file with planted bad values."""
+    base, name = scratch_dir(spark, "bad"), _new_table(spark)
+    rows = star.purchases(spark, folder)
+    bad = {
+        "quantity": (F.col("quantity") == 7, F.lit("many")),
+        "unit_price": (F.col("quantity") % 10 == 3, F.lit("999999.999")),
+        "detail": (F.col("quantity") == 9, F.repeat(F.lit("x"), 1001)),
+        "invoice_date": (F.col("quantity") == 13, F.lit("yesterday")),
+    }
+    planted = rows.select(
+        *(
+            F.when(bad[name][0], bad[name][1]).otherwise(F.col(name).cast("string")).alias(name)
+            if name in bad
+            else name
+            for name in rows.columns
+        )
+    )
+    write_csv(planted, f"{base}/whole")
+    write_csv(rows.filter("quantity = 15").select("invoice_number", "stock_code"), f"{base}/short")
+    report = tables.report_csv(spark, [f"{base}/whole", f"{base}/short"], name)
+    return report.select("column_name", "reason", "n_rows", F.length("example").alias("n_shown"))
+
+
+def table_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of a table as its write has counted them, beside a scan's."""
+    name = _new_table(spark)
+    tables.reload_table(star.purchases(spark, folder), name)
+    tables.verify_table(spark, name)
+    recorded = tables.table_rows(spark, name).withColumn("counted_by", F.lit("write"))
+    scanned = tables.total_rows(spark.table(name)).withColumn("counted_by", F.lit("scan"))
+    return recorded.unionAll(scanned)
+
+
 def clear_table(spark: SparkSession, folder: str) -> DataFrame:
     """A loaded table's rows before and after it is cleared."""
     name = _new_table(spark)
@@ -372,6 +406,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             total_rows,
             reload_twice,
             reload_changes,
+            load_report,
+            table_counts,
             clear_table,
             drop_recreate,
             export_if_nonempty,
@@ -492,6 +528,26 @@ select doc_id as id_review,
 from documents left join scored on doc_id = id_review, prior
 """
 
+REPORT_SQL = f"""
+with purchases as ({PURCHASES_SQL}), problems as (
+  select 'quantity' as column_name, 'not a int' as reason, 4 as n_shown
+  from purchases where quantity = 7
+  union all select 'unit_price', 'not a decimal(8,3)', 10 from purchases where quantity % 10 = 3
+  union all select 'detail', 'longer than 1000', 100 from purchases where quantity = 9
+  union all select 'invoice_date', 'not a timestamp_ntz', 9 from purchases where quantity = 13
+  union all select null, 'wrong number of fields',
+                   (select length(min(invoice_number || ',' || stock_code))
+                    from purchases where quantity = 15)
+  from purchases where quantity = 15
+)
+select column_name, reason, count(*) as n_rows, n_shown from problems group by all
+"""
+
+COUNTS_SQL = f"""
+select count(*) as total_rows, counted_by
+from ({PURCHASES_SQL}), (values ('write'), ('scan')) as ways(counted_by) group by counted_by
+"""
+
 EMPTIED_SQL = f"""
 select count(*) as rows_before, cast(0 as bigint) as rows_after from ({PURCHASES_SQL})
 """
@@ -515,6 +571,8 @@ def _own_sql() -> dict[str, str]:
         ),
         "typed_table": PURCHASES_SQL,
         "reload_changes": CHANGES_SQL,
+        "load_report": REPORT_SQL,
+        "table_counts": COUNTS_SQL,
         "total_rows": "select count(*) as total_rows from lineitem",
         "reload_twice": PURCHASES_SQL,
         "clear_table": EMPTIED_SQL,

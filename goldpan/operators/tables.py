@@ -11,12 +11,17 @@ from __future__ import annotations
 import json
 import time
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from goldpan.operators import counts
 from goldpan.operators.changes import CHANGE, as_changes, changes
+from goldpan.operators.load_report import LoadError, load_report
 from goldpan.schemas import USER_PURCHASE, USER_PURCHASE_DDL
 from goldpan.sources.delimited import read_csv, write_csv
 from goldpan.sources.storage import delete_path, list_children
@@ -64,9 +69,17 @@ def reload_table(df: DataFrame, name: str, keep: int | None = KEPT_VERSIONS) ->
     """Make the table hold exactly the rows of ``df`` (T4); columns bind by position.
 
     Of the versions it has replaced, the table keeps the last ``keep`` for running
-    readers (None: all).
+    readers (None: all). The version keeps the number and a checksum of its rows, both
+    observed while they are written.
     """
-    _move_to_new_version(df.sparkSession, name, df.write.insertInto)
+    spark = df.sparkSession
+
+    def fill(staged: str) -> None:
+        written = counts.observed(df, spark.table(staged).schema)
+        written.rows.write.insertInto(staged)
+        counts.record(spark, location(spark, staged), written)
+
+    _move_to_new_version(spark, name, fill)
     if keep is not None:
         remove_old_versions(df.sparkSession, name, keep)
 
@@ -86,13 +99,39 @@ def reload_changes(spark: SparkSession, name: str) -> DataFrame:
 
 
 def load_csv(spark: SparkSession, path: str, name: str, **read: object) -> None:
-    """Append a CSV file to a typed table."""
-    read_csv(spark, path, USER_PURCHASE, **read).write.insertInto(name)
+    """Append a CSV file to a typed table (S1, S4). Bad values: see :func:`reload_csv`."""
+    with _reporting(spark, path, name, read):
+        read_csv(spark, path, USER_PURCHASE, **read).write.insertInto(name)
 
 
 def reload_csv(spark: SparkSession, path: str, name: str, **read: object) -> None:
-    """Make the table equal to a CSV file, however often it runs (T4)."""
-    reload_table(read_csv(spark, path, USER_PURCHASE, **read), name)
+    """Make the table equal to a CSV file, however often it runs (T4).
+
+    A file with bad values leaves the table as it was and raises :class:`LoadError`, which
+    tells all columns and reasons and not the first one alone (P3).
+    """
+    with _reporting(spark, path, name, read):
+        reload_table(read_csv(spark, path, USER_PURCHASE, **read), name)
+
+
+def report_csv(spark: SparkSession, path: str | list[str], name: str, **read: object) -> DataFrame:
+    """Everything in CSV files that the table would refuse, see :func:`load_report`."""
+    read.pop("layout", None)
+    return load_report(spark, path, spark.table(name).schema, **read)
+
+
+@contextmanager
+def _reporting(spark: SparkSession, path: str, name: str, read: dict) -> Iterator[None]:
+    """Only a load that fails pays for its report: one more pass over the file."""
+    try:
+        yield
+    except (PySparkException, Py4JJavaError) as error:
+        if read.get("layout") == "files":
+            raise  # such files may have lines that only that layout can read
+        problems = report_csv(spark, path, name, **read).orderBy("column_name", "reason").collect()
+        if problems:
+            raise LoadError(path, problems) from error
+        raise
 
 
 def total_rows(df: DataFrame) -> DataFrame:
@@ -100,6 +139,32 @@ def total_rows(df: DataFrame) -> DataFrame:
     return df.agg(F.count("*").alias("total_rows"))
 
 
+def recorded_rows(spark: SparkSession, name: str) -> int | None:
+    """The table's number of rows without a scan (A1), as its last reload observed it.
+
+    None if there is no record, or rows were appended since. Files of the reload that are
+    gone or have another size are an error.
+    """
+    found = counts.recorded(spark, location(spark, name))
+    return found and found["rows"]
+
+
+def table_rows(spark: SparkSession, name: str) -> DataFrame:
+    """Row count of a table as a one-row table (A1): the recorded one, or else a scan's."""
+    rows = recorded_rows(spark, name)
+    if rows is None:
+        return total_rows(spark.table(name))
+    return spark.range(1).select(F.lit(rows).cast("long").alias("total_rows"))
+
+
+def verify_table(spark: SparkSession, name: str) -> bool:
+    """Scan the table and compare it with its record: an error where they differ.
+
+    Tells whether there was a record of all its rows to compare with.
+    """
+    return counts.verify(spark, location(spark, name), spark.table(name))
+
+
 def is_nonempty(df: DataFrame) -> bool:
     """The count-as-condition of the load and export steps (P6); stops at the first row."""
     return not df.isEmpty()

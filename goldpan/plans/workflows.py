@@ -31,7 +31,7 @@ def load_purchases(
     """Create the table if absent and make it equal to the CSV file."""
     tables.create_table(spark, table, root)
     tables.reload_csv(spark, source, table, timestamp_format=timestamp_format, layout=layout)
-    return tables.total_rows(spark.table(table))
+    return tables.table_rows(spark, table)
 
 
 def export_purchases(spark: SparkSession, table: str, target: str) -> bool:

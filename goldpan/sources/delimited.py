@@ -75,7 +75,7 @@ def read_csv(
     if layout == "records":
         found = records.scan(spark, path, header, version)
         if not found.lines_are_records:
-            parsed = F.from_csv("record", _ddl(schema), options)
+            parsed = F.from_csv("record", to_ddl(schema), options)
             texts = records.read_quoted_records(spark, path, header, version, found)
             return texts.select(parsed.alias("row")).select("row.*")
         layout = "lines"
@@ -103,5 +103,6 @@ def write_csv(
     publish(df.sparkSession, path, writer.csv)
 
 
-def _ddl(schema: T.StructType) -> str:
+def to_ddl(schema: T.StructType) -> str:
+    """The schema as text, for functions that take no other."""
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)

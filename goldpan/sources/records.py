@@ -184,7 +184,7 @@ class _Records:
         self.files, self.header = files, header
         self.key: tuple[int, int] | None = None
         self.open, self.skips, self.lines, self.start = False, False, [], 0
-        self.whole: list[str] = []
+        self.whole: list[tuple[str, int]] = []  # with the file's hash
         self.pieces: list[tuple[str, int, int, int]] = []
         self.chars = 0
 
@@ -254,26 +254,28 @@ class _Records:
         self.skips = False
 
     def _record(self, record: str) -> None:
-        self.whole.append(record)
+        self.whole.append((record, self.key[0]))
         self.chars += len(record)
 
     def full(self) -> bool:
         return len(self.whole) >= _BATCH_ROWS or self.chars >= _BATCH_CHARS
 
     def batch(self) -> pa.RecordBatch:
-        rows = [(record, None, None, None) for record in self.whole] + self.pieces
+        rows = [(record, file, None, None) for record, file in self.whole] + self.pieces
         self.whole, self.pieces, self.chars = [], [], 0
         kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64()]
         columns = zip(*rows) if rows else [[]] * 4
         return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(columns, kinds)], self._NAMES)
 
     def straight(self, values: pa.Array) -> pa.RecordBatch:
+        file = pa.array(np.full(len(values), self.key[0], np.int64))
         nothing = pa.nulls(len(values), pa.int64())
-        return pa.RecordBatch.from_arrays([values.cast(pa.string()), *[nothing] * 3], self._NAMES)
+        columns = [values.cast(pa.string()), file, nothing, nothing]
+        return pa.RecordBatch.from_arrays(columns, self._NAMES)
 
 
 def _put_together(lines: DataFrame, found: Scan, header: bool) -> DataFrame:
-    """``record, file, start, place``: whole records with nulls, and pieces of split ones."""
+    """``record, file, start, place``: whole records without the last two, and pieces of split ones."""
     shared = lines.sparkSession.sparkContext.broadcast(found.files)
 
     def build(batches):
@@ -302,11 +304,16 @@ def read_quoted_records(
     header: bool = True,
     options: dict[str, str] | None = None,
     found: Scan | None = None,
+    with_file: bool = False,
 ) -> DataFrame:
-    """One row per CSV record, as text in column ``record``; no order between rows."""
+    """One row per CSV record, as text in column ``record``; no order between rows.
+
+    ``with_file`` adds ``file``, the hash (xxhash64) of its file's path.
+    """
+    kept = ["file"] if with_file else []
     found = found or scan(spark, path, header, options)
     lines = _coded_lines(spark, path, options or {})
-    records = _put_together(lines, found, header).filter("place is null").select("record")
+    records = _put_together(lines, found, header).filter("place is null").select("record", *kept)
     crossed = [
         (file, int(block))
         for file, splits in found.files.items()
@@ -324,11 +331,11 @@ def read_quoted_records(
             F.max(F.col("record").isNull()).alias("header"),
         )
         text = F.array_join("pieces.record", "\n").alias("record")
-        records = records.unionAll(joined.filter("not header").select(text))
+        records = records.unionAll(joined.filter("not header").select(text, *kept))
     record = F.col("record")
     without_return = F.when(record.endswith("\r"), record.substr(F.lit(1), F.length(record) - 1))
-    records = records.select(F.coalesce(without_return, record).alias("record"))
-    return records.select(_refuse_lone_returns(F.col("record")).alias("record"))
+    records = records.select(F.coalesce(without_return, record).alias("record"), *kept)
+    return records.select(_refuse_lone_returns(F.col("record")).alias("record"), *kept)
 
 
 def _refuse_lone_returns(record: Column) -> Column:

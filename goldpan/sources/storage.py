@@ -78,6 +78,12 @@ def part_files(spark: SparkSession, folder: str) -> set[str]:
     return {path.rpartition("/")[2] for path in paths.split("\n") if path}
 
 
+def write_job(name: str) -> str | None:
+    """The write job that a part file's name tells."""
+    match = _JOB.match(name)
+    return match and match[1]
+
+
 def _manifests(spark: SparkSession, folder: str) -> list[str]:
     """Names of a folder's manifests, the latest first."""
     fs, pattern = _resolve(spark, f"{folder.rstrip('/')}/{_MANIFEST}*")
@@ -105,7 +111,7 @@ def reading_options(spark: SparkSession, path: str) -> dict[str, str]:
     missing = set(files) - part_files(spark, path)
     if missing:
         raise OSError(f"{path} lacks {len(missing)} of {len(files)} files, such as {min(missing)}")
-    jobs = {match[1] for match in map(_JOB.match, files) if match}
+    jobs = {job for job in map(write_job, files) if job}
     return {"pathGlobFilter": f"part-*{{{','.join(sorted(jobs))}}}*"} if jobs else {}
 
 
