@@ -28,15 +28,15 @@ _DECLARED = "__CHAR_VARCHAR_TYPE_STRING"
 
 
 class LoadError(PySparkException):
-    """A load that failed, with the rows of its report."""
+    """A load that failed, with the rows of its report and the error that ended it."""
 
-    def __init__(self, path: str | list[str], problems: list[T.Row]):
+    def __init__(self, path: str | list[str], problems: list[T.Row], error: Exception):
         told = [
             f"{row.column_name or 'rows'}: {row.reason} ({row.n_rows} rows in {row.n_files} files, "
             f"such as {row.example!r} in {row.file})"
             for row in problems
         ]
-        super().__init__(f"{path} cannot be loaded; " + "; ".join(told))
+        super().__init__(f"{path} cannot be loaded; " + "; ".join(told) + f"\n{error}")
         self.problems = problems
 
 

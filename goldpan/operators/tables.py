@@ -130,7 +130,7 @@ def _reporting(spark: SparkSession, path: str, name: str, read: dict) -> Iterato
             raise  # such files may have lines that only that layout can read
         problems = report_csv(spark, path, name, **read).orderBy("column_name", "reason").collect()
         if problems:
-            raise LoadError(path, problems) from error
+            raise LoadError(path, problems, error) from error
         raise
 
 
