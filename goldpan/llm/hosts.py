@@ -11,7 +11,8 @@ posterior, and so on upwards. Written rules go first; the longest that fits deci
 Everything is DataFrame functions; the driver sees one row of sums for each level.
 
 Defined results: a null url, or one without ``://``, has an empty host and path, fits no
-rule and takes the overall posterior; pages without a label (or with null labels) don't
+rule and takes the overall posterior; a port or a user's name belongs to the host but not to
+its domain, and a numeric address is a domain and suffix of its own; pages without a label (or with null labels) don't
 count as outcomes, of several labels for a page the worst counts; repeated pages are all
 judged and all counted; without any label the overall rate is 0 and all is allowed; an
 empty table gives an empty result; other columns are not read.
@@ -66,21 +67,35 @@ def with_host_and_path(pages: DataFrame, url: str = "url") -> DataFrame:
     )
 
 
+def _listed(suffixes: tuple[str, ...]) -> str:
+    return "".join(s.replace(".", "[.]").replace("*", "[^.]+") + "|" for s in suffixes)
+
+
 def suffix_pattern(suffixes: tuple[str, ...] = SUFFIXES) -> str:
-    listed = "|".join(s.replace(".", "[.]") for s in suffixes)
-    return f"(^|[.])({listed}|[^.]*)$"
+    return f"(^|[.])({_listed(suffixes)}[^.]*)$"
 
 
 def domain_pattern(suffixes: tuple[str, ...] = SUFFIXES) -> str:
-    listed = "|".join(s.replace(".", "[.]") for s in suffixes)
-    return f"([^.]+[.])?({listed}|[^.]*)$"
+    return f"([^.]+[.])?({_listed(suffixes)}[^.]*)$"
+
+
+# a host may hold a user's name and a port, or be a number in place of a name
+_NOT_NAME = "^.*@|:[0-9]*$"
+_ADDRESS = r"^([0-9]+[.]){3}[0-9]+$|^\["
 
 
-def _with_levels(df: DataFrame) -> DataFrame:
-    # a listed suffix needs two labels, so it is tried before the last label alone
-    listed = F.regexp_extract("host", suffix_pattern(), 2)
-    domain = F.regexp_extract("host", domain_pattern(), 0)
-    return df.withColumns({"suffix": listed, "domain": domain})
+def _with_levels(df: DataFrame, suffixes: tuple[str, ...] = SUFFIXES) -> DataFrame:
+    # a match begins as far to the left as it can, so the longest listed suffix counts
+    name = F.regexp_replace("host", _NOT_NAME, "")
+    listed = F.regexp_extract(name, suffix_pattern(suffixes), 2)
+    domain = F.regexp_extract(name, domain_pattern(suffixes), 0)
+    number = name.rlike(_ADDRESS)
+    return df.withColumns(
+        {
+            "suffix": F.when(number, name).otherwise(listed),
+            "domain": F.when(number, name).otherwise(domain),
+        }
+    )
 
 
 def _strength(level: DataFrame) -> float:
@@ -104,16 +119,18 @@ def _strength(level: DataFrame) -> float:
     return min(MAX_STRENGTH, max(MIN_STRENGTH, mean * (1 - mean) / between - 1))
 
 
-def reputations(outcomes: DataFrame) -> tuple[list[DataFrame], float]:
+def reputations(
+    outcomes: DataFrame, suffixes: tuple[str, ...] = SUFFIXES
+) -> tuple[list[DataFrame], float]:
     """Posterior rates of suffixes, domains and hosts, and the overall rate.
 
     ``outcomes`` has ``host, n, bad``, one row for each host with a labelled page. Tables
     have the level's key, ``rate`` (posterior mean) and ``weight`` (its beta's ``a + b``).
     """
-    hosts = _with_levels(outcomes)
+    hosts = _with_levels(outcomes, suffixes)
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    total = suffixes.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).first()
+    ends = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
+    total = ends.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).first()
     overall = total.bad / total.n if total.n else 0.0
 
     def shrunk(level: DataFrame, key: str, strength: float) -> DataFrame:
@@ -121,9 +138,7 @@ def reputations(outcomes: DataFrame) -> tuple[list[DataFrame], float]:
         rate = (F.col("bad") + strength * F.col("above")) / weight
         return level.select(key, rate.alias(f"{key}_rate"), weight.alias(f"{key}_weight"))
 
-    by_suffix = shrunk(
-        suffixes.withColumn("above", F.lit(overall)), "suffix", _strength(suffixes)
-    )
+    by_suffix = shrunk(ends.withColumn("above", F.lit(overall)), "suffix", _strength(ends))
     above = domains.join(by_suffix, "suffix").withColumn("above", F.col("suffix_rate"))
     by_domain = shrunk(above, "domain", _strength(domains))
     above = hosts.join(by_domain, "domain").withColumn("above", F.col("domain_rate"))
@@ -148,13 +163,17 @@ def judge_urls(
     rules: tuple[UrlRule, ...] = RULES,
     threshold: float = THRESHOLD,
     deviations: float = DEVIATIONS,
+    suffixes: tuple[str, ...] = SUFFIXES,
 ) -> DataFrame:
-    """``page_id, host, path, rule, verdict`` and the posterior's ``rate`` and ``bound``."""
+    """``page_id, host, path, rule, verdict`` and the posterior's ``rate`` and ``bound``.
+
+    ``suffixes`` are those of several labels, ``*`` standing for any one label.
+    """
     pages = with_host_and_path(pages.select("page_id", "url"))
     outcomes = page_outcomes(pages, labels)
-    (by_suffix, by_domain, by_host), overall = reputations(outcomes)
+    (by_suffix, by_domain, by_host), overall = reputations(outcomes, suffixes)
     # levels are joined to the distinct hosts; pages meet one table, by host only
-    known = _with_levels(pages.select("host").distinct()).join(by_host, "host", "left")
+    known = _with_levels(pages.select("host").distinct(), suffixes).join(by_host, "host", "left")
     known = known.join(by_domain, "domain", "left").join(by_suffix, "suffix", "left")
     rate = F.coalesce("host_rate", "domain_rate", "suffix_rate", F.lit(overall))
     weight = F.coalesce("host_weight", "domain_weight", "suffix_weight", F.lit(MAX_STRENGTH))
@@ -181,7 +200,7 @@ def judge_urls(
 
 
 def oracle() -> str:
-    """``page_id, host, path, rule, verdict`` of all pages, in DuckDB's SQL."""
+    """``page_id, host, path, rule, verdict, rate, bound`` of all pages, in DuckDB's SQL."""
     cases = sorted(RULES, key=lambda r: -len(str(r)))
     fits = [
         f"(host = '{r.host}' or ends_with(host, '.{r.host}')) and starts_with(path, '{r.path}')"
@@ -219,10 +238,13 @@ def oracle() -> str:
              regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1),
                             '^[^?#]*') as path
       from cut),
+    named as (select *, regexp_replace(host, '{_NOT_NAME}', '', 'g') as name from located),
     leveled as (
-      select *, regexp_extract(host, '{suffix_pattern()}', 2) as suffix,
-             regexp_extract(host, '{domain_pattern()}') as domain
-      from located),
+      select *, case when regexp_matches(name, '{_ADDRESS}') then name
+                     else regexp_extract(name, '{suffix_pattern()}', 2) end as suffix,
+             case when regexp_matches(name, '{_ADDRESS}') then name
+                  else regexp_extract(name, '{domain_pattern()}') end as domain
+      from named),
     known as (
       select doc_id as page_id, max(case when quality = 0 or toxic = 1 then 1 else 0 end) as bad
       from labels where quality is not null or toxic is not null group by doc_id),
@@ -247,11 +269,12 @@ def oracle() -> str:
       select page_id, host, path, coalesce(h.rate, d.rate, x.rate, o.rate) as rate,
              coalesce(h.weight, d.weight, x.weight, {MAX_STRENGTH}) as weight
       from leveled left join by_host h using (host) left join by_domain d using (domain)
-           left join by_suffix x using (suffix), overall o)
+           left join by_suffix x using (suffix), overall o),
+    bounded as (
+      select *, rate - {DEVIATIONS} * sqrt(rate * (1 - rate) / (weight + 1)) as bound from judged)
     select page_id, host, path, case {rule} end as rule,
            coalesce(case {action} end,
-                    case when rate - {DEVIATIONS} * sqrt(rate * (1 - rate) / (weight + 1))
-                              > {THRESHOLD}
-                         then 'block' else 'allow' end) as verdict
-    from judged
+                    case when bound > {THRESHOLD} then 'block' else 'allow' end) as verdict,
+           round(rate, 6) as rate, round(bound, 6) as bound
+    from bounded
     """

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from goldpan.llm import (
     bpe,
@@ -47,10 +48,11 @@ def op4_language(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op5_hosts(spark: SparkSession, folder: str) -> DataFrame:
-    """The rule and the verdict for the url of every page."""
+    """The rule, the posterior and the verdict for the url of every page."""
     urls = spark.read.parquet(f"{folder}/pages.parquet")
     labels = spark.read.parquet(f"{folder}/labels.parquet")
-    return hosts.judge_urls(urls, labels).drop("rate", "bound")
+    judged = hosts.judge_urls(urls, labels)
+    return judged.withColumns({name: F.round(name, 6) for name in ("rate", "bound")})
 
 
 def op6_bpe(spark: SparkSession, folder: str) -> DataFrame:

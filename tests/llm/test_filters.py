@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from goldpan.llm import decontaminate, hosts, language, pages, pii, quality, toxicity
 from goldpan.llm.common import documents
@@ -286,3 +287,36 @@ def test_word_hashes_drop_what_is_no_word():
     hashes, bounds = word_hashes(pa.array(["A b, -- c", "", "a B c"]))
     assert bounds.tolist() == [0, 3, 3, 6] and hashes[:3].tolist() == hashes[3:].tolist()
 
+
+
+def test_levels_of_hosts(spark):
+    hosts_seen = {
+        "10.0.0.5": ("10.0.0.5", "10.0.0.5"),
+        "10.0.0.5:80": ("10.0.0.5", "10.0.0.5"),
+        "[::1]:8080": ("[::1]", "[::1]"),
+        "a.example.com:8080": ("example.com", "com"),
+        "me@a.example.co.uk": ("example.co.uk", "co.uk"),
+        "a.b.co.nz": ("b.co.nz", "co.nz"),
+        "x.y.city.of.jp": ("y.city.of.jp", "city.of.jp"),
+        "a.b.any.ck": ("b.any.ck", "any.ck"),
+        "localhost": ("localhost", "localhost"),
+        "": ("", ""),
+    }
+    listed = (*hosts.SUFFIXES, "co.nz", "of.jp", "city.of.jp", "*.ck")
+    seen = spark.createDataFrame([(host,) for host in hosts_seen], "host string")
+    found = hosts._with_levels(seen, listed).collect()
+    assert {row.host: (row.domain, row.suffix) for row in found} == hosts_seen
+
+
+def test_a_bad_host_is_blocked_and_shares_its_record_with_its_domain(spark):
+    urls = [(i, f"http://bad.site{i % 40}.org/{i}") for i in range(400)]
+    urls += [(1000, "http://new.site0.org:81/"), (1001, "http://new.site1.org/")]
+    pages_seen = spark.createDataFrame(urls, "page_id long, url string").withColumns(
+        {"host": F.lit("other"), "rate": F.lit(9), "n": F.lit(9)}
+    )
+    marks = [(i, 1, int(i % 40 == 0)) for i in range(400)] * 2
+    labels = spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+    found = {row.page_id: row for row in hosts.judge_urls(pages_seen, labels, rules=()).collect()}
+    blocked = {page for page, row in found.items() if row.verdict == "block"}
+    assert blocked == {i for i in range(400) if i % 40 == 0} | {1000}
+    assert all(row.bound <= row.rate for row in found.values())
