@@ -10,12 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from goldpan.functions.stopwords import ENGLISH_STOP_WORDS
+from goldpan.functions.xml import build_xml
 from goldpan.operators import tables
 from goldpan.operators.changes import CHANGE, as_changes
 from goldpan.plans import classifier as trained
 from goldpan.plans import bayes, gold, gold_state, jobs, silver, workflows
 from goldpan.plans import star_inputs as star
-from goldpan.schemas import MOVIE_REVIEW, USER_PURCHASE
+from goldpan.schemas import LOG_ROW_TAG, MOVIE_REVIEW, USER_PURCHASE
 from goldpan.session import scratch_dir
 from goldpan.sources.delimited import read_csv, write_csv
 from goldpan.sources.formats import BUILT_IN_FORMATS, read_dataset, show_table, write_dataset
@@ -204,6 +205,31 @@ def silver_review_logs(spark: SparkSession, folder: str) -> DataFrame:
     return jobs.transform_review_logs(spark, source, scratch_dir(spark, "silver"))
 
 
+def silver_inferred_logs(spark: SparkSession, folder: str) -> DataFrame:
+    """Logs with fields that few rows have, by the schema of all rows together."""
+    rare = F.col("event_id") % 89
+    payload = F.struct(
+        F.col("user_id").alias("userId"),
+        F.col("event_type").alias("device"),
+        F.when(rare == 0, F.concat(F.lit("note "), "event_id")).alias("note"),
+        F.when(rare == 5, F.concat(F.lit("c"), "event_id"))
+        .otherwise(F.col("event_id").cast("string"))
+        .alias("code"),
+        F.when(rare == 7, F.array(F.lit("many"), "event_type"))
+        .when(rare == 8, F.array(F.lit("one")))
+        .alias("tag"),
+        F.when(rare == 9, F.struct(F.col("event_id").alias("at"))).alias("place"),
+    )
+    logs = star.table(spark, folder, "events").select(
+        F.col("event_id").alias("id_review"), build_xml(payload, LOG_ROW_TAG).alias("log")
+    )
+    parsed = silver.review_logs(logs, payload=None)
+    tags = F.array_join("tag", ",").alias("tags")
+    return parsed.select(
+        "id_review", "user_id", "device", "note", "code", tags, F.col("place.at").alias("place_at")
+    )
+
+
 def silver_classified(spark: SparkSession, folder: str) -> DataFrame:
     """J2 S5."""
     source, target = scratch_dir(spark, "reviews"), scratch_dir(spark, "silver")
@@ -415,6 +441,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             silver_formats,
             show_first_rows,
             silver_review_logs,
+            silver_inferred_logs,
             silver_classified,
             amount_spent,
             gold_movie_analytics,
@@ -588,6 +615,14 @@ def _own_sql() -> dict[str, str]:
             "select event_id as id_review, user_id, event_type as device, value as score "
             "from events"
         ),
+        "silver_inferred_logs": """
+            select event_id as id_review, user_id, event_type as device,
+                   case when event_id % 89 = 0 then 'note ' || event_id end as note,
+                   case when event_id % 89 = 5 then 'c' else '' end || event_id as code,
+                   case event_id % 89 when 7 then 'many,' || event_type when 8 then 'one' end as tags,
+                   case when event_id % 89 = 9 then event_id end as place_at
+            from events
+        """,
         "silver_classified": CLASSIFIED_SQL,
         "amount_spent": AMOUNT_SPENT_SQL,
         "gold_movie_analytics": GOLD_SQL,

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from goldpan.functions.stopwords import ENGLISH_STOP_WORDS
 from goldpan.functions.text import any_word_in, words
-from goldpan.functions.xml import parse_xml
+from goldpan.functions.xml import infer_xml_schema, parse_xml
 from goldpan.schemas import LOG_PAYLOAD, LOG_ROW_TAG, USER_PURCHASE
 
 DEFAULT_LEXICON = ("good",)
@@ -23,12 +23,19 @@ DEFAULT_LEXICON = ("good",)
 
 def review_logs(
     logs: DataFrame,
-    payload: T.StructType = LOG_PAYLOAD,
+    payload: T.StructType | None = LOG_PAYLOAD,
     row_tag: str = LOG_ROW_TAG,
     rename: dict[str, str] | None = None,
     mode: str = "PERMISSIVE",
 ) -> DataFrame:
-    """XML payload of each log line as columns beside its ``id_review``."""
+    """XML payload of each log line as columns beside its ``id_review``.
+
+    Without a ``payload`` its schema is that of all log lines together, found first.
+    """
+    if payload is None:
+        payload = infer_xml_schema(logs, "log", row_tag)
+    if not payload.fields:
+        return logs.select("id_review")
     rename = {"userId": "user_id"} if rename is None else rename
     fields = parse_xml(F.col("log"), payload, row_tag, mode)
     # a generator, so that a filter on a field does not parse the payload a second time
