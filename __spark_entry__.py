@@ -352,6 +352,19 @@ def bronze_to_gold(spark: SparkSession, folder: str) -> DataFrame:
     return workflows.bronze_to_gold(spark, purchases, reviews, logs, base, name, lexicon=LEXICON)
 
 
+def resumed_run(spark: SparkSession, folder: str) -> DataFrame:
+    """A run over some purchases, then one over all that redoes what depends on them."""
+    base = scratch_dir(spark, "resumed")
+    purchases, reviews, logs = _bronze(spark, folder, base)
+    rows, name = star.purchases(spark, folder), f"user_purchase_{uuid.uuid4().hex}"
+    for part in (rows.filter("quantity < 20"), rows):
+        write_csv(part, purchases)
+        result = workflows.bronze_to_gold(
+            spark, purchases, reviews, logs, base, name, lexicon=LEXICON, resume=True
+        )
+    return result
+
+
 def arrival_ingest(spark: SparkSession, folder: str) -> DataFrame:
     """Two arrivals and a run without one; every row is loaded once."""
     base = scratch_dir(spark, "arrivals")
@@ -452,6 +465,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             job_registry,
             jobs_only,
             bronze_to_gold,
+            resumed_run,
             arrival_ingest,
             arrival_formats,
             arrival_table,
@@ -639,6 +653,7 @@ def _own_sql() -> dict[str, str]:
         """,
         "jobs_only": GOLD_SQL,
         "bronze_to_gold": GOLD_SQL,
+        "resumed_run": GOLD_SQL,
         "arrival_ingest": PURCHASES_SQL,
         "arrival_formats": " union all ".join(
             f"select *, '{fmt}' as fmt from ({PURCHASES_SQL})" for fmt in ARRIVAL_FORMATS

@@ -4,6 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+SCHEMA = T.StructType(
+    [
+        T.StructField("customer_id", T.IntegerType()),
+        T.StructField("amount_spent", T.DecimalType(18, 3)),
+        T.StructField("review_count", T.LongType()),
+        T.StructField("review_score", T.LongType()),
+    ]
+)
 
 
 def amount_spent(purchases: DataFrame) -> DataFrame:

@@ -15,9 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from goldpan.operators import tables
-from goldpan.plans import jobs, silver
+from goldpan.plans import gold, jobs, silver
+from goldpan.plans.ledger import Ledger
 from goldpan.sources.delimited import DEFAULT_LAYOUT
-from goldpan.sources.formats import DEFAULT_FORMAT, write_dataset
+from goldpan.sources.formats import DEFAULT_FORMAT, read_dataset, write_dataset
+
+# the folder of a resumable run's ledger, below its base; hidden from readers
+LEDGER = "_goldpan-ledger"
 
 
 def load_purchases(
@@ -75,26 +79,85 @@ def bronze_to_gold(
     log_payload: T.StructType = silver.LOG_PAYLOAD,
     timestamp_format: str | None = None,
     layout: str = DEFAULT_LAYOUT,
+    resume: bool = False,
 ) -> DataFrame:
     """Load, export, the silver jobs, then gold.
 
     Purchases go from the table to silver without the detour over the exported
     file, which an empty load would leave out of date; such a load stops the run.
+
+    With ``resume``, a ledger below ``base`` skips the steps that an earlier run has
+    finished, as long as their inputs, parameters and results are what they were.
     """
     root = f"{base}/tables/{table}"
-    load_purchases(spark, purchases_csv, table, root, timestamp_format, layout)
+    lexicon = tuple(lexicon)
+    ledger = Ledger(spark, f"{base}/{LEDGER}") if resume else None
+
+    def step(name, work, inputs, output, *parameters):
+        return ledger.step(name, work, inputs, output, fmt, *parameters) if ledger else work
+
+    def table_folder() -> str | None:
+        return tables.location(spark, table) if spark.catalog.tableExists(table) else None
+
+    def target(name: str) -> Callable[[], str]:
+        return lambda: f"{base}/{name}"
+
+    step(
+        "load",
+        lambda: load_purchases(spark, purchases_csv, table, root, timestamp_format, layout),
+        lambda: [purchases_csv],
+        table_folder,
+        timestamp_format,
+        layout,
+    )()
     purchases = spark.table(table)
     if not tables.is_nonempty(purchases):
         raise ValueError(f"{table} is empty after loading {purchases_csv}; nothing to transform")
+    classify, parse = _review_jobs(
+        spark, reviews_csv, logs_csv, base, fmt, lexicon, log_payload, layout
+    )
+    silver_sets = (jobs.SILVER_PURCHASE, jobs.SILVER_CLASSIFIED, jobs.SILVER_REVIEW_LOGS)
+    exported = f"export/{table}_csv"
     _side_by_side(
         spark,
-        lambda: export_purchases(spark, table, f"{base}/export/{table}_csv"),
-        lambda: write_dataset(
-            silver.user_purchase(purchases), f"{base}/{jobs.SILVER_PURCHASE}", fmt
+        step(
+            "export",
+            lambda: export_purchases(spark, table, f"{base}/{exported}"),
+            lambda: [table_folder()],
+            target(exported),
+        ),
+        step(
+            "up",
+            lambda: write_dataset(
+                silver.user_purchase(purchases), f"{base}/{jobs.SILVER_PURCHASE}", fmt
+            ),
+            lambda: [table_folder()],
+            target(jobs.SILVER_PURCHASE),
+        ),
+        step(
+            "crm",
+            classify,
+            lambda: [reviews_csv],
+            target(jobs.SILVER_CLASSIFIED),
+            sorted(lexicon),
+            layout,
+        ),
+        step(
+            "rl",
+            parse,
+            lambda: [logs_csv],
+            target(jobs.SILVER_REVIEW_LOGS),
+            log_payload and log_payload.json(),
+            layout,
         ),
-        *_review_jobs(spark, reviews_csv, logs_csv, base, fmt, lexicon, log_payload, layout),
     )
-    return jobs.transform_movie_analytics(spark, base, fmt)
+    step(
+        "ma",
+        lambda: jobs.transform_movie_analytics(spark, base, fmt),
+        lambda: [f"{base}/{name}" for name in silver_sets],
+        target(jobs.GOLD_ANALYTICS),
+    )()
+    return read_dataset(spark, f"{base}/{jobs.GOLD_ANALYTICS}", fmt, gold.SCHEMA)
 
 
 def _review_jobs(

@@ -1,0 +1,84 @@
+"""Runs that go on where an earlier one has stopped."""
+
+from __future__ import annotations
+
+import pytest
+
+from goldpan.plans import jobs, workflows
+from tests import samples
+from tests.conftest import JOB_ERRORS, values
+
+REVIEWS = "id_review,review_str\n1,a good one\n2,poor\n"
+LOGS = "id_review,log\n1,<log><userId>17850</userId></log>\n"
+
+
+@pytest.fixture
+def run(spark, tmp_path, table_name, monkeypatch):
+    """Runs everything with a ledger; its ``done`` names the steps that were not skipped."""
+    (tmp_path / "up.csv").write_text(samples.GOOD_FILE)
+    (tmp_path / "reviews.csv").write_text(REVIEWS)
+    (tmp_path / "logs.csv").write_text(LOGS)
+    done = []
+
+    def watch(module, function, name):
+        work = getattr(module, function)
+
+        def watched(*args, **kwargs):
+            result = work(*args, **kwargs)
+            done.append(name)
+            return result
+
+        monkeypatch.setattr(module, function, watched)
+
+    watch(workflows, "load_purchases", "load")
+    watch(workflows, "export_purchases", "export")
+    watch(workflows, "write_dataset", "up")
+    watch(jobs, "transform_classified_movie_review", "crm")
+    watch(jobs, "transform_review_logs", "rl")
+    watch(jobs, "transform_movie_analytics", "ma")
+
+    def start(**options):
+        done.clear()
+        files = [f"{tmp_path}/{name}.csv" for name in ("up", "reviews", "logs")]
+        base = f"{tmp_path}/base"
+        result = workflows.bronze_to_gold(spark, *files, base, table_name, resume=True, **options)
+        return values(result)
+
+    start.done = done
+    return start
+
+
+ALL = ["crm", "export", "load", "ma", "rl", "up"]
+
+
+def test_only_what_has_changed_runs_again(run, tmp_path):
+    first = run()
+    assert sorted(run.done) == ALL
+    assert run() == first and run.done == []
+    (tmp_path / "logs.csv").write_text(LOGS + "2,<log><userId>17850</userId></log>\n")
+    second = run()
+    assert sorted(run.done) == ["ma", "rl"] and second != first
+    run(lexicon=("poor",))
+    assert sorted(run.done) == ["crm", "ma"]
+    (tmp_path / "up.csv").write_text(samples.GOOD_FILE + samples.GOOD_LINE + "\n")
+    run(lexicon=("poor",))
+    assert sorted(run.done) == ["export", "load", "ma", "up"]
+
+
+def test_a_failed_run_goes_on(run, tmp_path):
+    (tmp_path / "logs.csv").write_text("id_review,log\nnot a number,x\n")
+    with pytest.raises(JOB_ERRORS):
+        run()
+    assert "load" in run.done and not {"rl", "ma"} & set(run.done)
+    before = set(run.done)
+    (tmp_path / "logs.csv").write_text(LOGS)
+    run()
+    assert {"rl", "ma"} <= set(run.done) and "load" not in run.done
+    assert before | set(run.done) == set(ALL)
+
+
+def test_results_that_were_changed_are_made_again(run, tmp_path):
+    first = run()
+    part = next((tmp_path / "base" / jobs.GOLD_ANALYTICS).glob("part-*"))
+    part.unlink()
+    assert run() == first and run.done == ["ma"]
