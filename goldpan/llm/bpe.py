@@ -382,7 +382,7 @@ def gathered(flat: np.ndarray, bounds: np.ndarray, rows: np.ndarray) -> tuple[np
     return flat[place], np.append(0, ends)
 
 
-class _Words:
+class Words:
     """Ids of the words met so far, as a ragged table; emptied when it is full."""
 
     def __init__(self) -> None:
@@ -418,7 +418,7 @@ class Encoder:
         # each token's bytes and the blank behind it
         self.token_bytes = np.frombuffer(b"".join(coded), np.uint8)
         self.token_bounds = np.cumsum([0, *map(len, coded)])
-        self.words = _Words()
+        self.words = Words()
 
     def _learn(self, words: list[str]) -> None:
         """Ids of new words, from the lexicon or by merging."""
@@ -447,7 +447,7 @@ class Encoder:
                 counts.append(len(found))
         new = set(split).difference(self.words.rows)
         if len(new) + len(self.words.rows) > _KNOWN_WORDS:
-            self.words, new = _Words(), set(split)
+            self.words, new = Words(), set(split)
         if new:
             self._learn(list(new))
         rows = np.fromiter(map(self.words.rows.__getitem__, split), np.int64, len(split))

@@ -30,8 +30,8 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from goldpan.llm.bpe import _library, _once
-from goldpan.llm.common import Cache, saved, slices, whole
+from goldpan.llm.bpe import Words, _library, _once, gathered
+from goldpan.llm.common import saved, slices, whole
 from goldpan.session import scratch_dir
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -40,11 +40,16 @@ BLOCK_TOKENS = 1 << 20
 MAGIC = b"GPTK"
 _NULL_ID = -(1 << 63)
 _SLICE_BYTES = 4 << 20
-_CACHED_PIECES = 400_000
+_KNOWN_WORDS = 700_000
 
 # white space as the vocabulary's own pattern has it; words always end at it
 _SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _PIECES = re.compile(f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
+# begins with one blank and does not end with white space
+_WORD = re.compile(f" [^{_SPACE}](?:.*[^{_SPACE}])?", re.DOTALL).fullmatch
+_LATIN_END = "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]$"
+_MARKS = ".,;:!?"
+_JOINED = 256
 # runs of white space: only without them a text may be cut at its blanks
 _RUNS = f"[{_SPACE}][{_SPACE}]|<\\|endoftext\\|>"
 
@@ -113,45 +118,106 @@ class Block:
 # --- encoding -------------------------------------------------------------------
 
 
+def _strings(array: pa.Array) -> list[str]:
+    return array.to_numpy(zero_copy_only=False).tolist()
+
+
 class PieceEncoder:
-    """Ids of texts by the library, each distinct piece once while the cache has room."""
+    """Ids of texts by the library, each distinct word once while there is room.
+
+    Unseen words are joined to longer texts, which the library cuts at the same blanks, and
+    the ids are told apart by the bytes they stand for. Marks behind a Latin letter are
+    words of their own, so a word is met once whatever follows it.
+    """
 
     def __init__(self, path: str):
         self.library = _library(path)
         self.specials = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.ids: Cache = Cache()
-
-    def _known(self, pieces: list[str]) -> list[bytes]:
-        new = self.ids.missing(pieces, _CACHED_PIECES)
-        for piece, found in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False)):
-            self.ids[piece] = np.array(found.ids, "<u4").tobytes()
-        return list(map(self.ids.__getitem__, pieces))
+        tokens = map(self.library.id_to_token, range(self.library.get_vocab_size()))
+        # one character of the byte alphabet for each byte
+        self.sizes = np.array([len(token or "") for token in tokens], np.int64)
+        self.words = Words()
+
+    def _rows(self, words: list[str]) -> np.ndarray:
+        """Rows of distinct words in the table; what has none yet is encoded."""
+        known = self.words.rows
+        new = [word for word in words if word not in known]
+        if len(known) + len(new) > _KNOWN_WORDS:
+            self.words, new = Words(), words
+        joined = [word for word in new if _WORD(word)]
+        self._learn_joined(joined)
+        self._learn([word for word in new if word not in self.words.rows])
+        return np.fromiter(map(self.words.rows.__getitem__, words), np.int64, len(words))
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
+        found = self.library.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(each.ids, np.int32) for each in found]
+
+    def _learn(self, words: list[str]) -> None:
+        if words:
+            ids = self._encode(words)
+            self.words.add(words, np.concatenate(ids), np.array(list(map(len, ids)), np.int64))
+
+    def _learn_joined(self, words: list[str]) -> None:
+        """Ids of words that begin with a blank; none are kept if ids and bytes don't agree."""
+        if not words:
+            return
+        starts = range(0, len(words), _JOINED)
+        ids = np.concatenate(self._encode(["".join(words[s : s + _JOINED]) for s in starts]))
+        ends = np.cumsum(self.sizes[ids])
+        word_ends = np.cumsum([len(word.encode()) for word in words])
+        counts = np.searchsorted(ends, word_ends) + 1
+        if counts[-1] == len(ids) and (ends[counts - 1] == word_ends).all():
+            self.words.add(words, ids, np.diff(counts, prepend=0))
 
     def _cut_anywhere(self, text: str) -> bytes:
         if any(special in text for special in self.specials):
-            ids = self.library.encode(text, add_special_tokens=False).ids
-            return np.array(ids, "<u4").tobytes()
-        return b"".join(self._known(_PIECES.findall(text)))
+            return self._encode([text])[0].tobytes()
+        pieces = _PIECES.findall(text)
+        distinct = list(dict.fromkeys(pieces))
+        place = dict(zip(distinct, self._rows(distinct).tolist()))
+        rows = np.array([place[piece] for piece in pieces], np.int64)
+        return gathered(*self.words.table(), rows)[0].tobytes()
+
+    def _of_pieces(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of each piece, as a ragged table."""
+        cores = pc.utf8_rtrim(pieces, _MARKS)
+        sizes = pc.subtract(pc.binary_length(pieces), pc.binary_length(cores))
+        cut = pc.and_(pc.greater(sizes, 0), pc.match_substring_regex(cores, _LATIN_END))
+        sizes = sizes.filter(cut).to_numpy().tolist()
+        tails = [piece[-size:] for piece, size in zip(_strings(pieces.filter(cut)), sizes)]
+        cores = pc.if_else(cut, cores, pieces)
+        units = pc.dictionary_encode(pa.concat_arrays([cores, pa.array(tails, pa.string())]))
+        rows = self._rows(_strings(units.dictionary))
+        rows = rows[units.indices.to_numpy(zero_copy_only=False)]
+        cut = cut.to_numpy(zero_copy_only=False)
+        ends = np.cumsum(1 + cut)
+        both = np.empty(len(rows), np.int64)
+        both[ends - 1 - cut] = rows[: len(pieces)]
+        both[ends[cut] - 1] = rows[len(pieces) :]
+        ids, bounds = gathered(*self.words.table(), both)
+        return ids, bounds[np.append(0, ends)]
 
     def of_texts(self, texts: pa.Array) -> list[bytes]:
         """Texts with single white space only are cut at blanks, all at once."""
+        if not len(texts):
+            return []
         other = pc.match_substring_regex(texts, _RUNS).to_numpy(zero_copy_only=False)
         lists = pc.split_pattern(pc.if_else(pa.array(~other), texts, ""), " ")
         coded = pc.dictionary_encode(lists.flatten())
         offsets = lists.offsets.to_numpy(zero_copy_only=False)
         offsets = offsets - offsets[0]
-        codes = coded.indices.to_numpy(zero_copy_only=False)
-        distinct = coded.dictionary.to_pylist()
+        codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         # a text's first piece has no blank before it
-        first = [distinct[c] for c in codes[offsets[:-1]]]
-        codes = codes.copy()
-        codes[offsets[:-1]] = len(distinct) + np.arange(len(first))
-        table = self._known([" " + piece for piece in distinct] + first)
-        codes = codes.tolist()
+        first = coded.dictionary.take(pa.array(codes[offsets[:-1]]))
+        codes[offsets[:-1]] = len(coded.dictionary) + np.arange(len(first))
+        behind = pc.binary_join_element_wise("", coded.dictionary, " ")
+        ids, bounds = gathered(*self._of_pieces(pa.concat_arrays([behind, first])), codes)
+        bounds = bounds[offsets].tolist()
         return [
             self._cut_anywhere(texts[row].as_py())
             if other[row]
-            else b"".join(map(table.__getitem__, codes[offsets[row] : offsets[row + 1]]))
+            else ids[bounds[row] : bounds[row + 1]].tobytes()
             for row in range(len(texts))
         ]
 
