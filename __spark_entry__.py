@@ -14,7 +14,7 @@ from goldpan.functions.xml import build_xml
 from goldpan.operators import tables
 from goldpan.operators.changes import CHANGE, as_changes
 from goldpan.plans import classifier as trained
-from goldpan.plans import bayes, gold, gold_state, jobs, silver, workflows
+from goldpan.plans import bayes, colocated, gold, gold_state, jobs, silver, workflows
 from goldpan.plans import star_inputs as star
 from goldpan.schemas import LOG_ROW_TAG, MOVIE_REVIEW, USER_PURCHASE
 from goldpan.session import scratch_dir
@@ -251,6 +251,19 @@ def gold_movie_analytics(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def gold_colocated(spark: SparkSession, folder: str) -> DataFrame:
+    """Gold from log lines and labels that lie side by side in buckets."""
+    name = f"colocated_{uuid.uuid4().hex}"
+    colocated.write_colocated(
+        silver.classified_reviews(star.movie_reviews(spark, folder), LEXICON),
+        silver.review_logs(star.log_reviews(spark, folder)),
+        name,
+        scratch_dir(spark, "colocated"),
+    )
+    purchases = silver.user_purchase(star.purchases(spark, folder))
+    return gold.with_reviews(purchases, colocated.reviews_by_customer(spark, name))
+
+
 def gold_incremental(spark: SparkSession, folder: str) -> DataFrame:
     """Gold after two increments and one removal, by sums that follow the changes."""
     base = scratch_dir(spark, "gold-state")
@@ -458,6 +471,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             silver_classified,
             amount_spent,
             gold_movie_analytics,
+            gold_colocated,
             gold_incremental,
             classifier,
             classifier_bayes,
@@ -640,6 +654,7 @@ def _own_sql() -> dict[str, str]:
         "silver_classified": CLASSIFIED_SQL,
         "amount_spent": AMOUNT_SPENT_SQL,
         "gold_movie_analytics": GOLD_SQL,
+        "gold_colocated": GOLD_SQL,
         "gold_incremental": _gold_sql("id_review % 10 <> 0", "not quantity > 40"),
         "classifier_bayes": BAYES_SQL,
         "job_smoke": "select count(*) as total_rows from lineitem",

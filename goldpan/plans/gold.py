@@ -23,6 +23,13 @@ def amount_spent(purchases: DataFrame) -> DataFrame:
     return purchases.groupBy("customer_id").agg(total.cast("decimal(18,3)").alias("amount_spent"))
 
 
+def review_sums(classified: DataFrame) -> DataFrame:
+    """``id_review, n, positive``: one row per review, whatever its copies."""
+    return classified.groupBy("id_review").agg(
+        F.count("*").alias("n"), F.sum("positive_review").alias("positive")
+    )
+
+
 def reviews_by_customer(classified: DataFrame, logs: DataFrame) -> DataFrame:
     """Review half of the gold table, via ``id_review`` and the log's ``user_id``.
 
@@ -35,9 +42,7 @@ def reviews_by_customer(classified: DataFrame, logs: DataFrame) -> DataFrame:
     partition; on ``id_review`` alone the label side would keep the partitioning
     of its aggregation and the split would be off.
     """
-    labels = classified.groupBy(F.col("id_review").alias("labelled")).agg(
-        F.count("*").alias("n"), F.sum("positive_review").alias("positive")
-    )
+    labels = review_sums(classified).withColumnRenamed("id_review", "labelled")
     # logs may name users beyond a customer's type, so the wider type stays
     lines = logs.select(F.col("user_id").alias("customer_id"), "id_review")
     same_review = (F.col("id_review") == F.col("labelled")) & (
@@ -51,16 +56,19 @@ def reviews_by_customer(classified: DataFrame, logs: DataFrame) -> DataFrame:
 
 
 def movie_analytics(purchases: DataFrame, classified: DataFrame, logs: DataFrame) -> DataFrame:
-    """``customer_id, amount_spent, review_count, review_score`` for every purchaser.
+    """``customer_id, amount_spent, review_count, review_score`` for every purchaser."""
+    return with_reviews(purchases, reviews_by_customer(classified, logs))
+
+
+def with_reviews(purchases: DataFrame, reviewed: DataFrame) -> DataFrame:
+    """Gold from purchases and its review half.
 
     Both halves are grouped by customer first, so this join adds no shuffle and
     cannot fan out.
     """
     # grouped by the logs' wider type, so that the join needs no cast of its key
     wide = purchases.withColumn("customer_id", F.col("customer_id").cast("bigint"))
-    spent = amount_spent(wide)
-    reviewed = reviews_by_customer(classified, logs)
-    return spent.join(reviewed, "customer_id", "left").select(
+    return amount_spent(wide).join(reviewed, "customer_id", "left").select(
         F.col("customer_id").cast("int").alias("customer_id"),
         "amount_spent",
         F.coalesce("review_count", F.lit(0)).alias("review_count"),
