@@ -13,7 +13,8 @@ compressed texts.
 
 Defined results: a null text is read as empty and gives the end id alone; null document
 ids come first; repeated rows are all kept; an empty table gives no blocks; columns other
-than the id and the text are not read.
+than the id and the text are not read. Ids are 64-bit integers (others are cast, and fail if
+they can't be); the least of them, -2^63, stands for null and comes back as null.
 """
 
 from __future__ import annotations
