@@ -31,9 +31,12 @@ def build_session(
     )
     if input_bytes is not None:
         partitions = shuffle_partitions(input_bytes)
-        builder = builder.config(
-            "spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions)
-        )
+        # the first for what sizes itself by it without AQE, as ranges of token files do
+        for key in (
+            "spark.sql.shuffle.partitions",
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+        ):
+            builder = builder.config(key, str(partitions))
     for key, value in conf.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

@@ -74,7 +74,8 @@ def write_table(
     properties: dict[str, str] | None = None,
 ) -> None:
     """Insert all rows in batches. ``mode="overwrite"`` truncates, so the table's
-    own column types stay. ``connections`` bounds the load on the database."""
+    own column types stay. ``connections`` bounds the load on the database, not the tasks
+    that make the rows: those are dealt out once more to be written."""
     options = {
         "url": url,
         "dbtable": table,
@@ -85,4 +86,10 @@ def write_table(
     }
     if column_types:
         options["createTableColumnTypes"] = column_types
-    df.write.format("jdbc").options(**options).mode(mode).save()
+    dealt(df, connections).write.format("jdbc").options(**options).mode(mode).save()
+
+
+def dealt(df: DataFrame, connections: int) -> DataFrame:
+    """The rows in as many partitions as connections. Left to the writer, they would be
+    put together without a shuffle, and the whole query would run in that few tasks."""
+    return df.repartition(connections)

@@ -28,3 +28,11 @@ def test_unknown_driver_is_reported(spark):
             jdbc.read_table(spark, "jdbc:none:x", "t", **split)
     with pytest.raises(Exception, match="(?i)suitable driver"):
         jdbc.write_table(spark.range(1), "jdbc:none:x", "t")
+
+
+def test_few_connections_leave_the_query_its_tasks(spark):
+    rows = jdbc.dealt(spark.range(0, 1000, 1, 50).filter("id % 3 = 0"), 4)
+    assert rows.rdd.getNumPartitions() == 4
+    plan = rows._jdf.queryExecution().toString()
+    assert "RoundRobinPartitioning(4)" in plan and "Coalesce" not in plan
+    assert rows.count() == 334

@@ -43,11 +43,14 @@ def test_a_local_session_may_use_its_own_disk():
 
 def test_session_sizes_its_shuffles(spark):
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = spark.conf.get("spark.sql.shuffle.partitions")
     try:
         again = session.build_session(input_bytes=10 << 30)
         assert again.conf.get(key) == "80"
+        assert again.conf.get("spark.sql.shuffle.partitions") == "80"
     finally:
         spark.conf.unset(key)
+        spark.conf.set("spark.sql.shuffle.partitions", before)
         spark.conf.set("spark.sql.session.timeZone", "America/New_York")
 
 
