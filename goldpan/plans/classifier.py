@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from goldpan.functions.text import words
+from goldpan.session import scratch_dir
 
 
 def fit_classifier(
@@ -24,6 +25,9 @@ def fit_classifier(
     Repeated labels of a review are counted into a weight before the join, which
     gives the same fit as joining every copy. Only reviews with a label are
     split into words.
+
+    The model comes back from the shared folder, without the summary of its training: that
+    holds the session, which cannot be sent to tasks once something was observed in it.
     """
     weighted = labels.groupBy("id_review", F.col("label").cast("double").alias("label")).agg(
         F.count("*").cast("double").alias("weight")
@@ -39,7 +43,10 @@ def fit_classifier(
         ),
     ]
     labelled = reviews.join(weighted, "id_review")
-    return Pipeline(stages=stages).fit(_with_words(labelled, "label", "weight"))
+    fitted = Pipeline(stages=stages).fit(_with_words(labelled, "label", "weight"))
+    path = scratch_dir(reviews.sparkSession, "classifier")
+    fitted.save(path)
+    return PipelineModel.load(path)
 
 
 def classify(model: PipelineModel, reviews: DataFrame) -> DataFrame:

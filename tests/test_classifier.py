@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 from pyspark.ml.feature import HashingTF
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from goldpan.functions.text import words
@@ -55,6 +56,17 @@ def test_reviews_are_classified_whole(spark):
     assert set(labelled.values()) == {0, 1}
 
 
+def test_reviews_are_classified_in_a_session_that_has_observed_rows(spark):
+    seen = Observation()
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("rows")).collect()
+    assert seen.get == {"rows": 3}
+    reviews = spark.createDataFrame(REVIEWS, MOVIE_REVIEW)
+    labels = spark.createDataFrame(LABELS, "id_review bigint, label int")
+    model = classifier.fit_classifier(reviews, labels)
+    assert len(values(classifier.classify(model, reviews))) == len(REVIEWS)
+    assert not model.stages[-1].hasSummary
+
+
 def test_naive_bayes_equals_a_plain_count(spark):
     rng = random.Random(7)
     vocabulary = ["fine", "dull", "plot", "actor", "scene", "the"]
