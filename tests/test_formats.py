@@ -33,6 +33,16 @@ def test_writing_replaces(spark, rows, tmp_path, fmt):
     assert read_dataset(spark, path, fmt, USER_PURCHASE).count() == 2
 
 
+@pytest.mark.parametrize("fmt", ["json", "xml"])
+def test_repeated_names_take_little_space(spark, rows, tmp_path, fmt):
+    path = tmp_path / fmt
+    many = rows.crossJoin(spark.range(500)).drop("id").coalesce(1)
+    write_dataset(many, str(path), fmt)
+    written = sum(part.stat().st_size for part in path.glob("part-*"))
+    assert written < 2000 * 20  # the names alone are more than 100 bytes a row
+    assert values(read_dataset(spark, str(path), fmt, USER_PURCHASE)) == sorted(GOOD * 500, key=repr)
+
+
 def test_failed_write_keeps_the_earlier_dataset(spark, rows, tmp_path):
     path = str(tmp_path / "data")
     write_dataset(rows, path)
