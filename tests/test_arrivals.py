@@ -3,6 +3,7 @@ from __future__ import annotations
 import pytest
 
 from goldpan.schemas import USER_PURCHASE
+from goldpan.sources.formats import read_dataset
 from goldpan.streaming.arrivals import ingest_arrivals
 from tests import samples
 from tests.conftest import JOB_ERRORS, values
@@ -32,6 +33,14 @@ def test_every_file_is_loaded_once(spark, folders, tmp_path):
     assert values(loaded(spark, folders)) == sorted(good * 3, key=repr)
 
 
+def test_a_json_sink_takes_little_space(spark, folders, tmp_path):
+    samples.write(tmp_path / "landing" / "a.csv", *[samples.GOOD_LINE] * 2000)
+    ingest_arrivals(spark, **folders, schema=USER_PURCHASE, fmt="json")
+    written = sum(part.stat().st_size for part in (tmp_path / "target").glob("part-*"))
+    assert written < 2000 * 20  # the names alone are more than 80 bytes a row
+    assert read_dataset(spark, folders["target"], "json", USER_PURCHASE).count() == 2000
+
+
 def test_hidden_staging_folders_are_not_read(spark, folders, tmp_path):
     staging = tmp_path / "landing" / ".staging-1-a"
     staging.mkdir()
