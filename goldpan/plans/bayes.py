@@ -20,6 +20,29 @@ def _each_word(reviews: DataFrame, *kept: str) -> DataFrame:
     return reviews.select(*kept, F.explode(split).alias("word"))
 
 
+def _counted_words(reviews: DataFrame, *kept: str) -> DataFrame:
+    """``kept, word, n``: each row's distinct words with how often they occur in it.
+
+    Equal words lie together in sorted order: where a run begins, and where the next one
+    does, gives its length.
+    """
+    split = F.array_sort(words(F.coalesce("review_str", F.lit(""))))
+    ordered = reviews.select(*kept, split.alias("words")).filter(F.size("words") > 0)
+    begins = F.filter(
+        F.sequence(F.lit(0), F.size("words") - 1),
+        lambda i: (i == 0) | (F.get("words", i) != F.get("words", i - 1)),
+    )
+    ordered = ordered.select(*kept, "words", begins.alias("begins"))
+    runs = F.transform(
+        "begins",
+        lambda begin, run: F.struct(
+            F.get("words", begin).alias("word"),
+            (F.coalesce(F.get("begins", run + 1), F.size("words")) - begin).alias("n"),
+        ),
+    )
+    return ordered.select(*kept, F.inline(runs))
+
+
 def fit(reviews: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The weights ``word, weight`` and the one-row table ``prior``.
 
@@ -54,14 +77,14 @@ def fit(reviews: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
 def classify(weights: DataFrame, prior: DataFrame, reviews: DataFrame) -> DataFrame:
     """``id_review, score, positive_review`` of every review; unknown words weigh nothing.
 
-    A review's words are counted before they are moved to the weights, so a frequent word
-    comes once for each review, and AQE splits a word that most reviews have. Reviews that repeat both id and text are scored once and all returned;
-    ids may repeat with other texts.
+    A review's words are counted inside its row before they are moved to the weights, so a
+    frequent word comes once for each review and no task keeps the counts of many reviews,
+    and AQE splits a word that most reviews have. Reviews that repeat both id and text are
+    scored once and all returned; ids may repeat with other texts.
     """
     keyed = reviews.select("id_review", "review_str", F.md5("review_str").alias("text_key"))
     once = keyed.dropDuplicates(["id_review", "text_key"])
-    counted = _each_word(once, "id_review", "text_key").groupBy("id_review", "text_key", "word")
-    counted = counted.agg(F.count("*").alias("n"))
+    counted = _counted_words(once, "id_review", "text_key")
     scored = counted.join(weights, "word").groupBy("id_review", "text_key")
     scored = scored.agg(F.sum(F.col("n") * F.col("weight")).alias("sum"))
     scored = scored.toDF("scored_id", "scored_key", "sum")

@@ -95,3 +95,18 @@ def test_naive_bayes_equals_a_plain_count(spark):
     assert all(r.positive_review == (r.score >= 0) for r in found)
     nothing = bayes.fit(reviews.limit(0), labels)
     assert {r.positive_review for r in bayes.classify(*nothing, reviews).collect()} == {1}
+
+
+def test_naive_bayes_counts_words_inside_their_rows(spark):
+    rows = [(1, "fine plot, fine end"), (2, "the"), (3, None), (4, "Plot")]
+    reviews = spark.createDataFrame(rows, MOVIE_REVIEW)
+    counted = bayes._counted_words(reviews, "id_review")
+    expected = [(1, "end", 1), (1, "fine", 2), (1, "plot", 1), (4, "plot", 1)]
+    assert values(counted) == sorted(expected, key=repr)
+    weights = spark.createDataFrame([("fine", 1.0), ("plot", -3.0)], "word string, weight double")
+    prior = spark.createDataFrame([(0.5,)], "prior double")
+    found = bayes.classify(weights, prior, reviews)
+    assert values(found) == [(1, -0.5, 0), (2, 0.5, 1), (3, 0.5, 1), (4, -2.5, 0)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    keys = [line.split("Aggregate [")[1].split("]")[0] for line in plan.splitlines() if "Aggregate [" in line]
+    assert keys and not any("word#" in key for key in keys)
