@@ -64,3 +64,18 @@ def test_inferred_schemas_parse_what_they_came_from(spark):
         {"a": [1, 2], "b": None},
         {"a": [3], "b": {"c": "x"}},
     ]
+
+
+def test_documents_are_read_once_however_many_fields_are_mixed(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    texts = ["<log><a>1</a><b>1</b></log>", "<log><a>x</a><b>1</b><b>y</b></log>", "<log><c><d>1</d></c></log>"]
+    docs = spark.createDataFrame([(text,) for text in texts], "log string")
+    schema = infer_xml_schema(docs.mapInArrow(count, "log string"), "log", "log")
+    assert schema.simpleString() == "struct<a:string,b:array<string>,c:struct<d:bigint>>"
+    assert seen.value == len(texts)
