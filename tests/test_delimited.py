@@ -7,6 +7,8 @@ from datetime import datetime
 from decimal import Decimal
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -18,6 +20,7 @@ from goldpan.sources.delimited import (
     read_csv,
     write_csv,
 )
+from goldpan.sources import records
 from goldpan.sources.records import read_quoted_records
 from tests import samples
 from tests.conftest import JOB_ERRORS, values
@@ -287,3 +290,40 @@ def test_a_record_longer_than_many_splits(spark, tmp_path, setting):
     setting("spark.sql.files.maxPartitionBytes", "64b")
     loaded = read_csv(spark, str(path), MOVIE_REVIEW, layout="records")
     assert values(loaded) == [(1, text), (2, "end")]
+
+
+def test_files_without_line_breaks_are_scanned_without_python(spark, tmp_path, setting, monkeypatch):
+    path = tmp_path / "plain.csv"
+    path.write_text("id,text\n" + "\n".join(f'{n},"a, b"' for n in range(3000)) + "\n")
+    setting("spark.sql.files.maxPartitionBytes", "4kb")
+    with monkeypatch.context() as patch:
+        patch.setattr(records, "_fold", None)
+        found = records.scan(spark, str(path))
+    assert found.lines_are_records
+    # a single field with a line break, behind what is looked at first
+    path.write_text(path.read_text() + '1,"a\nb"\n')
+    found = records.scan(spark, str(path))
+    assert not found.lines_are_records
+    assert read_csv(spark, str(path), MOVIE_REVIEW).count() == 3001
+
+
+def test_splits_that_records_cross_are_named_without_a_job(spark, tmp_path, setting, monkeypatch):
+    path = tmp_path / "crossed.csv"
+    path.write_text("id,text\n" + '1,"a\n\nb"\n' * 200)
+    setting("spark.sql.files.maxPartitionBytes", "100b")
+    found = records.scan(spark, str(path))
+    monkeypatch.setattr(spark, "createDataFrame", None)
+    rows = read_quoted_records(spark, str(path), found=found)
+    assert values(rows) == [('1,"a\n\nb"',)] * 200
+
+
+def test_records_of_a_batch_are_put_together_at_once():
+    lines = ['x"', '1,"a', "", 'b"', "", "2,c", '3,"d', "e"]
+    codes = np.array([0, 2, 4, 0, 4, 1, 2, 1])
+    splits = records.FileSplits(*(np.array([v]) for v in (0, True, 0, True)), 9, np.array([0]))
+    built = records._Records({7: splits}, header=False)
+    built.begin((7, 0))
+    whole = [array.to_pylist() for array in built.add(pa.array(lines), codes)]
+    assert whole == [['1,"a\n\nb"', "2,c"]]
+    built.end_split()
+    assert [piece[0] for piece in built.pieces] == ['x"', '3,"d\ne']
