@@ -320,10 +320,27 @@ def test_splits_that_records_cross_are_named_without_a_job(spark, tmp_path, sett
 def test_records_of_a_batch_are_put_together_at_once():
     lines = ['x"', '1,"a', "", 'b"', "", "2,c", '3,"d', "e"]
     codes = np.array([0, 2, 4, 0, 4, 1, 2, 1])
-    splits = records.FileSplits(*(np.array([v]) for v in (0, True, 0, True)), 9, np.array([0]))
+    known = (np.array([v]) for v in (0, True, 0, True, False))
+    splits = records.FileSplits(*known, [None], 9, np.array([0]))
     built = records._Records({7: splits}, header=False)
     built.begin((7, 0))
     whole = [array.to_pylist() for array in built.add(pa.array(lines), codes)]
     assert whole == [['1,"a\n\nb"', "2,c"]]
-    built.end_split()
+    assert list(built.end_split()) == []
     assert [piece[0] for piece in built.pieces] == ['x"', '3,"d\ne']
+
+
+@pytest.mark.parametrize("most", [0, 2, 1000])
+@pytest.mark.parametrize("split", ["9b", "40b", "100b"])
+def test_ends_of_records_come_from_the_first_pass(spark, tmp_path, setting, monkeypatch, split, most):
+    lines = [f'{n},"a{n}\n\n""b"",\nc"' if n % 3 else f"{n},plain" for n in range(60)]
+    path = tmp_path / "crossed.csv"
+    path.write_text('"i\nd",text\n' + "\n".join(lines) + "\n")
+    expected = values(read_csv(spark, str(path), MOVIE_REVIEW, layout="files"))
+    setting("spark.sql.files.maxPartitionBytes", split)
+    monkeypatch.setattr(records, "_HEAD_LINES", most)
+    loaded = read_csv(spark, str(path), MOVIE_REVIEW)
+    assert values(loaded) == expected
+    # long enough splits and heads need no third pass and no shuffle
+    plan = loaded._jdf.queryExecution().executedPlan().toString()
+    assert ("Exchange" not in plan) == (split != "9b" and most == 1000)
