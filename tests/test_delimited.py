@@ -344,3 +344,20 @@ def test_ends_of_records_come_from_the_first_pass(spark, tmp_path, setting, monk
     # long enough splits and heads need no third pass and no shuffle
     plan = loaded._jdf.queryExecution().executedPlan().toString()
     assert ("Exchange" not in plan) == (split != "9b" and most == 1000)
+
+
+def test_compressed_exports(spark, tmp_path):
+    rows = spark.createDataFrame(samples.GOOD_ROWS * 100, USER_PURCHASE).coalesce(1)
+    sizes = {}
+    for compression in (None, "gzip"):
+        target = tmp_path / str(compression)
+        write_csv(rows, str(target), rows_per_file=150, compression=compression)
+        parts = list(target.glob("part-*"))
+        assert len(parts) == 3
+        assert {part.suffix for part in parts} == {".gz" if compression else ".csv"}
+        for layout in ("records", "files"):
+            assert values(read_csv(spark, str(target), USER_PURCHASE, layout=layout)) == values(rows)
+        sizes[compression] = sum(part.stat().st_size for part in parts)
+    with gzip.open(parts[0], "rt") as text:
+        assert text.readline() == samples.HEADER + "\n"
+    assert sizes["gzip"] * 4 < sizes[None]

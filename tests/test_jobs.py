@@ -83,6 +83,19 @@ def test_bronze_to_gold(spark, bronze, tmp_path, table_name):
     drop_table(spark, table_name)
 
 
+@pytest.mark.parametrize("compression", ["by default", None])
+def test_the_export_of_a_run_takes_little_space(spark, bronze, tmp_path, table_name, compression):
+    options = {} if compression else {"export_compression": None}
+    many = spark.createDataFrame(PURCHASES * 500, USER_PURCHASE).coalesce(1)
+    write_csv(many, bronze[0])
+    workflows.bronze_to_gold(spark, *bronze, f"{tmp_path}/run", table_name, **options)
+    exported = tmp_path / "run" / "export" / f"{table_name}_csv"
+    written = sum(part.stat().st_size for part in exported.glob("part-*"))
+    assert (written < 1000 * 10) == bool(compression)  # a row has 40 characters
+    assert values(read_csv(spark, str(exported), USER_PURCHASE)) == values(many)
+    drop_table(spark, table_name)
+
+
 def test_jobs_alone(spark, bronze, tmp_path):
     assert values(workflows.run_jobs(spark, *bronze, f"{tmp_path}/run", "json")) == GOLD
 

@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 import pytest
 
+import __spark_entry__ as registered
 from goldpan.plans import jobs, workflows
+from goldpan.plans import star_inputs as star
+from goldpan.schemas import USER_PURCHASE
+from goldpan.sources.delimited import read_csv
+from goldpan.sources.storage import write_job
 from tests import samples
 from tests.conftest import JOB_ERRORS, values
 
@@ -82,3 +89,49 @@ def test_results_that_were_changed_are_made_again(run, tmp_path):
     part = next((tmp_path / "base" / jobs.GOLD_ANALYTICS).glob("part-*"))
     part.unlink()
     assert run() == first and run.done == ["ma"]
+
+
+STAR = {
+    "lineitem": (
+        "l_orderkey long, l_partkey long, l_quantity double",
+        [(n % 5, n % 3, None if n == 7 else float(n)) for n in range(40)] + [(1, 1, 19.0)] * 2,
+    ),
+    "orders": (
+        "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz",
+        [(n, n % 2, datetime(2020, 1, 1 + n)) for n in range(5)],
+    ),
+    "part": (
+        "p_partkey long, p_name string, p_retailprice double",
+        [(n, 'a "part",\nor two', n + 0.5) for n in range(3)],
+    ),
+    "customer": ("c_custkey long, c_nationkey int", [(0, 0), (1, 1)]),
+    "nation": ("n_nationkey int, n_name string", [(0, "X"), (1, None)]),
+    "events": (
+        "event_id long, user_id long, event_type string, value double",
+        [(n, n % 2, "view", 1.0) for n in range(6)],
+    ),
+    "documents": ("doc_id long, text string", [(n, f"worthless\n{n}") for n in range(4)]),
+}
+
+
+def test_a_resumed_run_writes_purchases_once(spark, tmp_path, monkeypatch):
+    folder = f"{tmp_path}/star"
+    for name, (schema, rows) in STAR.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{folder}/{name}.parquet")
+    monkeypatch.setattr(registered, "scratch_dir", lambda spark, purpose: f"{tmp_path}/{purpose}")
+    result = values(registered.resumed_run(spark, folder))
+    assert result == values(registered.bronze_to_gold(spark, folder))
+    purchases = star.purchases(spark, folder)
+    bronze = tmp_path / "resumed" / "bronze" / "user_purchase"
+    # the files of the first run are there still, and those of the second hold the others
+    by_job = {}
+    for part in bronze.glob("part-*"):
+        by_job.setdefault(write_job(part.name), []).append(str(part))
+    found = [values(read_csv(spark, parts, USER_PURCHASE)) for parts in by_job.values()]
+    small = values(purchases.filter("quantity < 20"))
+    others = values(purchases.filter("quantity >= 20 or quantity is null"))
+    assert sorted(found, key=repr) == sorted([small, others], key=repr)
+    (export,) = (tmp_path / "resumed" / "export").iterdir()
+    assert {part.suffix for part in export.glob("part-*")} == {".gz"}
+    for path in (bronze, export):
+        assert values(read_csv(spark, str(path), USER_PURCHASE)) == values(purchases)

@@ -91,3 +91,35 @@ def test_folders_without_a_manifest_are_read_whole(spark, tmp_path, two):
     write_dataset(two[1], target)
     assert names(read_dataset(spark, target)) == {"new"}
     assert storage.current_version(spark, str(tmp_path / "absent")) is None
+
+
+def test_rows_are_added_to_a_version(spark, tmp_path, monkeypatch, two):
+    old, new = two
+    target = tmp_path / "export"
+    write_csv(old, str(target))
+    kept = {part.name: part.stat().st_mtime_ns for part in target.glob("part-*.csv")}
+    old.write.mode("append").csv(str(target))  # of a write that died
+    read = lambda: values(read_csv(spark, str(target), old.schema))
+    with monkeypatch.context() as patch:
+        patch.setattr(storage, "write_new_text", lambda *args: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            write_csv(new, str(target), add=True)
+    assert read() == values(old)
+    for times in (1, 2):
+        write_csv(new, str(target), add=True)
+        assert read() == sorted(values(old) + times * values(new), key=repr)
+    now = {part.name: part.stat().st_mtime_ns for part in target.glob("part-*.csv")}
+    assert kept.items() < now.items() and len(now) == 3 + 2 * 2
+    write_csv(new, str(target))
+    assert read() == values(new)
+
+
+def test_rows_are_added_where_no_version_is(spark, tmp_path, two):
+    old, new = two
+    target = str(tmp_path / "export")
+    old.write.option("header", True).csv(target)
+    write_csv(new, target, add=True)
+    assert values(read_csv(spark, target, old.schema)) == values(old.unionAll(new))
+    absent = str(tmp_path / "absent")
+    write_csv(new, absent, add=True)
+    assert values(read_csv(spark, absent, new.schema)) == values(new)
